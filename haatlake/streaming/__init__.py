@@ -1,0 +1,5 @@
+"""Intentionally empty: the data model is batch only.
+
+No operator in the inventory has a watermark, a window over event time or
+state, so there is nothing to express with Structured Streaming.
+"""
