@@ -120,7 +120,7 @@ def launches(s: Star) -> DataFrame:
 
 
 def delivery_kpis(s: Star) -> DataFrame:
-    """Unweighted means over city rows; the best city is the first among equals by name."""
+    """Unweighted means over city rows; of equally prompt cities the busiest is named."""
     best = F.max_by("customer_city", F.struct("on_time_pct", "orders"))
     return views.delivery_performance(s).agg(
         halfup(ratio(F.sum("avg_delivery_days"), F.count("avg_delivery_days")), 4)
