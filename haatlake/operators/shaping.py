@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.numbers import percent
+from ..functions.numbers import halfup, percent
 from ..sources.staging import bounded, materialise
 
 # Logarithmic buckets per unit of ln(1+|v|). A double spans at most
@@ -118,7 +118,7 @@ def exact_quantiles(
 
 
 def median(df: DataFrame, value: str) -> DataFrame:
-    return exact_quantiles(df, [], value, [0.5]).select(F.col("q")[0].alias("median"))
+    return exact_quantiles(df, [], value, [0.5]).select(halfup(F.col("q")[0], 4).alias("median"))
 
 
 def bucket_of(c: Column, cuts: Column, n: int) -> Column:
@@ -129,10 +129,21 @@ def bucket_of(c: Column, cuts: Column, n: int) -> Column:
     return chain.otherwise(F.lit(n)).cast("int")
 
 
-def qcut(df: DataFrame, value: str, n: int, alias: str) -> DataFrame:
-    """Quantile bucket 1..n of value; equal edges go to the first matching bucket."""
-    cuts = exact_quantiles(df, [], value, [i / n for i in range(1, n)]).select("q").scalar()
-    return df.withColumn(alias, bucket_of(F.col(value), cuts, n))
+def qcut(df: DataFrame, buckets: dict[str, str], n: int) -> DataFrame:
+    """Quantile bucket 1..n per {value column: result column}.
+
+    All columns share one quantile computation. Equal edges go to the first
+    matching bucket.
+    """
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(v).alias("_measure"), F.col(v).cast("double").alias("_value"))
+        for v in buckets
+    ])).alias("s")).select("s.*")
+    q = exact_quantiles(stacked, ["_measure"], "_value", [i / n for i in range(1, n)])
+    cuts = q.agg(F.struct(*[
+        F.max(F.when(F.col("_measure") == v, F.col("q"))).alias(v) for v in buckets
+    ])).scalar()
+    return df.withColumns({b: bucket_of(F.col(v), cuts[v], n) for v, b in buckets.items()})
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
@@ -149,8 +160,8 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
         labels.join(counted, "bin", "left")
         .select(
             "bin",
-            (lo + width * F.col("bin") / bins).alias("lower"),
-            (lo + width * (F.col("bin") + 1) / bins).alias("upper"),
+            halfup(lo + width * F.col("bin") / bins, 6).alias("lower"),
+            halfup(lo + width * (F.col("bin") + 1) / bins, 6).alias("upper"),
             F.coalesce("n", F.lit(0)).alias("n"),
         )
         .where(F.col("lower").isNotNull())
@@ -171,8 +182,9 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     return (
         vc.join(fences, F.col(group).eqNullSafe(F.col("_g")))
         .where(inside)
-        .groupBy(group, "n", "q1", "median", "q3")
-        .agg(F.min("_v").alias("whisker_low"), F.max("_v").alias("whisker_high"))
+        .groupBy(group, "n", *[halfup(F.col(c), 4).alias(c) for c in ("q1", "median", "q3")])
+        .agg(halfup(F.min("_v"), 4).alias("whisker_low"),
+             halfup(F.max("_v"), 4).alias("whisker_high"))
     )
 
 
@@ -188,23 +200,22 @@ def _range_of(key: Column, splits: list[Column], base: int = 0) -> Column:
 def global_rank(df: DataFrame, order_cols: list[str], alias: str = "rank", ranges: int = 64) -> DataFrame:
     """Row number 1..n over the whole frame, without a single-task window.
 
-    order_cols must order the rows totally. At most `ranges` split points, a
+    df is read three times: stage it first. order_cols must order it totally. At most `ranges` split points, a
     sample chosen by hash and hence the same on every evaluation, go through
     the driver; each range is numbered on its own and shifted by the sizes of
     the ranges below it.
     """
-    staged = materialise(df, "ranked")
     key = F.struct(*order_cols)
     sample = (
-        staged.select(*order_cols).orderBy(F.xxhash64(*order_cols), *order_cols)
+        df.select(*order_cols).orderBy(F.xxhash64(*order_cols), *order_cols)
         .limit(ranges - 1).orderBy(*order_cols).collect()
     )
-    types = [staged.schema[c].dataType for c in order_cols]
+    types = [df.schema[c].dataType for c in order_cols]
     splits = [
         F.struct(*[F.lit(v).cast(t).alias(c) for c, v, t in zip(order_cols, row, types)])
         for row in sample
     ]
-    ranged = staged.withColumn("_r", _range_of(key, splits))
+    ranged = df.withColumn("_r", _range_of(key, splits))
     below = (
         ranged.groupBy("_r").agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_below", F.sum("_size").over(W.orderBy("_r")) - F.col("_size"))

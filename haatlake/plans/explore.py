@@ -114,7 +114,7 @@ def rfm_segmentation(df: DataFrame) -> Panels:
     n = values.agg(rows()).scalar()
     edges = F.array(*[(n - 1) * F.lit(i / 5) + 1 for i in range(1, 5)])
     ranked = sh.global_rank(values, ["frequency", "customer_id"], "_rank")
-    scored = sh.qcut(sh.qcut(ranked, "recency", 5, "_r"), "monetary", 5, "m_score")
+    scored = sh.qcut(ranked, {"recency": "_r", "monetary": "m_score"}, 5)
     scored = (
         scored.withColumn("r_score", 6 - F.col("_r"))
         .withColumn("f_score", sh.bucket_of(F.col("_rank").cast("double"), edges, 5))
@@ -122,6 +122,7 @@ def rfm_segmentation(df: DataFrame) -> Panels:
         .withColumn("segment", segment_of(F.col("score")))
         .drop("_r", "_rank")
     )
+    scored = materialise(scored, "scores")
     counts = scored.groupBy("segment").agg(rows().alias("customers"))
     return {"scores": scored, "segments": counts}
 

@@ -12,7 +12,7 @@ from ..functions.parsing import stored_flag_of
 from ..functions.text import tier_of
 from ..operators import cleaning, quality, shaping, star
 from ..sources import files
-from ..sources.staging import new_path
+from ..sources.staging import materialise, new_path
 from ..sources.warehouse import Warehouse
 from . import explore, tiles, views
 from .views import Star, rows
@@ -228,14 +228,14 @@ def _(ws):
 def _(ws):
     spent = ws.raw.dropna(subset=["customer_id"]).groupBy("customer_id").agg(
         explore.revenue("final_amount_inr"))
-    return shaping.qcut(spent, "revenue", 5, "bucket")
+    return shaping.qcut(spent, {"revenue": "bucket"}, 5)
 
 
 @query("x08_global_rank")
 def _(ws):
     spent = ws.raw.dropna(subset=["customer_id"]).groupBy("customer_id").agg(
         F.count("transaction_id").alias("orders"))
-    return shaping.global_rank(spent, ["orders", "customer_id"], "position")
+    return shaping.global_rank(materialise(spent), ["orders", "customer_id"], "position")
 
 
 # --- views, analyses, tiles --------------------------------------------------

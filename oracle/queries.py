@@ -15,7 +15,6 @@ CLEAN = [*RAW, "order_date_dt", "is_bulk_order", "bulk_qty", "price_was_correcte
          "base_price_2015", "weight_kg", "rating", "launch_year", "model"]
 CATALOG_ONLY = CLEAN[-5:]
 RETURNED = f"lower(return_status) IN ({items(vocab.RETURNED_WORDS)})"
-DAY = "strftime({c}, '%Y-%m-%d') AS {c}"
 
 
 def add(name: str, needs: list[str], body: str) -> None:
@@ -184,8 +183,8 @@ def _hist(rel: str, v: str, bins: int) -> str:
 b AS (SELECT min(v) AS lo, max(v) - min(v) AS width FROM v),
 h AS (SELECT CAST(least(floor((v - lo) / width * {bins}), {bins - 1}) AS INTEGER) AS bin,
   count(*) AS n FROM v, b GROUP BY 1)
-SELECT CAST(i AS INTEGER) AS bin, lo + width * i / {bins} AS lower,
-  lo + width * (i + 1) / {bins} AS upper, coalesce(n, 0) AS n
+SELECT CAST(i AS INTEGER) AS bin, {r(f'lo + width * i / {bins}', 6)} AS lower,
+  {r(f'lo + width * (i + 1) / {bins}', 6)} AS upper, coalesce(n, 0) AS n
 FROM range({bins}) t(i) CROSS JOIN b LEFT JOIN h ON h.bin = i"""
 
 
@@ -482,7 +481,7 @@ add("e10_price_vs_demand__correlation", ["dated"], " UNION ALL ".join(
     for a in vocab.CORRELATED_COLUMNS for b in vocab.CORRELATED_COLUMNS))
 add("e11_delivery_performance__histogram", ["dated"], _hist("dated", "delivery_days", 20))
 add("e11_delivery_performance__median", ["dated"],
-    "SELECT quantile_cont(delivery_days, 0.5) AS median FROM dated")
+    f"SELECT {r('quantile_cont(delivery_days, 0.5)', 4)} AS median FROM dated")
 add("e11_delivery_performance__cities", ["dated"], f"""
 SELECT customer_city, count(*) AS orders,
   {pct('count(*) FILTER (delivery_days <= 4)', 'count(*)')} AS on_time_pct
@@ -576,7 +575,7 @@ def _run_all() -> str:
     counts = " UNION ALL ".join(
         f"SELECT '{n.split('__')[0]}' AS analysis, '{n.split('__')[1]}' AS panel, "
         f"count(*) AS n FROM ({s})" for n, s in bodies.items())
-    growth = ("SELECT 'e05_category_performance', 'growth', count(*) FROM (SELECT category FROM "
+    growth = ("SELECT 'e05_category_performance' AS analysis, 'growth' AS panel, count(*) AS n FROM (SELECT category FROM "
               "dated WHERE category IS NOT NULL GROUP BY category HAVING count(*) FILTER "
               "(y BETWEEN 2015 AND 2017) > 0 AND count(*) FILTER (y BETWEEN 2023 AND 2025) > 0)")
     return query(["dated"], f"{growth} UNION ALL {counts}")

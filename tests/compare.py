@@ -26,7 +26,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(v):
-    return f"{v:.9g}" if isinstance(v, float) else str(v)
+    return repr(v + 0.0) if isinstance(v, float) else str(v)
 
 
 def _bag(names: list[str], rows) -> Counter:
