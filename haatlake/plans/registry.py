@@ -285,11 +285,5 @@ def _(ws):
     done, failed = explore.run_all(ws.cleaned)
     if failed:
         raise RuntimeError(f"failed analyses: {failed}")
-    counts = [
-        d.agg(rows().alias("n")).select(F.lit(a).alias("analysis"), F.lit(p).alias("panel"), "n")
-        for a, panels in done.items() for p, d in panels.items()
-    ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    counts = [(a, p, d.count()) for a, panels in done.items() for p, d in panels.items()]
+    return ws.spark.createDataFrame(counts, "analysis string, panel string, n bigint")
