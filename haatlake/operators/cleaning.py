@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import parsing, text
+from ..functions import parsing
+from ..functions import text as words
 from ..functions import vocabulary as vocab
 from ..sources.staging import bounded, materialise
 from .shaping import exact_quantiles
@@ -71,9 +72,9 @@ def fix_payment_methods(df: DataFrame, col: str = "payment_method") -> DataFrame
 def _canonical(df: DataFrame, col: str, table: dict[str, str], split: bool) -> DataFrame:
     if col not in df.columns:
         return df
-    key = text.folded(F.col(col))
-    key = text.first_alternative(key) if split else key
-    return df.withColumn(col, text.canonical(key, table))
+    key = words.folded(F.col(col))
+    key = words.first_alternative(key) if split else key
+    return df.withColumn(col, words.canonical(key, table))
 
 
 def fix_booleans(df: DataFrame, cols: Sequence[str] = FLAG_COLUMNS) -> DataFrame:
@@ -111,9 +112,13 @@ def handle_duplicates(
     if not have:
         return df
     first = F.col(have[0])
-    # A struct compares null fields as equal; the hash in front makes sorting cheap.
+    # A struct compares null fields as equal; the hash in front makes sorting
+    # cheap. Fractions go in as text: Spark rewrites grouping keys that contain
+    # floats, and the join would no longer find both sides partitioned alike.
+    text = lambda c: (F.col(c) + F.lit(0.0)).cast("string").alias(c)
+    parts = [text(c) if _is(df, c, "float", "double") else F.col(c) for c in have]
     keyed = df.where(first.isNotNull()).withColumns(
-        {"_h": F.xxhash64(*have), "_k": F.struct(*have)}
+        {"_h": F.xxhash64(*parts), "_k": F.struct(*parts)}
     )
     sizes = keyed.groupBy("_h", "_k").agg(F.count(F.lit(1)).alias("_size"))
     position = F.row_number().over(

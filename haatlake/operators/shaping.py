@@ -22,6 +22,11 @@ from ..sources.staging import bounded, materialise
 _BUCKETS_PER_LOG = 256
 
 
+def present(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows that have all keys, as plain filters that reach the file scan."""
+    return reduce(lambda d, k: d.where(F.col(k).isNotNull()), keys, df)
+
+
 def share_of(df: DataFrame, parts: list[str], value: str, alias: str, digits: int = 2) -> DataFrame:
     """Each row's value as a percentage of its part's sum (an aggregated frame)."""
     whole = F.sum(value).over(W.partitionBy(*parts))

@@ -10,6 +10,7 @@ from ..functions import vocabulary as vocab
 from ..functions.parsing import stored_flag_of
 from ..functions.text import tier_of
 from .cleaning import row_order
+from .shaping import present
 
 PRODUCT_COLUMNS = {
     "product_id": "string", "product_name": "string", "category": "string",
@@ -149,7 +150,7 @@ def build_fact_transactions(df: DataFrame) -> DataFrame:
             return _typed(df, name, type_)
         return defaults.get(name, F.lit(None)).cast(type_).alias(name)
 
-    fact = df.dropna(subset=keys).select(*[column(c, t) for c, t in FACT_COLUMNS.items()])
+    fact = present(df, *keys).select(*[column(c, t) for c, t in FACT_COLUMNS.items()])
     order = W.partitionBy("transaction_id").orderBy("order_date", F.xxhash64(*fact.columns))
     return (
         fact.withColumn("_first", F.row_number().over(order))

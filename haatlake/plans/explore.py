@@ -66,14 +66,9 @@ def mean(c: str) -> Column:
     return halfup(ratio(F.sum(F.col(c).cast("double")), F.count(c)))
 
 
-def _by(df: DataFrame, *keys: str) -> DataFrame:
-    """Grouping that leaves out rows with a missing key."""
-    return df.dropna(subset=list(keys))
-
-
 def revenue_trend(df: DataFrame) -> Panels:
     amt, df = amount_column(df), dated(df)
-    yearly = _by(df, "_year").groupBy(F.col("_year").alias("year")).agg(revenue(amt))
+    yearly = sh.present(df, "_year").groupBy(F.col("_year").alias("year")).agg(revenue(amt))
     return {"yearly": sh.pct_change(yearly, "year", "revenue", "growth_pct")}
 
 
@@ -81,7 +76,7 @@ def seasonal_heatmap(df: DataFrame) -> Panels:
     amt, df = amount_column(df), dated(df)
     months = list(range(1, 13))
     wide = (
-        _by(df, "_year").groupBy(F.col("_year").alias("year")).pivot("_month", months)
+        sh.present(df, "_year").groupBy(F.col("_year").alias("year")).pivot("_month", months)
         .agg(halfup(F.sum(F.col(amt).cast("double")) / CRORE, 6)).fillna(0.0)
     )
     return {"matrix": wide.select("year", *[F.col(str(m)).alias(f"m{m:02d}") for m in months])}
@@ -93,7 +88,7 @@ def customer_values(df: DataFrame) -> DataFrame:
     today = df.agg(F.max("_dt")).scalar()
     visits = F.count("transaction_id") if "transaction_id" in df.columns else rows()
     return (
-        _by(df, "customer_id").groupBy("customer_id")
+        sh.present(df, "customer_id").groupBy("customer_id")
         .agg(F.max("_dt").alias("_last"), visits.alias("frequency"),
              halfup(total(amt)).alias("monetary"))
         .where(F.col("_last").isNotNull())
@@ -129,7 +124,7 @@ def rfm_segmentation(df: DataFrame) -> Panels:
 
 def _share_grid(df: DataFrame, row: str, col: str, value: str = "orders") -> DataFrame:
     """Counts over the full row x column grid with each row's percentages."""
-    counted = _by(df, row, col).groupBy(row, col).agg(rows().alias(value))
+    counted = sh.present(df, row, col).groupBy(row, col).agg(rows().alias(value))
     return sh.share_of(sh.dense_grid(materialise(counted, "grid"), row, col, value),
                        [row], value, "share_pct")
 
@@ -153,10 +148,10 @@ def category_performance(
     window = lambda span: F.when(
         F.count_if(within(span)) > 0, F.coalesce(F.sum(F.when(within(span), value)), F.lit(0.0))
     )
-    sums = _by(df, "category").groupBy("category").agg(
+    sums = sh.present(df, "category").groupBy("category").agg(
         total(amt).alias("_rev"), window(early).alias("_early"), window(late).alias("_late")
     )
-    whole = F.sum("_rev").over(W.partitionBy())  # one row per category
+    whole = df.where(F.col("category").isNotNull()).agg(total(amt)).scalar()
     panels = sums.select(
         "category", halfup(F.col("_rev")).alias("revenue"),
         percent(F.col("_rev"), whole).alias("share_pct"),
@@ -184,7 +179,7 @@ def prime_impact(df: DataFrame) -> Panels:
 def geographic(df: DataFrame) -> Panels:
     amt, panels = amount_column(df), {}
     if "customer_city" in df.columns:
-        cities = _by(df, "customer_city").groupBy("customer_city").agg(revenue(amt))
+        cities = sh.present(df, "customer_city").groupBy("customer_city").agg(revenue(amt))
         panels["cities"] = sh.top_k(cities, "revenue", 15, "customer_city")
     tier = first_present(df, "customer_tier", "city_tier", "tier")
     if tier is None and "customer_city" in df.columns:
@@ -192,7 +187,7 @@ def geographic(df: DataFrame) -> Panels:
         tier, df = "_tier", df.withColumn(
             "_tier", tier_of(F.col("customer_city"), tiers, vocab.DEFAULT_TIER))
     if tier:
-        panels["tiers"] = _by(df, tier).groupBy(F.col(tier).alias("tier")).agg(revenue(amt))
+        panels["tiers"] = sh.present(df, tier).groupBy(F.col(tier).alias("tier")).agg(revenue(amt))
     return panels
 
 
@@ -201,11 +196,11 @@ def festival_impact(df: DataFrame) -> Panels:
         return {}
     amt, df = amount_column(df), dated(df)
     kind = F.when(F.col("is_festival_sale"), "Festival").otherwise("Normal")
-    daily = _by(df, "_dt", "is_festival_sale")
+    daily = sh.present(df, "_dt", "is_festival_sale")
     panels = {"daily": daily.groupBy(F.col("_dt").alias("order_day"), kind.alias("period"))
               .agg(revenue(amt))}
     if "festival_name" in df.columns:
-        named = _by(df.where("is_festival_sale"), "festival_name")
+        named = sh.present(df.where("is_festival_sale"), "festival_name")
         panels["festivals"] = sh.top_k(
             named.groupBy("festival_name").agg(revenue(amt)), "revenue", 5, "festival_name")
     return panels
@@ -216,7 +211,7 @@ def age_groups(df: DataFrame) -> Panels:
     if "age_group" not in df.columns:
         return {}
     amt = amount_column(df)
-    spend = _by(df, "age_group").groupBy("age_group").agg(
+    spend = sh.present(df, "age_group").groupBy("age_group").agg(
         revenue(amt), mean(amt).alias("aov"), F.count(amt).alias("orders"))
     panels = {"spend": spend}
     if "category" in df.columns:
@@ -232,9 +227,9 @@ def deterministic_sample(df: DataFrame, columns: list[str], size: int, seed: int
     """
     ids = [c for c in ("transaction_id", "customer_id", "product_id") if c in df.columns]
     digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in ids or columns], F.lit(str(seed))))
-    hashed = df.select(*columns, *[c for c in ids if c not in columns]).dropna(subset=columns) \
-        .withColumn("_h", digest)
-    n = df.dropna(subset=columns).agg(rows()).scalar()
+    whole = sh.present(df, *columns)
+    hashed = whole.select(*columns, *[c for c in ids if c not in columns]).withColumn("_h", digest)
+    n = whole.agg(rows()).scalar()
     keep = F.floor(ratio(F.lit(4.0 * size), n) * 2**32)
     limit = F.when(keep >= 2**32, F.lit("g")).otherwise(F.lpad(F.lower(F.hex(keep)), 8, "0"))
     return hashed.where(F.col("_h") < limit).orderBy("_h", *ids, *columns).limit(size).drop("_h")
@@ -276,7 +271,7 @@ def delivery_performance(df: DataFrame) -> Panels:
     }
     if "customer_city" in df.columns:
         prompt = F.coalesce(F.col("delivery_days") <= 4, F.lit(False))
-        cities = _by(df, "customer_city").groupBy("customer_city").agg(
+        cities = sh.present(df, "customer_city").groupBy("customer_city").agg(
             rows().alias("orders"), percent(F.count_if(prompt), rows()).alias("on_time_pct"))
         panels["cities"] = sh.top_k(cities, "orders", 12, "customer_city").orderBy(
             "on_time_pct", "customer_city")
@@ -290,7 +285,7 @@ def returns_satisfaction(df: DataFrame) -> Panels:
     df = df.withColumn("returned", is_returned(F.col(status).cast("string")))
     panels = {}
     if "category" in df.columns:
-        panels["by_category"] = _by(df, "category").groupBy("category").agg(
+        panels["by_category"] = sh.present(df, "category").groupBy("category").agg(
             percent(F.count_if("returned"), rows()).alias("return_pct"))
     if "customer_rating" in df.columns:
         panels["ratings"] = sh.box_stats(df, "returned", "customer_rating")
@@ -303,11 +298,11 @@ def brand_performance(df: DataFrame) -> Panels:
         return {}
     amt = amount_column(df)
     yearly = materialise(
-        _by(dated(df), "brand").groupBy(F.col("_year").alias("year"), "brand")
+        sh.present(dated(df), "brand").groupBy(F.col("_year").alias("year"), "brand")
         .agg(total(amt).alias("revenue")), "brands")
     brands = yearly.groupBy("brand").agg(revenue("revenue"))
     top = sh.top_k(brands, "revenue", 10, "brand")
-    kept = _by(yearly.join(F.broadcast(top.select("brand")), "brand"), "year")
+    kept = sh.present(yearly.join(F.broadcast(top.select("brand")), "brand"), "year")
     grid = sh.dense_grid(kept, "year", "brand", "revenue")
     share = sh.share_of(grid, ["year"], "revenue", "share_pct")
     return {"top": top, "share": share.withColumn("revenue", halfup(F.col("revenue")))}
@@ -319,7 +314,7 @@ def clv_cohort(df: DataFrame, cohorts: int = 24, horizon: int = 13) -> Panels:
     Purchases are reduced to distinct (customer, month) pairs first, so the
     per-customer window holds at most as many rows as there are months.
     """
-    amt, df = amount_column(df), _by(dated(df), "_dt", "customer_id")
+    amt, df = amount_column(df), sh.present(dated(df), "_dt", "customer_id")
     month = F.col("_year") * 12 + F.col("_month") - 1
     active = df.select("customer_id", month.alias("month")).distinct()
     since = active.withColumn("cohort", F.min("month").over(W.partitionBy("customer_id"))).select(
@@ -349,7 +344,7 @@ def discount_effectiveness(df: DataFrame) -> Panels:
     chain = F.when(F.lit(False), F.lit(""))
     for label, lo, hi in zip(vocab.DISCOUNT_LABELS, edges, edges[1:]):
         chain = chain.when((d > lo) & (d <= hi), label)
-    sums = _by(df.withColumn("discount_bucket", chain), "discount_bucket") \
+    sums = sh.present(df.withColumn("discount_bucket", chain), "discount_bucket") \
         .groupBy("discount_bucket").agg(rows().alias("orders"), revenue(amt), mean(amt).alias("aov"))
     labels = df.sparkSession.createDataFrame(
         list(enumerate(vocab.DISCOUNT_LABELS, 1)), "position int, discount_bucket string")
@@ -365,7 +360,7 @@ def rating_patterns(df: DataFrame) -> Panels:
     amt = amount_column(df)
     panels = {"histogram": sh.histogram(df, rating, 20)}
     if "category" in df.columns:
-        panels["categories"] = _by(df, "category").groupBy("category").agg(
+        panels["categories"] = sh.present(df, "category").groupBy("category").agg(
             mean(rating).alias("avg_rating"), revenue(amt)).where("avg_rating IS NOT NULL")
     return panels
 
@@ -379,7 +374,7 @@ def customer_journey(df: DataFrame) -> Panels:
     """
     if "category" not in df.columns:
         return {}
-    df = _by(dated(df), "_dt", "category", "customer_id")
+    df = sh.present(dated(df), "_dt", "category", "customer_id")
     tie = [c for c in ("transaction_id",) if c in df.columns]
     bought = df.select("customer_id", "_dt", "category", *tie)
     in_day = W.partitionBy("customer_id", "_dt").orderBy(*tie, "category")
@@ -407,10 +402,10 @@ def product_lifecycle(df: DataFrame) -> Panels:
         keep = ["launch_year"]
         first = F.min_by(F.struct(*keep), F.struct(*row_order(df, keep)))["launch_year"]
         products = df.groupBy("product_id").agg(first.alias("launch_year"))
-        panels["launches"] = _by(products, "launch_year").groupBy("launch_year").agg(
+        panels["launches"] = sh.present(products, "launch_year").groupBy("launch_year").agg(
             rows().alias("products"))
     if "category" in df.columns:
-        yearly = _by(df, "_year", "category").groupBy(F.col("_year").alias("year"), "category").agg(
+        yearly = sh.present(df, "_year", "category").groupBy(F.col("_year").alias("year"), "category").agg(
             total(amt).alias("revenue"))
         grid = sh.dense_grid(materialise(yearly, "lifecycle"), "year", "category", "revenue")
         panels["trend"] = grid.select(
@@ -423,9 +418,9 @@ def competitive_pricing(df: DataFrame) -> Panels:
     if price is None:
         return {}
     if "category" in df.columns:
-        panels["categories"] = sh.box_stats(_by(df, "category"), "category", price)
+        panels["categories"] = sh.box_stats(sh.present(df, "category"), "category", price)
     if "brand" in df.columns:
-        brands = _by(df, "brand").groupBy("brand").agg(rows().alias("n"))
+        brands = sh.present(df, "brand").groupBy("brand").agg(rows().alias("n"))
         top = sh.top_k(brands, "n", 10, "brand").select("brand")
         panels["brands"] = sh.box_stats(df.join(F.broadcast(top), "brand"), "brand", price)
     return panels
@@ -433,18 +428,18 @@ def competitive_pricing(df: DataFrame) -> Panels:
 
 def business_health(df: DataFrame) -> Panels:
     amt, df = amount_column(df), dated(df)
-    by_year = _by(df, "_year").groupBy(F.col("_year").alias("year"))
+    by_year = sh.present(df, "_year").groupBy(F.col("_year").alias("year"))
     measures = [revenue(amt), mean(amt).alias("aov")]
     if "customer_id" in df.columns:
         measures.append(F.countDistinct("customer_id").alias("active_customers"))
     panels = {"yearly": by_year.agg(*measures)}
     if "category" in df.columns:
         panels["categories"] = sh.top_k(
-            _by(df, "category").groupBy("category").agg(revenue(amt)), "revenue", 5, "category")
+            sh.present(df, "category").groupBy("category").agg(revenue(amt)), "revenue", 5, "category")
     for name, col, keep in (("prime", "is_prime_member", None), ("payments", "payment_method", 6)):
         if col in df.columns:
-            counted = _by(df, col).groupBy(col).agg(rows().alias("orders"))
-            whole = F.sum("orders").over(W.partitionBy())  # one row per label
+            counted = sh.present(df, col).groupBy(col).agg(rows().alias("orders"))
+            whole = df.agg(F.count(col)).scalar()
             share = counted.withColumn("share_pct", percent(F.col("orders"), whole))
             panels[name] = sh.top_k(share, "orders", keep, col) if keep else share
     if "return_status" in df.columns:

@@ -15,9 +15,31 @@ RUNTIME = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
+# Input bytes per initial shuffle partition, and the most partitions to start
+# with: beyond it the map x reduce block count costs more than larger partitions.
+PARTITION_BYTES = 128 << 20
+MAX_PARTITIONS = 40_000
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of all files and tables below a frame, from the scans' own statistics."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
+    return sum(int(str(s)) for s in sizes)
+
+
+def tune(spark: SparkSession, source: DataFrame | None = None) -> SparkSession:
+    """Apply RUNTIME, and start shuffles with partitions that suit the source's size.
+
+    Adaptive execution merges what turns out small, so the number only has to
+    be large enough; the session's own setting is never lowered.
+    """
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    if source is not None:
+        wanted = min(input_bytes(source) // PARTITION_BYTES, MAX_PARTITIONS)
+        start = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start))
     return spark
 
 

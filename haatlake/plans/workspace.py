@@ -19,7 +19,7 @@ class Workspace:
     """Each step is written to the shared folder when first asked for, then scanned."""
 
     def __init__(self, spark: SparkSession, raw: DataFrame, catalog: DataFrame):
-        self.spark = tune(spark)
+        self.spark = tune(spark, raw)
         self._raw, self.catalog = raw, catalog
 
     @classmethod
@@ -39,7 +39,9 @@ class Workspace:
     def cleaned(self) -> DataFrame:
         path = new_path(self.spark, "clean")
         stage = lambda df: materialise(df, "cleaning")
-        write_clean(enrich_from_catalog(clean_all(self.raw, stage), self.catalog), path)
+        # Raw input is read once either way; it is staged only if someone asked for it.
+        source = self.raw if "raw" in vars(self) else self._raw
+        write_clean(enrich_from_catalog(clean_all(source, stage), self.catalog), path)
         return read_clean(self.spark, path)
 
     @cached_property

@@ -114,9 +114,14 @@ def test_duplicates_of_identical_rows_and_hot_group(spark):
     assert out.where("bulk_qty = 4000").count() == 1
 
 
-def test_duplicate_limit_runs_before_the_shuffle(spark):
-    plan = c.handle_duplicates(_purchases(spark, {"C1": 2}))._jdf.queryExecution().toString()
-    assert "Partial" in plan.split("WindowGroupLimit", 2)[-1] and "WindowGroupLimit" in plan
+def test_duplicate_plan_limits_before_the_shuffle_and_joins_without_one(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = _purchases(spark, {"C1": 2})
+        plan = c.handle_duplicates(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ", Partial" in plan and plan.count("Exchange") == 2
 
 
 def test_price_repair(spark):
