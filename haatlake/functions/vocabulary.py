@@ -158,6 +158,12 @@ RETURNED_WORDS_HEALTH = ["yes", "true", "returned"]
 # Tokens that stand for "no value" in text columns.
 NULL_WORDS = ["", "nan", "none"]
 
+# Tokens of a raw file that are read as missing in every column.
+MISSING_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
 DISCOUNT_LABELS = ["0%", "1-10%", "11-20%", "21-30%", "31-50%", "50%+"]
 
 # Columns whose null/value profile the quality report samples.

@@ -188,8 +188,8 @@ def clean_all(df: DataFrame, stage: Callable[[DataFrame], DataFrame] | None = No
     """All ten steps in order.
 
     Duplicate handling and price repair each read their input more than once.
-    `stage` (for instance `materialise`) is applied in front of both, so that
-    raw files are parsed once and the large shuffle runs once.
+    `stage` (a `Scratch`, or `materialise`) is applied in front of both, so
+    that raw files are parsed once and the large shuffle runs once.
     """
     stage = stage or (lambda frame: frame)
     rows = stage(clean_rows(df))

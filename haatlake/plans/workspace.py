@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.cleaning import clean_all, enrich_from_catalog
 from ..sources.files import load_raw_data, read_clean, write_clean
 from ..sources.sample_sales import catalog_raw, sales_raw
-from ..sources.staging import materialise, new_path
+from ..sources.staging import Scratch, materialise, new_path
 from ..sources.warehouse import Warehouse
 from .session import tune
 from .views import Star
@@ -38,10 +38,10 @@ class Workspace:
     @cached_property
     def cleaned(self) -> DataFrame:
         path = new_path(self.spark, "clean")
-        stage = lambda df: materialise(df, "cleaning")
         # Raw input is read once either way; it is staged only if someone asked for it.
         source = self.raw if "raw" in vars(self) else self._raw
-        write_clean(enrich_from_catalog(clean_all(source, stage), self.catalog), path)
+        with Scratch(self.spark) as stage:
+            write_clean(enrich_from_catalog(clean_all(source, stage), self.catalog), path)
         return read_clean(self.spark, path)
 
     @cached_property

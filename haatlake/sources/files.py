@@ -6,8 +6,11 @@ import fnmatch
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions import vocabulary as vocab
 
 # Columns of the raw files that are numbers already; everything else stays text.
 MEASURES = {
@@ -43,14 +46,32 @@ def encoding_of(spark: SparkSession, path: str) -> str:
     return "UTF-8" if broken.isEmpty() else "ISO-8859-1"
 
 
-def _scan(spark: SparkSession, paths: list[str], encoding: str, columns: list[str]) -> DataFrame:
-    schema = ", ".join(f"`{c}` string" for c in columns)
+def _reader(spark: SparkSession, encoding: str, multi_line: bool = False) -> DataFrameReader:
+    """Quotes inside quoted fields are doubled, as CSV files have them."""
     return (
-        spark.read.schema(schema).option("header", True).option("encoding", encoding)
-        .option("multiLine", False).csv(paths)
+        spark.read.option("header", True).option("encoding", encoding).option("escape", '"')
+        .option("multiLine", multi_line)
     )
 
 
+def _header(spark: SparkSession, path: str, encoding: str) -> list[str]:
+    return _reader(spark, encoding).csv(path).columns
+
+
+def _scan(
+    spark: SparkSession, paths: list[str], encoding: str, columns: list[str],
+    multi_line: bool = False,
+) -> DataFrame:
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    return _reader(spark, encoding, multi_line).schema(schema).csv(paths)
+
+
+def _missing_as_null(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.withColumns({
+        c: F.when(~F.col(f"`{c}`").isin(vocab.MISSING_TOKENS), F.col(f"`{c}`")) for c in columns
+    })
+
+
 def typed(df: DataFrame) -> DataFrame:
     """Cast the measure columns explicitly; text that is no number becomes NULL."""
     present = {c: F.col(c).try_cast(t) for c, t in MEASURES.items() if c in df.columns}
@@ -58,13 +79,16 @@ def typed(df: DataFrame) -> DataFrame:
 
 
 def load_year_files(
-    spark: SparkSession, raw_dir: str, prefix: str = "sales_", encoding: str = "UTF-8"
+    spark: SparkSession, raw_dir: str, prefix: str = "sales_", encoding: str = "UTF-8",
+    multi_line: bool = False,
 ) -> DataFrame:
     """All <prefix><year>.csv files (or folders), as one frame with `_source_year`.
 
     Columns absent from a file are NULL. Files with the same header form one
     scan, so the plan has as many branches as there are distinct headers.
     encoding="auto" falls back to latin-1 per file and reads the text once more.
+    multi_line=True admits line breaks inside quoted fields, at the price that
+    a file can no longer be split between tasks.
     """
     paths = [p for p in list_paths(spark, raw_dir, f"{prefix}*.csv")
              if CATALOG_MARK not in p.rsplit("/", 1)[-1].lower()]
@@ -73,13 +97,14 @@ def load_year_files(
     scans: dict[tuple[str, ...], list[str]] = {}
     for p in paths:
         enc = encoding_of(spark, p) if encoding == "auto" else encoding
-        header = spark.read.option("header", True).option("encoding", enc).csv(p).columns
+        header = _header(spark, p, enc)
         scans.setdefault((enc, *header), []).append(p)
     year = F.regexp_extract(
         F.col("_metadata.file_path"), re.escape(prefix) + r"([^/]*)\.csv(?:/[^/]*)?$", 1
     )
     frames = [
-        _scan(spark, group, enc, list(header)).withColumn("_source_year", year)
+        _missing_as_null(
+            _scan(spark, group, enc, header, multi_line).withColumn("_source_year", year), header)
         for (enc, *header), group in scans.items()
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -96,17 +121,19 @@ def load_catalog(
             raise FileNotFoundError(f"no product catalog in {raw_dir}")
         exact = found[0]
     enc = encoding_of(spark, exact) if encoding == "auto" else encoding
-    header = spark.read.option("header", True).option("encoding", enc).csv(exact).columns
-    return typed(_scan(spark, [exact], enc, header))
+    header = _header(spark, exact, enc)
+    return typed(_missing_as_null(_scan(spark, [exact], enc, header), header))
 
 
 def load_raw_data(
-    spark: SparkSession, raw_dir: str, prefix: str = "sales_", encoding: str = "UTF-8"
+    spark: SparkSession, raw_dir: str, prefix: str = "sales_", encoding: str = "UTF-8",
+    multi_line: bool = False,
 ) -> tuple[DataFrame, DataFrame, dict[str, Observation]]:
     """Transactions and catalog. The observations hold their row counts once an action ran."""
     seen = {"transactions": Observation("transactions"), "catalog": Observation("catalog")}
     count = F.count(F.lit(1)).alias("row_count")
-    tx = typed(load_year_files(spark, raw_dir, prefix, encoding)).observe(seen["transactions"], count)
+    tx = typed(load_year_files(spark, raw_dir, prefix, encoding, multi_line))
+    tx = tx.observe(seen["transactions"], count)
     catalog = load_catalog(spark, raw_dir, prefix, encoding).observe(seen["catalog"], count)
     return tx, catalog, seen
 
@@ -121,7 +148,7 @@ def write_clean(df: DataFrame, path: str, csv_path: str | None = None) -> None:
     out = df.withColumn("order_year_dt", F.year("order_date_dt")).hint("rebalance", "order_year_dt")
     out.write.mode("overwrite").partitionBy("order_year_dt").parquet(path)
     if csv_path:
-        df.write.mode("overwrite").option("header", True).csv(csv_path)
+        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(csv_path)
 
 
 def read_clean(spark: SparkSession, path: str, csv_path: str | None = None) -> DataFrame:
@@ -129,7 +156,7 @@ def read_clean(spark: SparkSession, path: str, csv_path: str | None = None) -> D
     if _exists(spark, path):
         return spark.read.parquet(path)
     if csv_path and _exists(spark, csv_path):
-        header = spark.read.option("header", True).csv(csv_path).columns
+        header = _header(spark, csv_path, "UTF-8")
         flags = ("is_prime_member", "is_prime_eligible", "is_festival_sale", "is_bulk_order",
                  "price_was_corrected")
         numbers = {"original_price_inr": "double", "customer_rating": "double",

@@ -39,6 +39,29 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Stages for one piece of work, removed when the block ends.
+
+        with Scratch(spark) as stage:
+            result = stage(df) ...   # write the result inside the block
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root = spark, new_path(spark, "scratch")
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *exc: object) -> None:
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        root.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if, and only if, df has at most max_rows rows.
 

@@ -29,6 +29,37 @@ def test_year_files_align_by_name_and_tag_the_year(spark, raw_dir):
         "T1": "2015", "T2": "2015", "T3": "2016", "T4": "2017"}
 
 
+def test_quotes_line_breaks_and_missing_tokens(spark, tmp_path):
+    (tmp_path / "sales_2015.csv").write_text(
+        'transaction_id,product_name,quantity\nT1,"a ""b"", c",1\nT2,N/A,NA\nT3,"two\nlines",3\n')
+    rows = files.load_year_files(spark, str(tmp_path), multi_line=True).orderBy("transaction_id").collect()
+    assert [r["product_name"] for r in rows] == ['a "b", c', None, "two\nlines"]
+    assert [r["quantity"] for r in rows] == ["1", None, "3"]
+
+
+def test_from_files_to_views(spark, tmp_path, ws):
+    """The file route ends in the same views as the table route."""
+    from haatlake.plans import registry, views
+    from haatlake.plans.workspace import Workspace
+
+    folder = registry.write_year_files(ws)
+    ws.catalog.write.option("header", True).csv(f"{folder}/sales_products_catalog.csv")
+    mine = Workspace.from_files(spark, folder)
+    for view in (views.kpi_summary, views.category_performance, views.geographic_revenue):
+        a, b = view(mine.star()), view(ws.star())
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_scratch_is_removed(spark):
+    from haatlake.sources.staging import Scratch
+
+    with Scratch(spark) as stage:
+        assert stage(spark.range(3)).count() == 3
+        root = stage.root
+        assert files._exists(spark, root)
+    assert not files._exists(spark, root)
+
+
 def test_catalog_found_in_any_case(spark, raw_dir):
     rows = files.load_catalog(spark, raw_dir).orderBy("product_id").collect()
     assert [(r["product_id"], r["launch_year"]) for r in rows] == [("P1", 2012), ("P2", None)]
