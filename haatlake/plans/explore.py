@@ -236,16 +236,29 @@ def deterministic_sample(df: DataFrame, columns: list[str], size: int, seed: int
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson coefficients of all pairs, pairwise complete, from a single pass."""
+    """Pearson coefficients of all pairs, pairwise complete, from a single pass.
+
+    Each row yields one (pair, x, y) per column pair, so the aggregate holds a
+    single coefficient and compiles to a tight loop; with one coefficient per
+    pair side by side its code would be too large for the JVM to compile.
+    """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    coefs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
-             for i, (a, b) in enumerate(pairs)]
-    cells = [
-        F.struct(F.lit(x).alias("var_x"), F.lit(y).alias("var_y"),
-                 halfup(F.col(f"r{i}"), 4).alias("r"))
-        for i, (a, b) in enumerate(pairs) for x, y in dict.fromkeys([(a, b), (b, a)])
-    ]
-    return df.agg(*coefs).select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    values = {c: F.col(c).cast("double") for c in columns}
+    points = F.array(*[
+        F.struct(F.lit(i).alias("pair"), values[a].alias("x"), values[b].alias("y"))
+        for i, (a, b) in enumerate(pairs)
+    ])
+    coefficients = (
+        df.select(F.explode(points).alias("p")).select("p.*")
+        .groupBy("pair").agg(halfup(F.corr("x", "y"), 4).alias("r"))
+    )
+    both_ways = F.array(*[
+        F.array(*[F.struct(F.lit(x).alias("var_x"), F.lit(y).alias("var_y"))
+                  for x, y in dict.fromkeys([(a, b), (b, a)])])
+        for a, b in pairs
+    ])
+    named = coefficients.select("r", F.explode(both_ways[F.col("pair")]).alias("names"))
+    return named.select("names.*", "r")
 
 
 def price_vs_demand(df: DataFrame, sample_size: int = 20_000, seed: int = 42) -> Panels:

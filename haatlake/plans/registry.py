@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text
 from ..functions import vocabulary as vocab
 from ..functions.parsing import stored_flag_of
 from ..functions.text import tier_of
@@ -67,6 +68,19 @@ def _(ws):
     )
 
 
+@query("s04_encoding_fallback")
+def _(ws):
+    """The early years as UTF-8, the later ones as latin-1; both keep their accents."""
+    folder = new_path(ws.spark, "encodings")
+    names = ws.raw.select("_source_year", F.concat("product_name", F.lit(" é")).alias("product_name"))
+    for label, encoding, years in (("old", "UTF-8", "<= '2018'"), ("new", "ISO-8859-1", "> '2018'")):
+        names.where(f"_source_year {years}").select("product_name").write \
+            .option("header", True).option("encoding", encoding).csv(f"{folder}/sales_{label}.csv")
+    read = files.load_year_files(ws.spark, folder, encoding="auto")
+    return read.groupBy("_source_year").agg(
+        rows().alias("n"), F.count_if(F.col("product_name").endswith("é")).alias("accented"))
+
+
 @query("s05_catalog_file")
 def _(ws):
     folder = new_path(ws.spark, "catalog")
@@ -74,6 +88,18 @@ def _(ws):
     return files.load_catalog(ws.spark, folder)
 
 
+@query("s06_observed_counts")
+def _(ws):
+    """Row counts seen while both inputs pass through a write."""
+    folder = write_year_files(ws)
+    ws.catalog.write.option("header", True).csv(f"{folder}/sales_products_catalog.csv")
+    tx, catalog, seen = files.load_raw_data(ws.spark, folder)
+    for df in (tx, catalog):
+        df.write.format("noop").mode("overwrite").save()
+    counts = [(n, o.get["row_count"]) for n, o in seen.items()]
+    return ws.spark.createDataFrame(counts, "source string, row_count bigint")
+
+
 @query("s07_clean_dataset")
 def _(ws):
     return ws.cleaned.groupBy("order_year_dt").agg(
@@ -91,6 +117,13 @@ def _(ws):
 
 
 @query("s09_warehouse_load")
+def _(ws):
+    return ws.warehouse.table("fact_transactions").groupBy("order_year").agg(
+        rows().alias("n"), F.countDistinct("date_id").alias("days"),
+        views.money(F.sum("final_amount_inr")).alias("revenue"))
+
+
+@query("s12_row_counts")
 def _(ws):
     return ws.warehouse.row_counts()
 
@@ -214,6 +247,32 @@ def _(ws):
 
 # --- shared primitives on the given tables -----------------------------------
 
+@query("x01_share_of")
+def _(ws):
+    counted = ws.raw.groupBy("brand", "subcategory").agg(rows().alias("n"))
+    return shaping.share_of(counted, ["brand"], "n", "share_pct")
+
+
+@query("x02_top_k")
+def _(ws):
+    spent = ws.raw.groupBy("product_id").agg(explore.revenue("final_amount_inr"))
+    return shaping.top_k(spent, "revenue", 25, "product_id")
+
+
+@query("x06_pct_change")
+def _(ws):
+    monthly = ws.raw.groupBy((F.col("order_year") * 12 + F.col("order_month")).alias("month_no")).agg(
+        explore.revenue("final_amount_inr"))
+    return shaping.pct_change(monthly, "month_no", "revenue", "change_pct")
+
+
+@query("x07_alias_lookup")
+def _(ws):
+    key = text.first_alternative(text.folded(F.col("payment_method")))
+    return ws.raw.groupBy("payment_method").agg(rows().alias("n")).withColumn(
+        "method", text.lookup(key, vocab.PAYMENT_ALIASES))
+
+
 @query("x03_histogram")
 def _(ws):
     return shaping.histogram(ws.raw, "final_amount_inr", 10)
@@ -243,8 +302,15 @@ def _(ws):
 for _i, (_name, _build) in enumerate(views.VIEWS.items(), 1):
     query(f"v{_i:02d}_{_name.removeprefix('vw_')}")(lambda ws, b=_build: b(ws.star()))
 
+_TILE_NUMBERS = {
+    "yearly_growth": 1, "latest_year": 2, "top_categories": 3, "festival_split": 4,
+    "festival_by_year": 4, "quarterly_revenue": 5, "top_cities": 6, "tier_revenue": 6,
+    "best_customers": 7, "best_brands": 8, "launches": 9, "delivery_kpis": 10,
+    "busiest_cities": 11, "payment_share": 12, "seasonality": 13, "quarterly_scorecard": 14,
+    "forecast": 15, "kpi_cards": 16,
+}
 for _name, _tile in tiles.TILES.items():
-    query(f"p_{_name}")(lambda ws, b=_tile: b(ws.star()))
+    query(f"p{_TILE_NUMBERS[_name]:02d}_{_name}")(lambda ws, b=_tile: b(ws.star()))
 
 _PANELS = {
     "e01_revenue_trend": ["yearly"], "e02_seasonal_heatmap": ["matrix"],

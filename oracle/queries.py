@@ -33,6 +33,12 @@ SELECT _source_year, count(*) AS n, count(transaction_id) AS with_id,
   count(DISTINCT customer_id) AS customers, CAST(sum(quantity) AS BIGINT) AS quantity,
   {r('sum(final_amount_inr)')} AS revenue
 FROM raw GROUP BY _source_year""")
+add("s04_encoding_fallback", ["raw"], """
+SELECT CASE WHEN _source_year <= '2018' THEN 'old' ELSE 'new' END AS _source_year,
+  count(*) AS n, count(product_name) AS accented FROM raw GROUP BY 1""")
+add("s06_observed_counts", ["raw", "catalog"], """
+SELECT 'transactions' AS source, count(*) AS row_count FROM raw
+UNION ALL SELECT 'catalog', count(*) FROM catalog""")
 add("s05_catalog_file", ["catalog"], "SELECT * FROM catalog")
 _SUMMARY = f"""count(*) AS n, count(original_price_inr) AS priced,
   count(*) FILTER (is_bulk_order) AS bulk, {r('sum(final_amount_inr)')} AS revenue"""
@@ -42,7 +48,11 @@ _TABLES = {"dim_time": "dim_time", "dim_products": "dim_products",
            "dim_customers": "dim_customers", "fact": "fact_transactions"}
 _COUNTS = " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {c}" for c, n in _TABLES.items())
-add("s09_warehouse_load", list(_TABLES), _COUNTS)
+add("s09_warehouse_load", ["fact"], f"""
+SELECT CAST(year(order_date) AS INTEGER) AS order_year, count(*) AS n,
+  count(DISTINCT date_id) AS days, {r('sum(final_amount_inr)')} AS revenue
+FROM fact GROUP BY 1""")
+add("s12_row_counts", list(_TABLES), _COUNTS)
 add("s10_warehouse_append", list(_TABLES), _COUNTS)
 add("s13_bound_sql", ["fact"], """
 SELECT payment_method, count(*) AS orders, CAST(sum(final_amount_inr) AS DOUBLE) AS revenue
@@ -200,6 +210,21 @@ WHERE {v} BETWEEN q1 - (q3 - q1) * 1.5 AND q3 + (q3 - q1) * 1.5
 GROUP BY ALL"""
 
 
+add("x01_share_of", ["raw"], f"""
+SELECT brand, subcategory, count(*) AS n,
+  {pct('count(*)', 'sum(count(*)) OVER (PARTITION BY brand)')} AS share_pct
+FROM raw GROUP BY brand, subcategory""")
+add("x02_top_k", ["raw"], f"""
+SELECT product_id, {r('sum(final_amount_inr)')} AS revenue FROM raw GROUP BY product_id
+ORDER BY revenue DESC, product_id LIMIT 25""")
+add("x06_pct_change", ["raw"], f"""
+SELECT month_no, revenue, {pct('revenue - lag(revenue) OVER (ORDER BY month_no)',
+                               'lag(revenue) OVER (ORDER BY month_no)')} AS change_pct
+FROM (SELECT order_year * 12 + order_month AS month_no, {r('sum(final_amount_inr)')} AS revenue
+  FROM raw GROUP BY 1)""")
+add("x07_alias_lookup", ["raw", "payment_alias"], """
+SELECT payment_method, count(*) AS n, any_value(name) AS method FROM raw
+LEFT JOIN payment_alias ON alias = lower(split_part(payment_method, '/', 1)) GROUP BY 1""")
 add("x03_histogram", ["raw"], _hist("raw", "final_amount_inr", 10))
 add("x04_box_stats", ["raw"], _box("raw", "brand", "final_amount_inr"))
 add("x05_qcut", ["raw"], f"""
@@ -295,42 +320,42 @@ _QUARTERS = f"""SELECT year, quarter, {r('sum(final_amount_inr)')} AS revenue, {
   {_UNIQUE} AS customers,
   {r(ratio('sum(final_amount_inr)', 'count(final_amount_inr)'))} AS aov
 FROM sold GROUP BY year, quarter"""
-add("p_yearly_growth", ["sold"], _YOY)
-add("p_latest_year", ["sold"], f"""
+add("p01_yearly_growth", ["sold"], _YOY)
+add("p02_latest_year", ["sold"], f"""
 SELECT max(year) AS latest_year, arg_max(revenue_inr, year) AS latest_revenue_inr,
   arg_max(yoy_pct, year) AS latest_yoy_pct,
   CASE WHEN count(*) > 1 AND arg_min(revenue_inr, year) > 0 THEN
     {r('(pow(arg_max(revenue_inr, year) / arg_min(revenue_inr, year), 1.0 / nullif(count(*) - 1, 0)) - 1) * 100', 4)}
   END AS cagr_pct FROM ({_YOY})""")
-add("p_top_categories", ["sold"], f"""
+add("p03_top_categories", ["sold"], f"""
 SELECT category, revenue_inr, {cr('revenue_inr')} AS revenue_cr FROM ({_V_CATEGORY})
 ORDER BY revenue_inr DESC, category LIMIT 5""")
-add("p_festival_split", ["sold"], f"""
+add("p04_festival_split", ["sold"], f"""
 SELECT {_SEASON} AS type, {r('sum(revenue_inr)')} AS revenue FROM ({_V_FESTIVAL}) GROUP BY 1""")
-add("p_festival_by_year", ["sold"], f"""
+add("p04_festival_by_year", ["sold"], f"""
 SELECT year, {_SEASON} AS is_festival, {cr('sum(revenue_inr)')} AS revenue_cr
 FROM ({_V_FESTIVAL}) GROUP BY 1, 2""")
-add("p_quarterly_revenue", ["sold"], f"""
+add("p05_quarterly_revenue", ["sold"], f"""
 SELECT year, 'Q' || quarter AS quarter_label, revenue, {cr('revenue')} AS revenue_cr
 FROM ({_QUARTERS})""")
-add("p_top_cities", ["sold"], f"""
+add("p06_top_cities", ["sold"], f"""
 SELECT customer_city, {r('sum(revenue_inr)')} AS revenue_inr, {cr(r('sum(revenue_inr)'))} AS revenue_cr
 FROM ({_V_GEO}) WHERE customer_city IS NOT NULL GROUP BY 1
 ORDER BY revenue_inr DESC, customer_city LIMIT 15""")
-add("p_tier_revenue", ["sold"], f"""
+add("p06_tier_revenue", ["sold"], f"""
 SELECT city_tier, {r('sum(revenue_inr)')} AS revenue_inr FROM ({_V_GEO}) GROUP BY 1""")
-add("p_best_customers", ["sold"], _V_CUSTOMERS + "20")
-add("p_best_brands", ["sold"], f"""
+add("p07_best_customers", ["sold"], _V_CUSTOMERS + "20")
+add("p08_best_brands", ["sold"], f"""
 SELECT *, {cr('revenue_inr')} AS revenue_cr FROM ({_V_BRAND}10)""")
-add("p_launches", ["dim_products"], """
+add("p09_launches", ["dim_products"], """
 SELECT launch_year, count(*) AS new_products FROM dim_products WHERE launch_year IS NOT NULL
 GROUP BY launch_year""")
-add("p_delivery_kpis", ["sold"], f"""
+add("p10_delivery_kpis", ["sold"], f"""
 , d AS ({_V_DELIVERY})
 SELECT {r('avg(avg_delivery_days)', 4)} AS avg_delivery_days,
   (SELECT customer_city FROM d ORDER BY on_time_pct DESC, orders DESC LIMIT 1) AS best_city,
   max(on_time_pct) AS best_on_time_pct, count(*) AS cities_tracked FROM d""")
-add("p_busiest_cities", ["sold"], f"""
+add("p11_busiest_cities", ["sold"], f"""
 SELECT customer_city, city_tier, orders, on_time_pct FROM ({_V_DELIVERY})
 ORDER BY orders DESC, customer_city, city_tier LIMIT 15""")
 
@@ -354,15 +379,15 @@ def _mix(rel: str, row: str, col: str) -> str:
       WHERE {row} IS NOT NULL AND {col} IS NOT NULL GROUP BY ALL""", row, col)
 
 
-add("p_payment_share", ["sold"], _mix("sold", "year", "payment_method"))
+add("p12_payment_share", ["sold"], _mix("sold", "year", "payment_method"))
 _MONTHS = ", ".join(
     f"coalesce(max(CASE WHEN month = {m} THEN {cr('revenue_inr')} END), 0) AS m{m:02d}"
     for m in range(1, 13))
-add("p_seasonality", ["sold"], f"SELECT year, {_MONTHS} FROM ({_V_MONTHLY}) GROUP BY year")
-add("p_quarterly_scorecard", ["sold"], f"""
+add("p13_seasonality", ["sold"], f"SELECT year, {_MONTHS} FROM ({_V_MONTHLY}) GROUP BY year")
+add("p14_quarterly_scorecard", ["sold"], f"""
 SELECT year || ' Q' || quarter AS period, {cr('revenue')} AS revenue_cr, orders, customers, aov
 FROM ({_QUARTERS})""")
-add("p_forecast", ["sold"], f"""
+add("p15_forecast", ["sold"], f"""
 , yr AS (SELECT CAST(year AS INTEGER) AS year, revenue_inr / 1e7 AS cr
   FROM ({_YEARLY.format(where='')})),
 fit AS (SELECT regr_slope(cr, year) AS slope, avg(year) AS mx, avg(cr) AS my,
@@ -388,7 +413,7 @@ def _short_text(x: str) -> str:
       ELSE format('{{:,.0f}}', CAST({x} AS DOUBLE)) END"""
 
 
-add("p_kpi_cards", ["fact"], f"""
+add("p16_kpi_cards", ["fact"], f"""
 SELECT {_money_text('total_revenue_inr')} AS total_revenue,
   {_short_text('active_customers')} AS active_customers,
   {_short_text('total_orders')} AS total_orders,
