@@ -1,4 +1,4 @@
-"""Session settings the engine relies on. Runtime settings only; nothing static."""
+"""Session settings the engine relies on."""
 
 from __future__ import annotations
 
@@ -15,6 +15,13 @@ RUNTIME = {
 }
 
 
+# For the builder of a session; these cannot change later.
+STATIC = {
+    # A build and its reports compile several hundred classes. The default of
+    # 100 cached ones makes a long-lived session compile, and warm up, anew.
+    "spark.sql.codegen.cache.maxEntries": "2000",
+}
+
 # Input bytes per initial shuffle partition, and the most partitions to start
 # with: beyond it the map x reduce block count costs more than larger partitions.
 PARTITION_BYTES = 128 << 20
@@ -29,7 +36,7 @@ def input_bytes(df: DataFrame) -> int:
 
 
 def tune(spark: SparkSession, source: DataFrame | None = None) -> SparkSession:
-    """Apply RUNTIME, and start shuffles with partitions that suit the source's size.
+    """Apply the runtime settings, and start shuffles with partitions that suit the source's size.
 
     Adaptive execution merges what turns out small, so the number only has to
     be large enough; the session's own setting is never lowered.

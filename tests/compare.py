@@ -49,10 +49,11 @@ def difference(df, con, sql: str) -> str | None:
 
 def main() -> int:
     from __spark_entry__ import oracle_sql, queries
+    from haatlake.plans.session import STATIC
 
     sf_dir, prefixes = sys.argv[1], tuple(sys.argv[2:]) or ("",)
     spark = (
-        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+        SparkSession.builder.master("local[8]").config(map=STATIC).config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -11,10 +11,10 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    from haatlake.plans.session import tune
+    from haatlake.plans.session import STATIC, tune
 
     session = (
-        SparkSession.builder.master("local[8]").appName("tests")
+        SparkSession.builder.master("local[8]").appName("tests").config(map=STATIC)
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g").getOrCreate()
     )
