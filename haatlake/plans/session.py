@@ -26,13 +26,17 @@ STATIC = {
 # with: beyond it the map x reduce block count costs more than larger partitions.
 PARTITION_BYTES = 128 << 20
 MAX_PARTITIONS = 40_000
+UNKNOWN_BYTES = 1 << 60
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Size of all files and tables below a frame, from the scans' own statistics."""
+    """Size of all files and tables below a frame, from the scans' own statistics.
+
+    Sources without statistics report an absurdly large default and are left out.
+    """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = (leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
-    return sum(int(str(s)) for s in sizes)
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < UNKNOWN_BYTES)
 
 
 def tune(spark: SparkSession, source: DataFrame | None = None) -> SparkSession:

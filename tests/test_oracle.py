@@ -20,3 +20,11 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_same_rows(spark, con, name):
     assert difference(QUERIES[name](spark, SF_DIR), con, ORACLE[name]) is None
+
+
+def test_entry_point(spark):
+    import __spark_entry__ as e
+
+    out = e.entry(spark)
+    assert out.columns == ["year", "revenue_inr", "revenue_cr", "yoy_pct"] and out.count() == 7
+    assert set(e.queries()) == set(e.oracle_sql())
