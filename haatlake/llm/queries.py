@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from haatlake.llm import fingerprints, langid, quality
 from haatlake.llm.bpe import encode
-from haatlake.llm.common import table
+from haatlake.llm.common import in_bucket, table
 from haatlake.llm.packing import pack
 
 
@@ -19,5 +21,26 @@ def op2_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_pack_windows)}
+def op5_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from three of four buckets of ids."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, ~in_bucket("doc_id", 4, 2))
+    rows = docs.select("doc_id", "text", in_bucket("doc_id", 4, 2).alias("held_out"))
+    return langid.predict(rows, model, keep=("doc_id", "held_out"))
+
+
+def op8_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learnt from the labels of four of five buckets of ids."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), ~in_bucket("doc_id", 5, 0))
+    rows = docs.select("doc_id", "text", in_bucket("doc_id", 5, 0).alias("held_out"))
+    return quality.score(rows, model, keep=("doc_id", "held_out"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_pack_windows, op5_multiset_fingerprints, op6_language_id, op8_quality_scores)}
 ORACLE: dict[str, str] = {}
