@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haatlake.llm import fingerprints, langid, quality
+from haatlake.llm import fingerprints, langid, pages, quality
 from haatlake.llm.bpe import encode
 from haatlake.llm.common import in_bucket, table
+from haatlake.llm.jaccard import jaccard_components
 from haatlake.llm.packing import pack
 
 
@@ -21,6 +22,11 @@ def op2_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, from the container paths its host agrees on."""
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how alike they are."""
     return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
@@ -42,5 +48,12 @@ def op8_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(rows, model, keep=("doc_id", "held_out"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_round_trip, op2_pack_windows, op5_multiset_fingerprints, op6_language_id, op8_quality_scores)}
+def op10_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the component of near copies it belongs to."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_bpe_round_trip, op2_pack_windows, op4_main_text, op5_multiset_fingerprints, op6_language_id, op8_quality_scores,
+    op10_jaccard_components)}
 ORACLE: dict[str, str] = {}
