@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haatlake.llm import fingerprints, langid, pages, quality
+from haatlake.llm import ann, fingerprints, langid, pages, quality
 from haatlake.llm.bpe import encode
 from haatlake.llm.common import in_bucket, table
 from haatlake.llm.jaccard import jaccard_components
@@ -48,6 +48,12 @@ def op8_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(rows, model, keep=("doc_id", "held_out"))
 
 
+def op9_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector among all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors["vec_id"] % 20 == 0)
+
+
 def op10_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the component of near copies it belongs to."""
     return jaccard_components(table(spark, sf_dir, "documents"))
@@ -55,5 +61,5 @@ def op10_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_bpe_round_trip, op2_pack_windows, op4_main_text, op5_multiset_fingerprints, op6_language_id, op8_quality_scores,
-    op10_jaccard_components)}
+    op9_adaptive_scan, op10_jaccard_components)}
 ORACLE: dict[str, str] = {}
