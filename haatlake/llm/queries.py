@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haatlake.llm import ann, fingerprints, langid, pages, quality
+from haatlake.llm import ann, fingerprints, langid, pages, quality, rollups, sharding
 from haatlake.llm.bpe import encode
-from haatlake.llm.common import in_bucket, table
+from haatlake.llm.common import in_bucket, stage, table
 from haatlake.llm.jaccard import jaccard_components
 from haatlake.llm.packing import pack
+from haatlake.sources.staging import new_path
+
+
+# What the two tokenizer versions of op7 count: words between ASCII white space; runs of word bytes, and other marks.
+WORD, WORD_OR_MARK = r"[^ \t-\r]+", r"[^ \t-\r!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]"
 
 
 def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +27,11 @@ def op2_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op3_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, of at most 4 MiB of text."""
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page, from the container paths its host agrees on."""
     return pages.extract(table(spark, sf_dir, "pages"))
@@ -40,6 +50,29 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(rows, model, keep=("doc_id", "held_out"))
 
 
+def op7_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after all documents were inserted, counted anew by a second tokenizer version, and copies deleted.
+
+    Version 1 counts words between white space, version 2 words and marks. Copies are the documents
+    whose text occurs with a smaller id. Every batch is committed twice, the second in another order.
+    """
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    slim = stage(docs.select("doc_id", "source", "lang", F.sha2(text, 256).alias("digest"), F.regexp_count(text, F.lit(WORD)).alias("v1"),
+                             F.regexp_count(text, F.lit(WORD_OR_MARK)).alias("v2")), "counts")
+    first = slim.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    copies = slim.join(first, "digest").where("doc_id > first")
+    batches = {
+        "insert": (rollups.inserts(slim, "v1", slim["v1"]),),
+        "recount": (rollups.revisions(slim, "v1", slim["v1"], "v2", slim["v2"]),),
+        "copies": (rollups.deletes(copies, "v2", F.col("v2")),),
+    }
+    store = rollups.Rollup(spark, new_path(spark, "rollup"))
+    for name in (*batches, "copies", "insert"):
+        store.commit(name, *batches[name])
+    return store.totals()
+
+
 def op8_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document, learnt from the labels of four of five buckets of ids."""
     docs = table(spark, sf_dir, "documents")
@@ -60,6 +93,15 @@ def op10_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_bpe_round_trip, op2_pack_windows, op4_main_text, op5_multiset_fingerprints, op6_language_id, op8_quality_scores,
+    op1_bpe_round_trip, op2_pack_windows, op3_extendible_shards, op4_main_text, op5_multiset_fingerprints, op6_language_id,
+    op7_token_rollups, op8_quality_scores,
     op9_adaptive_scan, op10_jaccard_components)}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op7_token_rollups": f"""
+        WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS text FROM documents),
+        f AS (SELECT text, min(doc_id) AS first FROM d GROUP BY text),
+        k AS (SELECT source, lang, len(regexp_extract_all(d.text, '{WORD_OR_MARK}')) AS n
+              FROM d JOIN f ON d.text = f.text WHERE d.doc_id IS NULL OR f.first IS NULL OR d.doc_id <= f.first)
+        SELECT source, lang, 'v2' AS version, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
+        FROM k GROUP BY source, lang""",
+}
