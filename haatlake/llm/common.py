@@ -59,6 +59,13 @@ def runs(batches: Iterator[pa.RecordBatch], key: str, max_rows: int = 4096) -> I
         yield pa.Table.from_batches(held)
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """The name, or a longer one if df has a column of that name."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def in_bucket(column: str, modulus: int, remainder: int) -> F.Column:
     """Whether crc32 of the id as text has the remainder; a null id counts as the text ''."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus == remainder

@@ -6,11 +6,11 @@ Documents with equal sets are one point of the metric space. Two different point
 1. Pivots and regions. Unrelated texts share next to nothing, so nearly all distances are 1
    and a fixed number of pivots would tell them apart from nothing. Hence pivots follow the
    data: of the points that hold a shingle among their first ones, in an order that puts
-   frequent shingles last, the least is a pivot, and they are its region. Linked points have
+   shingles of frequent words last, the least is a pivot, and they are its region. Linked points have
    at least nine tenths of the larger set in common and so meet among the first tenth of
    both sets (plus one): a point is replicated to the regions of the pivots which its
-   first tenth leads to, its window, and no link is lost. A frequency is that of one of a
-   fixed number of hash classes, counted over all documents.
+   first tenth leads to, its window, and no link is lost. Frequencies of words are those
+   of a fixed number of hash classes, counted over all documents.
 2. Windows by prefix. With MEET - 1 further shingles linked points meet at least MEET times.
    In a region, points that meet no other one so often, at a size within the tenth, leave it.
 3. Joins. In a region, a pivot's distances to the others give its links, and by the triangle
@@ -22,7 +22,7 @@ Documents with equal sets are one point of the metric space. Two different point
    block, under the triangle windows of all these pivots. No region meets in one task.
 
 The links found connect exactly what all links would connect; components follow from them.
-Distances use 64-bit hashes of shingles, points 128-bit hashes of sets.
+Distances use 56-bit hashes of shingles, points 128-bit hashes of sets.
 
 Edge cases: a null text or one without words has no shingles and no link; with fewer words
 than a shingle the whole sequence is one. Sets of fewer than 9 shingles link to equal sets
@@ -53,22 +53,31 @@ HUNDREDTHS = 90
 LEAST = 9
 # Shingles that linked points have in common among their first ones (at most LEAST).
 MEET = 8
-CLASSES = 1 << 16
+CLASSES = 1 << 18
 # Points of a region, and shingles of a region, that one task joins; pivots of a larger region.
 REGION, PIVOTS = 1_000, 16
 # Points whose hashes a task holds to select those in regions; beyond it a join selects them.
 SELECTED = 1_000_000
 
 
-def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text, A-Z lower-cased."""
+def shingle_sets(texts: list[str], words: int = WORDS, level: np.ndarray | None = None) -> list[np.ndarray]:
+    """The distinct shingles of each text, A-Z lower-cased, as numbers in ascending order.
+
+    A number has the levels of the shingle's words in its first 8 bits, so that frequent
+    shingles come last, and 56 bits of a hash.
+    """
     raws = [t.encode("utf-8", "surrogatepass") for t in texts]
     ends = np.cumsum(np.fromiter(map(len, raws), np.int64, len(raws)) + 1)
     starts, _, hashes = word_hashes(LOWER[np.frombuffer(b"\n".join(raws), np.uint8)])
     first = np.r_[0, np.searchsorted(starts, ends)]
-    rolled = hashes
+    rolled, n = hashes, hashes.size
     for k in range(1, words):
-        rolled = mix(rolled[: hashes.size - k] * np.uint64(3) + hashes[k:])
+        rolled = mix(rolled[: n - k] * np.uint64(3) + hashes[k:])
+    rolled = rolled >> np.uint64(8)
+    if level is not None and n >= words:
+        each = level[_class(hashes)].astype(np.uint64)
+        total = sum(each[k : n - words + 1 + k] for k in range(words))
+        rolled |= np.minimum(total, np.uint64(255)) << np.uint64(56)
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
         if b - a >= words:
@@ -83,31 +92,29 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def _frequencies(docs: DataFrame, words: int) -> np.ndarray:
-    """A level for each hash class: eight bits of the logarithm of its shingles, of all documents."""
+def _class(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(CLASSES - 1)).astype(np.int64)
+
+
+def _levels(docs: DataFrame) -> np.ndarray:
+    """A level for each hash class of words: the logarithm of its occurrences in all documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros(CLASSES, np.int64)
         for _, texts in text_blocks(batches, "text"):
-            for s in shingle_sets(texts, words):
-                count += np.bincount((s & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES) if s.size > CLASSES else 0
-                if s.size <= CLASSES:
-                    np.add.at(count, (s & np.uint64(CLASSES - 1)).astype(np.int64), 1)
+            raw = "\n".join(texts).encode("utf-8", "surrogatepass")
+            count += np.bincount(_class(word_hashes(LOWER[np.frombuffer(raw, np.uint8)])[2]), minlength=CLASSES)
         at = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(count[at])], ["class", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "class int, n long").groupBy("class").agg(F.sum("n")).collect()  # at most CLASSES
+    sums = docs.select("text").mapInArrow(run, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).toArrow()  # at most CLASSES rows
     count = np.zeros(CLASSES)
-    for c, n in rows:
-        count[c] = n
-    return np.clip(np.round(4 * np.log2(1 + count / max(1.0, count.mean()))), 0, 255).astype(np.uint64)
+    count[sums["class"].to_numpy()] = sums["n"].to_numpy()
+    return np.clip(np.round(4 * np.log2(1 + count / max(1.0, count.mean()))), 0, 85).astype(np.uint8)
 
 
-def _first(points: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """The keys of a set's first shingles: linked sets have MEET of them in common."""
-    n = points.size
-    least = -(-HUNDREDTHS * n // 100)
-    keys = np.sort((level[(points & np.uint64(CLASSES - 1)).astype(np.int64)] << np.uint64(56)) | (points >> np.uint64(8)))
-    return keys[: n - least + MEET]
+def _first(points: np.ndarray) -> np.ndarray:
+    """A set's first shingles: linked sets have MEET of them in common."""
+    return points[: points.size + HUNDREDTHS * points.size // -100 + MEET]
 
 
 def _point(points: np.ndarray) -> tuple[int, int]:
@@ -123,14 +130,14 @@ def _signatures(docs: DataFrame, level: np.ndarray, words: int) -> DataFrame:
         seen: set[tuple[int, int]] = set()
         for batch, texts in text_blocks(batches, "text"):
             sizes, points, keys = [], [], []
-            for s in shingle_sets(texts, words):
+            for s in shingle_sets(texts, words, held.value):
                 point = _point(s) if s.size else (None, None)
                 new = s.size >= LEAST and point not in seen
                 if new:
                     seen.add(point)
                 sizes.append(s.size)
                 points.append(point)
-                keys.append(_first(s, held.value).view(np.int64) if new else None)
+                keys.append(_first(s).view(np.int64) if new else None)
             a, b = zip(*points)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
@@ -247,25 +254,30 @@ def _met(regions: DataFrame, signatures: DataFrame) -> DataFrame:
             .unionByName(sized.where(f"points > {REGION}").select("cell", "a", "b", F.lit(True).alias("large"))))
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, level: np.ndarray, words: int) -> DataFrame:
     """a, b, set of the wanted points, computed again from the texts; a point once in each task."""
-    names = [(r[0], r[1]) for r in wanted.limit(SELECTED + 1).collect()] if wanted.count() <= SELECTED else None
-    held = docs.sparkSession.sparkContext.broadcast(None if names is None else frozenset(names))
+    few = wanted.count() <= SELECTED
+    chosen = np.unique(wanted.select("a").toArrow()["a"].to_numpy()) if few else None
+    held = docs.sparkSession.sparkContext.broadcast((level, chosen))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels, chosen = held.value
         seen: set[tuple[int, int]] = set()
         for _, texts in text_blocks(batches, "text"):
+            sets = [s for s in shingle_sets(texts, words, levels) if s.size >= LEAST]
+            points = [_point(s) for s in sets]
+            use = np.isin(np.array([p[0] for p in points], np.int64), chosen) if chosen is not None else np.ones(len(points), bool)
             rows = []
-            for s in shingle_sets(texts, words):
-                if s.size >= LEAST and (p := _point(s)) not in seen and (held.value is None or p in held.value):
+            for s, p in (x for x, y in zip(zip(sets, points), use) if y):
+                if p not in seen:
                     seen.add(p)
                     rows.append((*p, s.view(np.int64)))
             if rows:
-                a, b, sets = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["a", "b", "set"])
+                a, b, found = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["a", "b", "set"])
 
     made = docs.select("text").mapInArrow(run, "a long, b long, set array<long>")
-    return made if names is not None else made.join(wanted, ["a", "b"], "left_semi")
+    return made if few else made.join(wanted, ["a", "b"], "left_semi")
 
 
 def _arrays(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
@@ -385,12 +397,12 @@ def sum_or(groups: list[list[int]]) -> int:
     return out
 
 
-def links(docs: DataFrame, signatures: DataFrame, words: int = WORDS) -> DataFrame:
+def links(docs: DataFrame, signatures: DataFrame, level: np.ndarray, words: int = WORDS) -> DataFrame:
     """u, v: links between points that connect what all links connect."""
     met = stage(_met(stage(_regions(signatures), "regions"), signatures), "met")
     # A region of one point is left where its other points went.
     alive = met.join(met.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "cell", "left_semi")
-    sets = _sets(docs, stage(alive.select("a", "b").dropDuplicates(), "wanted"), words)
+    sets = _sets(docs, stage(alive.select("a", "b").dropDuplicates(), "wanted"), level, words)
     rows = alive.join(sets, ["a", "b"])
     small = _small_links(rows.where("not large").select("cell", "a", "b", "set"))
     if met.where("large").limit(1).count():
@@ -398,15 +410,58 @@ def links(docs: DataFrame, signatures: DataFrame, words: int = WORDS) -> DataFra
     return small
 
 
-def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles and component_id (the least id linked to it, directly or not) of every row."""
-    docs = df.select(df[doc_id].alias("doc_id"), df[text].alias("text"))
-    signatures = stage(_signatures(docs, _frequencies(docs, words), words), "signatures")
-    linked = components(links(docs, signatures, words))
+def _solved(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """The signatures, the component_id of each point, and the levels."""
+    level = _levels(docs)
+    signatures = stage(_signatures(docs, level, words), "signatures")
+    linked = components(links(docs, signatures, level, words))
     name = F.concat(F.lpad(F.lower(F.hex("a")), 16, "0"), F.lpad(F.lower(F.hex("b")), 16, "0"))
     points = signatures.where("a is not null").groupBy("a", "b").agg(F.min("doc_id").alias("least")).withColumn("node", name)
     rooted = points.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_point = rooted.join(smallest, "root").select("a", "b", "component_id")
-    return (signatures.select("doc_id", "n_shingles", "a", "b").join(of_point, ["a", "b"], "left")
-            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+    return signatures, rooted.join(smallest, "root").select("a", "b", "root", "least", "component_id"), level
+
+
+def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """doc_id, n_shingles and component_id (the least id linked to it, directly or not) of every row."""
+    docs = df.select(df[doc_id].alias("doc_id"), df[text].alias("text"))
+    signatures, solved, _ = _solved(docs, words)
+    found = signatures.select("doc_id", "n_shingles", "a", "b").join(solved.select("a", "b", "component_id"), ["a", "b"], "left")
+    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", own.alias("component_id"))
+
+
+def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """The rows of df but for those that another one of their component stands for: the one of least id stays.
+
+    Rows without shingles all stay. Of rows with equal id and equal shingles one stays.
+    """
+    docs = df.select(df[doc_id].alias("doc_id"), df[text].alias("text"))
+    signatures, solved, level = _solved(docs, words)
+    # A component's row is that of its least id, and with equal ids of its least point.
+    ids = signatures.where("a is not null").select("doc_id", "a", "b").groupBy("doc_id", "a", "b").agg(F.count(F.lit(1)).alias("n")).join(solved.select("a", "b", "root"), ["a", "b"])
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "a", "b")
+    decided = stage(ids.join(ids.groupBy("root").agg(F.min(key).alias("first")), "root")
+                    .select("doc_id", "a", "b", "n", (key == F.col("first")).alias("stays")), "decided")
+    held = df.sparkSession.sparkContext.broadcast(level)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_blocks(batches, "text"):
+            points = [_point(s) if s.size else (None, None) for s in shingle_sets(texts, words, held.value)]
+            a, b = zip(*points)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["row", "doc_id", "a", "b"])
+
+    given = df.select(F.struct("*").alias("row"), df[doc_id].alias("doc_id"), df[text].alias("text"))
+    rows = given.mapInArrow(run, given.select("row", "doc_id", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).schema)
+
+    def meet(names: DataFrame, how: str) -> DataFrame:
+        names = bounded(names.select(F.col("doc_id").alias("i"), F.col("a").alias("x"), F.col("b").alias("y")))
+        return rows.join(names, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), how)
+
+    out = meet(decided.where("not stays or n > 1"), "left_anti").select("row.*")
+    several = decided.where("stays and n > 1")
+    if several.limit(1).count():
+        order = Window.partitionBy("doc_id", "a", "b").orderBy(F.xxhash64("row"))
+        one = meet(several, "left_semi").withColumn("nth", F.row_number().over(order)).where("nth = 1")
+        out = out.unionByName(one.select("row.*"))
+    return out
