@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from haatlake.llm.common import per_worker, text_blocks
+from haatlake.llm.common import per_worker, spare, text_blocks
 from haatlake.llm.hashing import Lookup, word_hashes
 
 # Words of a worker's table, at a quarter of its slots; beyond it the table starts anew.
@@ -314,18 +314,18 @@ def encode(df: DataFrame, text: str = "text", outputs: tuple[str, ...] = ("ids",
            keep: tuple[str, ...] | None = None) -> DataFrame:
     """Add the outputs for each row's text. keep: the input columns to pass on (default: all)."""
     file = df.sparkSession.sparkContext.broadcast(tokenizer_file(path))
-    kept = [c for c in (df.columns if keep is None else keep) if c not in outputs]
+    kept, hidden = [c for c in (df.columns if keep is None else keep) if c not in outputs], spare(df, "_text")
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(o, OUTPUTS[o][0]) for o in outputs])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(file.value)
-        for batch, texts in text_blocks(batches, "_text"):
+        for batch, texts in text_blocks(batches, hidden):
             ids, ends = bpe.encode(texts)
             rows = [part.tolist() for part in np.split(ids, ends[:-1])]
             made = [pa.array([OUTPUTS[o][1](bpe, r) for r in rows], ARROW[o]) for o in outputs]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + made, [*kept, *outputs])
 
-    return df.select(*kept, df[text].alias("_text")).mapInArrow(run, schema)
+    return df.select(*kept, df[text].alias(hidden)).mapInArrow(run, schema)
 
 
 ARROW = {"ids": pa.list_(pa.int32()), "decoded": pa.string(), "n_tokens": pa.int64(), "ids_sha256": pa.string(),
@@ -335,13 +335,13 @@ ARROW = {"ids": pa.list_(pa.int32()), "decoded": pa.string(), "n_tokens": pa.int
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None) -> DataFrame:
     """Add the text of each row's ids (null ids: '')."""
     file = df.sparkSession.sparkContext.broadcast(tokenizer_file(path))
-    kept = [c for c in df.columns if c != out]
+    kept, hidden = [c for c in df.columns if c != out], spare(df, "_ids")
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(file.value)
         for batch in batches:
-            texts = pa.array([bpe.decode(r or []) for r in batch.column("_ids").to_pylist()], pa.string())
+            texts = pa.array([bpe.decode(r or []) for r in batch.column(hidden).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [texts], [*kept, out])
 
-    return df.select(*kept, df[ids].alias("_ids")).mapInArrow(run, schema)
+    return df.select(*kept, df[ids].alias(hidden)).mapInArrow(run, schema)

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haatlake.llm.common import BLOCK_CHARS, text_blocks
+from haatlake.llm.common import BLOCK_CHARS, spare, text_blocks
 from haatlake.llm.hashing import mix, word_hashes
 
 EXACT, LIKE = 8, 256
@@ -102,15 +102,15 @@ def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
     """Add each row's fingerprint. No shuffle."""
-    kept = [c for c in df.columns if c != out]
+    kept, hidden = [c for c in df.columns if c != out], spare(df, "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_blocks(batches, "_text"):
+        for batch, texts in text_blocks(batches, hidden):
             made = pa.array([shown(e, x) for e, x in zip(*vectors(texts))], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + [made], [*kept, out])
 
     schema = df.select(*kept, F.lit("").alias(out)).schema
-    return df.select(*kept, df[text].alias("_text")).mapInArrow(run, schema)
+    return df.select(*kept, df[text].alias(hidden)).mapInArrow(run, schema)
 
 
 def _ranges(ids: DataFrame, n: int) -> tuple[np.ndarray, dict[int, list[int]]]:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haatlake.llm.common import text_blocks
+from haatlake.llm.common import spare, text_blocks
 from haatlake.llm.hashing import word_hashes
 
 PAIRS = 128
@@ -141,13 +141,15 @@ def platt(margin: np.ndarray, label: np.ndarray, steps: int = 60) -> tuple[float
 
 def feature_rows(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """The features of each row as an array of floats."""
+    hidden = spare(df, "_text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_blocks(batches, "_text"):
+        for batch, texts in text_blocks(batches, hidden):
             made = pa.array(list(features(texts)), pa.list_(pa.float32()))
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [made], [*keep, "x"])
 
     schema = df.select(*keep, F.array(F.lit(0.0).cast("float")).alias("x")).schema
-    return df.select(*keep, df[text].alias("_text")).mapInArrow(run, schema)
+    return df.select(*keep, df[text].alias(hidden)).mapInArrow(run, schema)
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "text",
@@ -188,13 +190,14 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str = "doc
 def score(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
     """Add score (0 to 1) and predicted (1 if score >= ACCEPT). No shuffle; the model's size is fixed."""
     held = df.sparkSession.sparkContext.broadcast(model)
+    hidden = spare(df, "_text")
     kept = [c for c in (df.columns if keep is None else keep) if c not in ("score", "predicted")]
     schema = df.select(*kept, F.lit(0.0).alias("score"), F.lit(1).alias("predicted")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_blocks(batches, "_text"):
+        for batch, texts in text_blocks(batches, hidden):
             found = held.value.score(texts)
             made = [pa.array(found, pa.float64()), pa.array((found >= ACCEPT).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + made, [*kept, "score", "predicted"])
 
-    return df.select(*kept, df[text].alias("_text")).mapInArrow(run, schema)
+    return df.select(*kept, df[text].alias(hidden)).mapInArrow(run, schema)
