@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from .numbers import halfup
 from .text import folded
-from .vocabulary import FALSE_WORDS, TRUE_WORDS
+from .vocabulary import FALSE_WORDS, FIRST_DATE, LAST_DATE, TRUE_WORDS
 
 
-def date_of(c: Column) -> Column:
-    """yyyy-M-d, d/M/yyyy or d-M-yy (20yy) to a date.
+def date_of(c: Column, first: str = FIRST_DATE, last: str = LAST_DATE) -> Column:
+    """yyyy-M-d, d/M/yyyy or d-M-yy (20yy) to a date from first to last; others are typing errors.
 
     The two day-first shapes are rewritten to ISO and one cast parses all
     three, so a row is parsed once and no failed attempt raises internally.
@@ -19,7 +19,8 @@ def date_of(c: Column) -> Column:
     t = F.trim(c)
     t = F.regexp_replace(t, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1")
     t = F.regexp_replace(t, r"^(\d{1,2})-(\d{1,2})-(\d{2})$", "20$3-$2-$1")
-    return F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), t.try_cast("date"))
+    day = F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), t.try_cast("date"))
+    return F.when(day.between(F.lit(first).cast("date"), F.lit(last).cast("date")), day)
 
 
 def price_of(c: Column) -> Column:

@@ -181,3 +181,6 @@ CORRELATED_COLUMNS = [
 
 def city_tiers(tier1: list[str]) -> dict[str, str]:
     return {c: "Metro" for c in METRO_CITIES} | {c: "Tier 1" for c in tier1}
+
+# Dates outside are typing errors: the days that 64-bit nanoseconds hold. A calendar thus has at most 213,503 days.
+FIRST_DATE, LAST_DATE = "1677-09-22", "2262-04-10"

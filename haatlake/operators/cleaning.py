@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import parsing
 from ..functions import text as words
 from ..functions import vocabulary as vocab
-from ..sources.staging import bounded, materialise
+from ..sources.staging import bounded, fits, materialise
 from .shaping import exact_quantiles
 
 DUPLICATE_KEY = ("customer_id", "product_id", "order_date", "final_amount_inr")
@@ -91,11 +91,20 @@ def fix_delivery_days(df: DataFrame, col: str = "delivery_days") -> DataFrame:
 
 
 def row_order(df: DataFrame, tie_on: Sequence[str]) -> list[Column]:
-    """The order that stands for "row order": date, id, then the row's own content."""
+    """The order that stands for "row order": date, id, then the row's own content.
+
+    Nulls are least: whoever takes the last row by it prefers rows with date and id.
+    """
     lead = [c for c in ("order_date_dt", "transaction_id") if c in df.columns]
     return [*[F.col(c) for c in lead], F.xxhash64(*tie_on)]
 
 
+def first_order(df: DataFrame, tie_on: Sequence[str]) -> list[Column]:
+    """The same for whoever takes the first row: nulls are greatest."""
+    *lead, tie = row_order(df, tie_on)
+    return [x for c in lead for x in (c.isNull(), c)] + [tie]
+
+
 def handle_duplicates(
     df: DataFrame, key_cols: Sequence[str] | None = None, bulk_threshold: int = 5
 ) -> DataFrame:
@@ -122,7 +131,7 @@ def handle_duplicates(
     )
     sizes = keyed.groupBy("_h", "_k").agg(F.count(F.lit(1)).alias("_size"))
     position = F.row_number().over(
-        W.partitionBy("_h", "_k").orderBy(*row_order(df, df.columns))
+        W.partitionBy("_h", "_k").orderBy(*first_order(df, df.columns))
     )
     kept = keyed.withColumn("_pos", position).where(F.col("_pos") <= bulk_threshold)
     tagged = (
@@ -207,8 +216,8 @@ def enrich_from_catalog(df: DataFrame, catalog: DataFrame, key: str = "product_i
     unique = catalog.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.min(F.struct(*new)).alias("_c")
     )
-    # Unique keys cannot outnumber catalog rows, so counting the file bounds the side.
-    few = bounded(catalog) is not catalog
+    # Unique keys cannot outnumber catalog rows, so the file's rows and bytes bound the side.
+    few = fits(catalog)
     return df.join(F.broadcast(unique) if few else unique, key, "left").select(
         *df.columns, *[F.col(f"_c.{c}").alias(c) for c in new]
     )

@@ -143,3 +143,11 @@ def quality_report(before: DataFrame, after: DataFrame) -> DataFrame:
     for p in parts[1:]:
         report = report.unionByName(p)
     return report
+
+
+REPORT = "section string, column string, metric string, value string"
+
+
+def write_report(before: DataFrame, after: DataFrame, path: str) -> None:
+    """The report as JSON lines. It is small: a few rows for each column."""
+    quality_report(before, after).coalesce(1).write.mode("overwrite").json(path)

@@ -43,20 +43,6 @@ def pct_change(df: DataFrame, order: str, value: str, alias: str, digits: int =
     return df.withColumn(alias, percent(F.col(value) - prev, prev, digits))
 
 
-def dense_grid(df: DataFrame, row: str, col: str, value: str) -> DataFrame:
-    """Long-form matrix with a row for every (row label, column label), zero where absent.
-
-    df is an aggregated frame, staged by the caller since it is read three
-    times. The label list is one axis of the result and travels as a scalar.
-    """
-    labels = df.where(F.col(col).isNotNull()).agg(F.sort_array(F.collect_set(col)))
-    grid = (
-        df.where(F.col(row).isNotNull()).select(row).distinct()
-        .withColumn(col, F.explode(labels.scalar()))
-    )
-    return grid.join(df, [row, col], "left").fillna(0, [value])
-
-
 def value_counts(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     """Occurrences of each distinct non-null value per group."""
     v = F.col(value).cast("double")
@@ -151,6 +137,43 @@ def qcut(df: DataFrame, buckets: dict[str, str], n: int) -> DataFrame:
     return df.withColumns({b: bucket_of(F.col(v), cuts[v], n) for v, b in buckets.items()})
 
 
+def rank_bucket(df: DataFrame, value: str, tie: str, n: int) -> Column:
+    """Bucket 1..n of a row by its rank in (value, tie), by n-1 cut rows found beforehand.
+
+    df is staged by the caller. Rows are counted by value; only the rows of the values that
+    hold a cut are ordered, first by ranges of a hash-free prefix sum, so the result is a
+    comparison with n-1 (value, tie) pairs and no row is ranked.
+    """
+    counted = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")).where(F.col(value).isNotNull())
+    running = counted.withColumn("_end", F.sum("_n").over(W.orderBy(value)))
+    total = df.agg(F.count(F.lit(1))).first()[0]
+    cuts = []
+    for i in range(1, n):
+        rank = int((total - 1) * i / n) + 1  # the last rank of bucket i
+        at = running.where(F.col("_end") >= rank).orderBy(value).first()
+        if at is None:
+            continue
+        within = df.where(F.col(value) == F.lit(at[0])).select(tie)
+        cuts.append((at[0], _nth(within, tie, rank - (at["_end"] - at["_n"]), at["_n"])))
+    c, t = F.col(value), F.col(tie)
+    chain = F.when(F.lit(False), F.lit(0))
+    for i, (v, k) in enumerate(cuts, 1):
+        chain = chain.when((c < v) | (c == v) & (t <= k), F.lit(i))
+    return chain.otherwise(F.lit(n)).cast("int")
+
+
+def _nth(df: DataFrame, col: str, k: int, size: int, most: int = 50_000) -> object:
+    """The k-th least of a column's distinct values, narrowed by approximate quantiles of texts' prefixes."""
+    width = 0
+    while size > most:  # halve by the prefix that holds the k-th value
+        width += 2
+        groups = df.groupBy(F.substring(F.col(col).cast("string"), 1, width).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        row = groups.withColumn("end", F.sum("n").over(W.orderBy("p"))).where(F.col("end") >= k).orderBy("p").first()
+        k, size = k - (row["end"] - row["n"]), row["n"]
+        df = df.where(F.substring(F.col(col).cast("string"), 1, width) == row["p"])
+    return df.orderBy(col).limit(k).agg(F.max(col)).first()[0]
+
+
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Equal-width bins over [min, max], the last one closed; empty bins are listed."""
     values = df.select(F.col(value).cast("double").alias("v")).where("v IS NOT NULL")

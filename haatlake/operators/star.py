@@ -9,25 +9,26 @@ from pyspark.sql import functions as F
 from ..functions import vocabulary as vocab
 from ..functions.parsing import stored_flag_of
 from ..functions.text import tier_of
-from .cleaning import row_order
 from .shaping import present
 
 PRODUCT_COLUMNS = {
     "product_id": "string", "product_name": "string", "category": "string",
-    "subcategory": "string", "brand": "string", "base_price_2015": "decimal(12,2)",
+    "subcategory": "string", "brand": "string", "base_price_2015": "decimal(20,2)",
     "weight_kg": "decimal(8,3)", "product_rating": "decimal(3,2)",
     "is_prime_eligible": "boolean", "launch_year": "smallint", "model": "string",
 }
 FACT_COLUMNS = {
     "transaction_id": "string", "customer_id": "string", "product_id": "string",
     "date_id": "int", "order_date": "date", "payment_method": "string",
-    "original_price_inr": "decimal(12,2)", "discount_percent": "decimal(5,2)",
-    "final_amount_inr": "decimal(12,2)", "delivery_charges": "decimal(8,2)",
+    "original_price_inr": "decimal(20,2)", "discount_percent": "decimal(5,2)",
+    "final_amount_inr": "decimal(20,2)", "delivery_charges": "decimal(20,2)",
     "delivery_days": "decimal(4,1)", "return_status": "string",
     "customer_rating": "decimal(3,2)", "is_prime_member": "boolean",
     "is_festival_sale": "boolean", "festival_name": "string",
     "is_bulk_order": "boolean", "bulk_qty": "int",
 }
+# What a customer's dimension row tells of its last known value.
+DESCRIBED = ("customer_city", "customer_state", "age_group", "customer_spending_tier")
 # Warehouse name -> name in the cleaned data, used when the former is absent.
 SYNONYMS = {
     "age_group": "customer_age_group",
@@ -81,57 +82,84 @@ def order_bounds(df: DataFrame) -> DataFrame:
     return _dated(df).agg(F.min("order_date_dt").alias("lo"), F.max("order_date_dt").alias("hi"))
 
 
-def build_dim_products(df: DataFrame) -> DataFrame:
-    """The last row per product over the columns present.
+def _ordered(df: DataFrame) -> Column:
+    """Order date and transaction id as one comparable value of a fixed type."""
+    date, number = (F.col(c) if c in df.columns else F.lit(None) for c in ("order_date_dt", "transaction_id"))
+    return F.struct(date.cast("date").alias("day"), number.cast("string").alias("id"))
+
 
-    `max_by` combines on the map side: a best-selling product costs each task one row.
+def product_state(df: DataFrame) -> DataFrame:
+    """product_id and the last row over the columns present, with what it was ordered by.
+
+    The maximum combines on the map side, and maxima of several loads combine likewise.
     """
-    df = with_synonyms(df)
-    keep = [c for c in PRODUCT_COLUMNS if c in df.columns]
-    latest = F.max_by(F.struct(*keep), F.struct(*row_order(df, keep)))
-    return (
-        df.where(F.col("product_id").isNotNull())
-        .groupBy("product_id").agg(latest.alias("_p"))
-        .select("_p.*")
-        .transform(lambda p: p.select(*[_typed(p, c, PRODUCT_COLUMNS[c]) for c in keep]))
-    )
+    df = _dated(with_synonyms(df))
+    columns = [_typed(df, c, t) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in PRODUCT_COLUMNS.items()]
+    tie = F.xxhash64(*[c for c in PRODUCT_COLUMNS if c in df.columns])
+    latest = F.struct(_ordered(df).alias("at"), tie.alias("tie"), F.struct(*columns).alias("row"))
+    return df.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(F.max(latest).alias("latest"))
 
 
-def build_dim_customers(df: DataFrame) -> DataFrame:
-    """Last known attributes, membership and purchase span per customer."""
+def customer_state(df: DataFrame) -> DataFrame:
+    """customer_id, each attribute's last known value with its order, membership and purchase span."""
     df = _dated(with_synonyms(df))
-    described = ("customer_city", "customer_state", "age_group", "customer_spending_tier")
 
     def last_known(c: str) -> Column:
-        if c not in df.columns:
-            return F.lit(None).cast("string").alias(c)
-        order = [o for o in ("order_date_dt", "transaction_id") if o in df.columns]
+        value = (F.col(c) if c in df.columns else F.lit(None)).cast("string")
         # The value itself settles ties, so no further column is read for them.
-        ranked = F.when(F.col(c).isNotNull(), F.struct(*order, c))
-        return F.max(ranked)[c].alias(c)
+        return F.max(F.when(value.isNotNull(), F.struct(_ordered(df).alias("at"), value.alias("value")))).alias(c)
 
-    member = (
-        F.bool_or(_typed(df, "is_prime_member", "boolean"))
-        if "is_prime_member" in df.columns else F.lit(None).cast("boolean")
-    )
+    member = _typed(df, "is_prime_member", "boolean") if "is_prime_member" in df.columns else F.lit(None).cast("boolean")
+    return df.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        *[last_known(c) for c in DESCRIBED], F.bool_or(member).alias("is_prime_member"),
+        F.min("order_date_dt").alias("first_purchase_date"), F.max("order_date_dt").alias("last_purchase_date"))
+
+
+def merged_products(states: DataFrame) -> DataFrame:
+    return states.groupBy("product_id").agg(F.max("latest").alias("latest"))
+
+
+def merged_customers(states: DataFrame) -> DataFrame:
+    return states.groupBy("customer_id").agg(
+        *[F.max(c).alias(c) for c in DESCRIBED], F.bool_or("is_prime_member").alias("is_prime_member"),
+        F.min("first_purchase_date").alias("first_purchase_date"), F.max("last_purchase_date").alias("last_purchase_date"))
+
+
+def dim_products_of(state: DataFrame) -> DataFrame:
+    return state.select("latest.row.*")
+
+
+def dim_customers_of(state: DataFrame) -> DataFrame:
     tiers = vocab.city_tiers(vocab.TIER1_CITIES)
-    return (
-        df.where(F.col("customer_id").isNotNull()).groupBy("customer_id")
-        .agg(
-            *[last_known(c) for c in described],
-            member.alias("is_prime_member"),
-            F.min("order_date_dt").alias("first_purchase_date"),
-            F.max("order_date_dt").alias("last_purchase_date"),
-        )
-        .select(
-            "customer_id", "customer_city", "customer_state",
-            tier_of(F.col("customer_city"), tiers, vocab.DEFAULT_TIER).alias("city_tier"),
-            "age_group", "is_prime_member", "customer_spending_tier",
-            "first_purchase_date", "last_purchase_date",
-        )
+    flat = state.select("customer_id", *[F.col(f"{c}.value").alias(c) for c in DESCRIBED], "is_prime_member",
+                        "first_purchase_date", "last_purchase_date")
+    return flat.select(
+        "customer_id", "customer_city", "customer_state",
+        tier_of(F.col("customer_city"), tiers, vocab.DEFAULT_TIER).alias("city_tier"),
+        "age_group", "is_prime_member", "customer_spending_tier",
+        "first_purchase_date", "last_purchase_date",
     )
 
 
+def build_dim_products(df: DataFrame) -> DataFrame:
+    """The last row per product over the columns present."""
+    keep = [c for c in PRODUCT_COLUMNS if c in with_synonyms(df).columns]
+    return dim_products_of(product_state(df)).select(*keep)
+
+
+def build_dim_customers(df: DataFrame) -> DataFrame:
+    """Last known attributes, membership and purchase span per customer."""
+    return dim_customers_of(customer_state(df))
+
+
+def misfits(df: DataFrame) -> dict[str, Column]:
+    """For each fact column in df, an aggregate that counts the values its type can't hold."""
+    return {
+        c: F.count_if(F.col(c).isNotNull() & _typed(df, c, t).isNull())
+        for c, t in FACT_COLUMNS.items() if c in df.columns and t.startswith("decimal")
+    }
+
+
 def build_fact_transactions(df: DataFrame) -> DataFrame:
     """Complete rows projected to the fact columns, first row per transaction_id.
 

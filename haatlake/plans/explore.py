@@ -7,7 +7,8 @@ whose columns are absent returns no panels.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -17,13 +18,34 @@ from ..functions import vocabulary as vocab
 from ..functions.numbers import CRORE, halfup, percent, ratio
 from ..functions.text import tier_of
 from ..operators import shaping as sh
-from ..operators.cleaning import row_order
+from ..operators.cleaning import first_order
 from ..operators.star import with_synonyms
 from ..sources.staging import materialise
 from .views import is_returned, rows
 
 log = logging.getLogger(__name__)
-Panels = dict[str, DataFrame]
+
+
+class Panels(Mapping):
+    """Frames by name. One given as a function is built when it is first read, with the stages it needs."""
+
+    def __init__(self, frames: dict[str, DataFrame | Callable[[], DataFrame]] | None = None):
+        self._frames = dict(frames or {})
+
+    def __getitem__(self, name: str) -> DataFrame:
+        frame = self._frames[name]
+        if not isinstance(frame, DataFrame):
+            frame = self._frames[name] = frame()
+        return frame
+
+    def __setitem__(self, name: str, frame: DataFrame | Callable[[], DataFrame]) -> None:
+        self._frames[name] = frame
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._frames)
+
+    def __len__(self) -> int:
+        return len(self._frames)
 
 AMOUNTS = ("final_amount_inr", "final_amount", "amount", "original_price_inr")
 
@@ -53,9 +75,14 @@ def dated(df: DataFrame) -> DataFrame:
     )
 
 
-def total(c: str) -> Column:
+def exact(c: str | Column) -> Column:
+    """A double as a decimal, so that its sum neither rounds nor depends on the order of rows."""
+    return (F.col(c) if isinstance(c, str) else c).try_cast("decimal(28,6)")
+
+
+def total(c: str | Column) -> Column:
     """Sum that is zero, not NULL, when every value is missing."""
-    return F.coalesce(F.sum(F.col(c).cast("double")), F.lit(0.0))
+    return F.coalesce(F.sum(exact(c)).cast("double"), F.lit(0.0))
 
 
 def revenue(c: str) -> Column:
@@ -63,13 +90,13 @@ def revenue(c: str) -> Column:
 
 
 def mean(c: str) -> Column:
-    return halfup(ratio(F.sum(F.col(c).cast("double")), F.count(c)))
+    return halfup(ratio(F.sum(exact(c)).cast("double"), F.count(c)))
 
 
 def revenue_trend(df: DataFrame) -> Panels:
     amt, df = amount_column(df), dated(df)
     yearly = sh.present(df, "_year").groupBy(F.col("_year").alias("year")).agg(revenue(amt))
-    return {"yearly": sh.pct_change(yearly, "year", "revenue", "growth_pct")}
+    return Panels({"yearly": sh.pct_change(yearly, "year", "revenue", "growth_pct")})
 
 
 def seasonal_heatmap(df: DataFrame) -> Panels:
@@ -77,9 +104,9 @@ def seasonal_heatmap(df: DataFrame) -> Panels:
     months = list(range(1, 13))
     wide = (
         sh.present(df, "_year").groupBy(F.col("_year").alias("year")).pivot("_month", months)
-        .agg(halfup(F.sum(F.col(amt).cast("double")) / CRORE, 6)).fillna(0.0)
+        .agg(halfup(F.sum(exact(amt)).cast("double") / CRORE, 6)).fillna(0.0)
     )
-    return {"matrix": wide.select("year", *[F.col(str(m)).alias(f"m{m:02d}") for m in months])}
+    return Panels({"matrix": wide.select("year", *[F.col(str(m)).alias(f"m{m:02d}") for m in months])})
 
 
 def customer_values(df: DataFrame) -> DataFrame:
@@ -104,36 +131,33 @@ def segment_of(score: Column) -> Column:
 
 
 def rfm_segmentation(df: DataFrame) -> Panels:
-    """Quintile scores. Frequency ranks its ties by customer id, hence the global rank."""
-    values = materialise(customer_values(df), "rfm")
-    n = values.agg(rows()).scalar()
-    edges = F.array(*[(n - 1) * F.lit(i / 5) + 1 for i in range(1, 5)])
-    ranked = sh.global_rank(values, ["frequency", "customer_id"], "_rank")
-    scored = sh.qcut(ranked, {"recency": "_r", "monetary": "m_score"}, 5)
-    scored = (
-        scored.withColumn("r_score", 6 - F.col("_r"))
-        .withColumn("f_score", sh.bucket_of(F.col("_rank").cast("double"), edges, 5))
-        .withColumn("score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
-        .withColumn("segment", segment_of(F.col("score")))
-        .drop("_r", "_rank")
-    )
-    scored = materialise(scored, "scores")
-    counts = scored.groupBy("segment").agg(rows().alias("customers"))
-    return {"scores": scored, "segments": counts}
+    """Quintile scores. Frequency ranks its ties by customer id; four cut points decide, not a rank for each row."""
+    @cache
+    def scores() -> DataFrame:
+        values = materialise(customer_values(df), "rfm")
+        scored = sh.qcut(values, {"recency": "_r", "monetary": "m_score"}, 5)
+        return (
+            scored.withColumn("r_score", 6 - F.col("_r"))
+            .withColumn("f_score", sh.rank_bucket(values, "frequency", "customer_id", 5))
+            .withColumn("score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
+            .withColumn("segment", segment_of(F.col("score")))
+            .drop("_r")
+        )
+
+    return Panels({"scores": scores, "segments": lambda: scores().groupBy("segment").agg(rows().alias("customers"))})
 
 
 def _share_grid(df: DataFrame, row: str, col: str, value: str = "orders") -> DataFrame:
-    """Counts over the full row x column grid with each row's percentages."""
+    """Counts of the pairs that occur, with each row's percentages. A pair that is absent is zero."""
     counted = sh.present(df, row, col).groupBy(row, col).agg(rows().alias(value))
-    return sh.share_of(sh.dense_grid(materialise(counted, "grid"), row, col, value),
-                       [row], value, "share_pct")
+    return sh.share_of(counted, [row], value, "share_pct")
 
 
 def payment_evolution(df: DataFrame) -> Panels:
     if "payment_method" not in df.columns:
-        return {}
+        return Panels()
     yearly = dated(df).withColumnRenamed("_year", "year")
-    return {"share": _share_grid(yearly, "year", "payment_method")}
+    return Panels({"share": _share_grid(yearly, "year", "payment_method")})
 
 
 def category_performance(
@@ -141,12 +165,11 @@ def category_performance(
 ) -> Panels:
     """Revenue, share and growth between two year windows; growth needs both windows."""
     if "category" not in df.columns:
-        return {}
+        return Panels()
     amt, df = amount_column(df), dated(df)
-    value = F.col(amt).cast("double")
     within = lambda span: F.col("_year").between(*span)
     window = lambda span: F.when(
-        F.count_if(within(span)) > 0, F.coalesce(F.sum(F.when(within(span), value)), F.lit(0.0))
+        F.count_if(within(span)) > 0, total(F.when(within(span), F.col(amt)))
     )
     sums = sh.present(df, "category").groupBy("category").agg(
         total(amt).alias("_rev"), window(early).alias("_early"), window(late).alias("_late")
@@ -157,27 +180,27 @@ def category_performance(
         percent(F.col("_rev"), whole).alias("share_pct"),
         percent(F.col("_late") - F.col("_early"), F.col("_early")).alias("growth_pct"),
     )
-    return {
+    return Panels({
         "revenue": panels.select("category", "revenue", "share_pct"),
         "growth": panels.select("category", "growth_pct").where("growth_pct IS NOT NULL"),
-    }
+    })
 
 
 def prime_impact(df: DataFrame) -> Panels:
     if "is_prime_member" not in df.columns:
-        return {}
+        return Panels()
     amt = amount_column(df)
     flag = F.col("is_prime_member")
     label = F.when(flag, "Prime").when(~flag, "Non-Prime").otherwise("Unknown")
     df = df.withColumn("prime_label", label)
-    panels = {"orders": df.groupBy("prime_label").agg(mean(amt).alias("aov"), rows().alias("orders"))}
+    panels = Panels({"orders": df.groupBy("prime_label").agg(mean(amt).alias("aov"), rows().alias("orders"))})
     if "category" in df.columns:
         panels["mix"] = _share_grid(df, "prime_label", "category")
     return panels
 
 
 def geographic(df: DataFrame) -> Panels:
-    amt, panels = amount_column(df), {}
+    amt, panels = amount_column(df), Panels()
     if "customer_city" in df.columns:
         cities = sh.present(df, "customer_city").groupBy("customer_city").agg(revenue(amt))
         panels["cities"] = sh.top_k(cities, "revenue", 15, "customer_city")
@@ -193,12 +216,12 @@ def geographic(df: DataFrame) -> Panels:
 
 def festival_impact(df: DataFrame) -> Panels:
     if "is_festival_sale" not in df.columns:
-        return {}
+        return Panels()
     amt, df = amount_column(df), dated(df)
     kind = F.when(F.col("is_festival_sale"), "Festival").otherwise("Normal")
     daily = sh.present(df, "_dt", "is_festival_sale")
-    panels = {"daily": daily.groupBy(F.col("_dt").alias("order_day"), kind.alias("period"))
-              .agg(revenue(amt))}
+    panels = Panels({"daily": daily.groupBy(F.col("_dt").alias("order_day"), kind.alias("period"))
+              .agg(revenue(amt))})
     if "festival_name" in df.columns:
         named = sh.present(df.where("is_festival_sale"), "festival_name")
         panels["festivals"] = sh.top_k(
@@ -209,30 +232,33 @@ def festival_impact(df: DataFrame) -> Panels:
 def age_groups(df: DataFrame) -> Panels:
     df = with_synonyms(df)
     if "age_group" not in df.columns:
-        return {}
+        return Panels()
     amt = amount_column(df)
     spend = sh.present(df, "age_group").groupBy("age_group").agg(
         revenue(amt), mean(amt).alias("aov"), F.count(amt).alias("orders"))
-    panels = {"spend": spend}
+    panels = Panels({"spend": spend})
     if "category" in df.columns:
         panels["mix"] = _share_grid(df, "age_group", "category")
     return panels
 
 
 def deterministic_sample(df: DataFrame, columns: list[str], size: int, seed: int) -> DataFrame:
-    """`size` rows with the smallest seeded hash, or all if there are fewer.
+    """The `size` rows with the smallest seeded hash of ids and columns, or all if there are fewer.
 
-    Rows beyond four times the expected hash range are dropped at the scan,
-    so the final top-k merges a handful of rows per task instead of `size`.
+    Rows are counted by the hash's first digits, at most 65,536 counts. The first digits that hold
+    `size` rows bound what is ordered, so no task or merge sees many more, whatever the rows hold.
     """
     ids = [c for c in ("transaction_id", "customer_id", "product_id") if c in df.columns]
-    digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in ids or columns], F.lit(str(seed))))
-    whole = sh.present(df, *columns)
-    hashed = whole.select(*columns, *[c for c in ids if c not in columns]).withColumn("_h", digest)
-    n = whole.agg(rows()).scalar()
-    keep = F.floor(ratio(F.lit(4.0 * size), n) * 2**32)
-    limit = F.when(keep >= 2**32, F.lit("g")).otherwise(F.lpad(F.lower(F.hex(keep)), 8, "0"))
-    return hashed.where(F.col("_h") < limit).orderBy("_h", *ids, *columns).limit(size).drop("_h")
+    types = dict(df.dtypes)
+    plain = lambda c: exact(c).cast("string") if types[c] in ("double", "float") else F.col(c).cast("string")
+    content = [plain(c) for c in (*ids, *[c for c in columns if c not in ids])]
+    digest = F.md5(F.concat_ws("|", *content, F.lit(str(seed))))
+    hashed = sh.present(df, *columns).select(*columns, *[c for c in ids if c not in columns]).withColumn("_h", digest)
+    lead = F.substring("_h", 1, 4)
+    below = (hashed.groupBy(lead.alias("lead")).agg(rows().alias("n"))
+             .withColumn("before", F.sum("n").over(W.orderBy("lead")) - F.col("n")))
+    last = below.where(F.col("before") < size).agg(F.max("lead")).scalar()
+    return hashed.where(lead <= last).orderBy("_h", *ids, *columns).limit(size).drop("_h")
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -265,23 +291,23 @@ def price_vs_demand(df: DataFrame, sample_size: int = 20_000, seed: int = 42) ->
     amt = amount_column(df)
     price = first_present(df, "original_price_inr", "price", "base_price_2015")
     if price is None or "category" not in df.columns:
-        return {}
+        return Panels()
     numeric = [c for c in vocab.CORRELATED_COLUMNS if c in df.columns]
     columns = list(dict.fromkeys([price, amt, "category"]))
-    return {
-        "sample": deterministic_sample(df, columns, sample_size, seed).select(*columns),
+    return Panels({
+        "sample": lambda: deterministic_sample(df, columns, sample_size, seed).select(*columns),
         "correlation": correlations(df, numeric),
-    }
+    })
 
 
 def delivery_performance(df: DataFrame) -> Panels:
     """Missing days count as late here, unlike in the warehouse view."""
     if "delivery_days" not in df.columns:
-        return {}
-    panels = {
+        return Panels()
+    panels = Panels({
         "histogram": sh.histogram(df, "delivery_days", 20),
         "median": sh.median(df, "delivery_days"),
-    }
+    })
     if "customer_city" in df.columns:
         prompt = F.coalesce(F.col("delivery_days") <= 4, F.lit(False))
         cities = sh.present(df, "customer_city").groupBy("customer_city").agg(
@@ -294,31 +320,28 @@ def delivery_performance(df: DataFrame) -> Panels:
 def returns_satisfaction(df: DataFrame) -> Panels:
     status = first_present(df, "return_status", "is_returned")
     if status is None:
-        return {}
+        return Panels()
     df = df.withColumn("returned", is_returned(F.col(status).cast("string")))
-    panels = {}
+    panels = Panels()
     if "category" in df.columns:
         panels["by_category"] = sh.present(df, "category").groupBy("category").agg(
             percent(F.count_if("returned"), rows()).alias("return_pct"))
     if "customer_rating" in df.columns:
-        panels["ratings"] = sh.box_stats(df, "returned", "customer_rating")
+        panels["ratings"] = lambda: sh.box_stats(df, "returned", "customer_rating")
     return panels
 
 
 def brand_performance(df: DataFrame) -> Panels:
     """Everything derives from one brand x year aggregate."""
     if "brand" not in df.columns:
-        return {}
+        return Panels()
     amt = amount_column(df)
-    yearly = materialise(
-        sh.present(dated(df), "brand").groupBy(F.col("_year").alias("year"), "brand")
-        .agg(total(amt).alias("revenue")), "brands")
-    brands = yearly.groupBy("brand").agg(revenue("revenue"))
-    top = sh.top_k(brands, "revenue", 10, "brand")
+    yearly = (sh.present(dated(df), "brand").groupBy(F.col("_year").alias("year"), "brand")
+              .agg(total(amt).alias("revenue")))
+    top = sh.top_k(yearly.groupBy("brand").agg(revenue("revenue")), "revenue", 10, "brand")
     kept = sh.present(yearly.join(F.broadcast(top.select("brand")), "brand"), "year")
-    grid = sh.dense_grid(kept, "year", "brand", "revenue")
-    share = sh.share_of(grid, ["year"], "revenue", "share_pct")
-    return {"top": top, "share": share.withColumn("revenue", halfup(F.col("revenue")))}
+    share = sh.share_of(kept, ["year"], "revenue", "share_pct")
+    return Panels({"top": top, "share": share.withColumn("revenue", halfup(F.col("revenue")))})
 
 
 def clv_cohort(df: DataFrame, cohorts: int = 24, horizon: int = 13) -> Panels:
@@ -339,19 +362,19 @@ def clv_cohort(df: DataFrame, cohorts: int = 24, horizon: int = 13) -> Panels:
         label.alias("cohort_month"),
         *[percent(F.col(str(i)), F.col("0")).alias(f"m{i:02d}") for i in range(horizon)],
     )
-    clv = materialise(df.groupBy("customer_id").agg(halfup(total(amt)).alias("clv")), "clv")
-    logs = clv.where("clv > 0").select(F.log10("clv").alias("log10_clv"))
-    return {
+    clv = cache(lambda: materialise(df.groupBy("customer_id").agg(halfup(total(amt)).alias("clv")), "clv"))
+    logs = lambda: clv().where("clv > 0").select(F.log10("clv").alias("log10_clv"))
+    return Panels({
         "retention": retention,
-        "clv_median": sh.median(clv, "clv"),
-        "clv_histogram": sh.histogram(logs, "log10_clv", 50),
-    }
+        "clv_median": lambda: sh.median(clv(), "clv"),
+        "clv_histogram": lambda: sh.histogram(logs(), "log10_clv", 50),
+    })
 
 
 def discount_effectiveness(df: DataFrame) -> Panels:
     """Right-closed bands (-0.1, 0], (0, 10] ... (50, 100]; every band is listed."""
     if "discount_percent" not in df.columns:
-        return {}
+        return Panels()
     amt, d = amount_column(df), F.col("discount_percent").cast("double")
     edges = [-0.1, 0, 10, 20, 30, 50, 100]
     chain = F.when(F.lit(False), F.lit(""))
@@ -361,17 +384,17 @@ def discount_effectiveness(df: DataFrame) -> Panels:
         .groupBy("discount_bucket").agg(rows().alias("orders"), revenue(amt), mean(amt).alias("aov"))
     labels = df.sparkSession.createDataFrame(
         list(enumerate(vocab.DISCOUNT_LABELS, 1)), "position int, discount_bucket string")
-    return {"buckets": labels.join(sums, "discount_bucket", "left")
-            .fillna(0, ["orders"]).fillna(0.0, ["revenue"])
-            .select("position", "discount_bucket", "orders", "revenue", "aov")}
+    return Panels({"buckets": labels.join(sums, "discount_bucket", "left")
+                   .fillna(0, ["orders"]).fillna(0.0, ["revenue"])
+                   .select("position", "discount_bucket", "orders", "revenue", "aov")})
 
 
 def rating_patterns(df: DataFrame) -> Panels:
     rating = first_present(df, "customer_rating", "product_rating")
     if rating is None:
-        return {}
+        return Panels()
     amt = amount_column(df)
-    panels = {"histogram": sh.histogram(df, rating, 20)}
+    panels = Panels({"histogram": sh.histogram(df, rating, 20)})
     if "category" in df.columns:
         panels["categories"] = sh.present(df, "category").groupBy("category").agg(
             mean(rating).alias("avg_rating"), revenue(amt)).where("avg_rating IS NOT NULL")
@@ -386,7 +409,7 @@ def customer_journey(df: DataFrame) -> Panels:
     first and last category, at most one row per calendar day.
     """
     if "category" not in df.columns:
-        return {}
+        return Panels()
     df = sh.present(dated(df), "_dt", "category", "customer_id")
     tie = [c for c in ("transaction_id",) if c in df.columns]
     bought = df.select("customer_id", "_dt", "category", *tie)
@@ -402,40 +425,36 @@ def customer_journey(df: DataFrame) -> Panels:
     across = days.withColumn(
         "next_category", F.lead("_opens").over(W.partitionBy("customer_id").orderBy("_dt"))
     ).where("next_category IS NOT NULL").groupBy("category", "next_category").agg(rows().alias("n"))
-    moves = materialise(
-        within.unionByName(across).groupBy("category", "next_category")
-        .agg(F.sum("n").alias("moves")), "journey")
-    grid = sh.dense_grid(moves, "category", "next_category", "moves")
-    return {"transitions": sh.share_of(grid, ["category"], "moves", "share_pct")}
+    moves = within.unionByName(across).groupBy("category", "next_category").agg(F.sum("n").alias("moves"))
+    return Panels({"transitions": sh.share_of(moves, ["category"], "moves", "share_pct")})
 
 
 def product_lifecycle(df: DataFrame) -> Panels:
-    amt, df, panels = amount_column(df), dated(df), {}
+    amt, df, panels = amount_column(df), dated(df), Panels()
     if "launch_year" in df.columns:
         keep = ["launch_year"]
-        first = F.min_by(F.struct(*keep), F.struct(*row_order(df, keep)))["launch_year"]
+        first = F.min_by(F.struct(*keep), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(first_order(df, keep))]))["launch_year"]
         products = df.groupBy("product_id").agg(first.alias("launch_year"))
         panels["launches"] = sh.present(products, "launch_year").groupBy("launch_year").agg(
             rows().alias("products"))
     if "category" in df.columns:
         yearly = sh.present(df, "_year", "category").groupBy(F.col("_year").alias("year"), "category").agg(
             total(amt).alias("revenue"))
-        grid = sh.dense_grid(materialise(yearly, "lifecycle"), "year", "category", "revenue")
-        panels["trend"] = grid.select(
+        panels["trend"] = yearly.select(
             "year", "category", halfup(F.col("revenue") / CRORE, 6).alias("revenue_cr"))
     return panels
 
 
 def competitive_pricing(df: DataFrame) -> Panels:
-    price, panels = first_present(df, "original_price_inr", "price"), {}
+    price, panels = first_present(df, "original_price_inr", "price"), Panels()
     if price is None:
-        return {}
+        return Panels()
     if "category" in df.columns:
-        panels["categories"] = sh.box_stats(sh.present(df, "category"), "category", price)
+        panels["categories"] = lambda: sh.box_stats(sh.present(df, "category"), "category", price)
     if "brand" in df.columns:
         brands = sh.present(df, "brand").groupBy("brand").agg(rows().alias("n"))
         top = sh.top_k(brands, "n", 10, "brand").select("brand")
-        panels["brands"] = sh.box_stats(df.join(F.broadcast(top), "brand"), "brand", price)
+        panels["brands"] = lambda: sh.box_stats(df.join(F.broadcast(top), "brand"), "brand", price)
     return panels
 
 
@@ -445,7 +464,7 @@ def business_health(df: DataFrame) -> Panels:
     measures = [revenue(amt), mean(amt).alias("aov")]
     if "customer_id" in df.columns:
         measures.append(F.countDistinct("customer_id").alias("active_customers"))
-    panels = {"yearly": by_year.agg(*measures)}
+    panels = Panels({"yearly": by_year.agg(*measures)})
     if "category" in df.columns:
         panels["categories"] = sh.top_k(
             sh.present(df, "category").groupBy("category").agg(revenue(amt)), "revenue", 5, "category")
@@ -487,13 +506,21 @@ ANALYSES: dict[str, Callable[[DataFrame], Panels]] = {
 
 
 def run_all(
-    df: DataFrame, analyses: dict[str, Callable[[DataFrame], Panels]] | None = None
+    df: DataFrame, sink: Callable[[str, str, DataFrame], None] | None = None,
+    analyses: dict[str, Callable[[DataFrame], Panels]] | None = None,
 ) -> tuple[dict[str, Panels], dict[str, Exception]]:
-    """Panels of every analysis. One that fails is reported and does not stop the others."""
+    """Panels of every analysis. One that fails is reported and does not stop the others.
+
+    With a sink, each panel is handed to it at once (analysis, panel, frame), so that values
+    which fail only when they are computed are caught as well. Without, reading them may fail.
+    """
     done, failed = {}, {}
     for name, analyse in (analyses or ANALYSES).items():
         try:
-            done[name] = analyse(df)
+            panels = analyse(df)
+            for panel in panels if sink else ():
+                sink(name, panel, panels[panel])
+            done[name] = panels
         except Exception as e:  # noqa: BLE001 - isolation is the point
             log.warning("%s failed: %s", name, e)
             failed[name] = e

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,16 @@ def query(name: str) -> Callable[[Callable[[Workspace], DataFrame]], Callable]:
     return register
 
 
+# Of each table, the key and what two loads are compared by.
+CONTENT = {
+    "dim_time": ("date_id", ["full_date", "month_name"]),
+    "dim_products": ("product_id", ["product_name", "category", "brand", "launch_year", "model"]),
+    "dim_customers": ("customer_id", ["customer_city", "city_tier", "age_group", "is_prime_member", "customer_spending_tier",
+                                      "first_purchase_date", "last_purchase_date"]),
+    "fact_transactions": ("transaction_id", ["customer_id", "product_id", "date_id", "payment_method"]),
+}
+
+
 # --- sources and sinks -------------------------------------------------------
 
 def write_year_files(ws: Workspace) -> str:
@@ -130,11 +141,17 @@ def _(ws):
 
 @query("s10_warehouse_append")
 def _(ws):
-    """Load the early years, then append the whole dataset twice over."""
+    """Content of all tables: the early years loaded, then the whole dataset appended twice over."""
     w = Warehouse(ws.spark, new_path(ws.spark, "append"))
     w.load(ws.cleaned.where("order_year_dt <= 2018"))
     w.load(ws.cleaned, truncate=False)
-    return w.load(ws.cleaned, truncate=False)
+    w.load(ws.cleaned, truncate=False)
+    parts = [
+        w.table(name).select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("key"),
+                             F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]).alias("content"))
+        for name, (key, columns) in CONTENT.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
 @query("s13_bound_sql")
@@ -348,8 +365,9 @@ def _(ws):
 @query("e21_run_all")
 def _(ws):
     """Row counts of every panel from one run over all analyses."""
-    done, failed = explore.run_all(ws.cleaned)
+    counts = []
+    _, failed = explore.run_all(ws.cleaned, lambda analysis, panel, frame: counts.append(
+        frame.agg(rows().alias("n")).select(F.lit(analysis).alias("analysis"), F.lit(panel).alias("panel"), "n")))
     if failed:
         raise RuntimeError(f"failed analyses: {failed}")
-    counts = [(a, p, d.count()) for a, panels in done.items() for p, d in panels.items()]
-    return ws.spark.createDataFrame(counts, "analysis string, panel string, n bigint")
+    return reduce(DataFrame.unionByName, counts)

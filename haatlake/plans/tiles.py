@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.numbers import (
     CRORE, fixed_label, halfup, money_label, percent, ratio, short_label,
 )
-from ..operators.shaping import dense_grid, pct_change, share_of, top_k
+from ..operators.shaping import pct_change, share_of, top_k
 from ..sources.staging import materialise
 from . import views
 from .views import Star, rows
@@ -143,8 +143,7 @@ def payment_share(s: Star) -> DataFrame:
         s.dated("year").where("payment_method IS NOT NULL").groupBy("year", "payment_method")
         .agg(rows().alias("orders"))
     )
-    grid = dense_grid(materialise(mix, "mix"), "year", "payment_method", "orders")
-    return share_of(grid, ["year"], "orders", "share_pct")
+    return share_of(mix, ["year"], "orders", "share_pct")
 
 
 def seasonality(s: Star) -> DataFrame:

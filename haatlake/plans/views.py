@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import vocabulary as vocab
 from ..functions.numbers import halfup, percent, ratio
 from ..operators.shaping import top_k
+from ..sources.staging import bounded
 from ..sources.warehouse import Warehouse
 
 def rows() -> Column:
@@ -40,9 +41,9 @@ class Star:
                    warehouse.table("dim_time"))
 
     def dated(self, *calendar_columns: str) -> DataFrame:
-        """Fact with calendar columns. A calendar is bounded by its days, so it is broadcast."""
+        """Fact with calendar columns. The calendar is broadcast if its days fit, as plausible dates do."""
         return self.fact.join(
-            F.broadcast(self.calendar.select("date_id", *calendar_columns)), "date_id"
+            bounded(self.calendar.select("date_id", *calendar_columns)), "date_id"
         )
 
     def per(self, key: str, **extra: Column) -> DataFrame:

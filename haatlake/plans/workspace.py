@@ -7,7 +7,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cleaning import clean_all, enrich_from_catalog
-from ..sources.files import load_raw_data, read_clean, write_clean
+from ..operators.quality import REPORT, write_report
+from ..sources.files import is_complete, load_raw_data, read_clean, write_clean
 from ..sources.sample_sales import catalog_raw, sales_raw
 from ..sources.staging import Scratch, materialise, new_path
 from ..sources.warehouse import Warehouse
@@ -16,20 +17,27 @@ from .views import Star
 
 
 class Workspace:
-    """Each step is written to the shared folder when first asked for, then scanned."""
+    """Each step is written when first asked for, then scanned.
 
-    def __init__(self, spark: SparkSession, raw: DataFrame, catalog: DataFrame):
+    With an out_dir the cleaned dataset, the warehouse and the report lie there under those
+    names, and a later workspace opens what is complete. Without, they go to the shared folder.
+    """
+
+    def __init__(self, spark: SparkSession, raw: DataFrame, catalog: DataFrame, out_dir: str | None = None):
         self.spark = tune(spark, raw)
-        self._raw, self.catalog = raw, catalog
+        self._raw, self.catalog, self.out_dir = raw, catalog, out_dir and out_dir.rstrip("/")
+
+    def _path(self, name: str) -> str:
+        return f"{self.out_dir}/{name}" if self.out_dir else new_path(self.spark, name)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str) -> Workspace:
         return cls(spark, sales_raw(spark, sf_dir), catalog_raw(spark, sf_dir))
 
     @classmethod
-    def from_files(cls, spark: SparkSession, raw_dir: str, **options) -> Workspace:
+    def from_files(cls, spark: SparkSession, raw_dir: str, out_dir: str | None = None, **options) -> Workspace:
         tx, catalog, _ = load_raw_data(spark, raw_dir, **options)
-        return cls(spark, tx, catalog)
+        return cls(spark, tx, catalog, out_dir)
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -37,7 +45,9 @@ class Workspace:
 
     @cached_property
     def cleaned(self) -> DataFrame:
-        path = new_path(self.spark, "clean")
+        path = self._path("cleaned")
+        if self.out_dir and is_complete(self.spark, path):
+            return read_clean(self.spark, path)
         # Raw input is read once either way; it is staged only if someone asked for it.
         source = self.raw if "raw" in vars(self) else self._raw
         with Scratch(self.spark) as stage:
@@ -46,10 +56,19 @@ class Workspace:
 
     @cached_property
     def warehouse(self) -> Warehouse:
-        warehouse = Warehouse(self.spark, new_path(self.spark, "warehouse"))
-        warehouse.load(self.cleaned)
+        path = self._path("warehouse")
+        warehouse = Warehouse(self.spark, path)
+        # The fact is written last.
+        if not (self.out_dir and is_complete(self.spark, f"{path}/fact_transactions")):
+            warehouse.load(self.cleaned)
         return warehouse
 
+    def report(self) -> DataFrame:
+        """The quality report before and after cleaning, written as JSON lines and read again."""
+        path = self._path("report")
+        write_report(self.raw, self.cleaned.drop("order_year_dt"), path)
+        return self.spark.read.schema(REPORT).json(path)
+
     def star(self, years: tuple[int, int] | None = None) -> Star:
         return Star.of(self.warehouse, years)
 

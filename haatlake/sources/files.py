@@ -47,9 +47,13 @@ def encoding_of(spark: SparkSession, path: str) -> str:
 
 
 def _reader(spark: SparkSession, encoding: str, multi_line: bool = False) -> DataFrameReader:
-    """Quotes inside quoted fields are doubled, as CSV files have them."""
+    """Quotes inside quoted fields are doubled, as CSV files have them.
+
+    Each file's header is held against the schema: files of one folder whose headers differ
+    raise an error instead of swapping columns.
+    """
     return (
-        spark.read.option("header", True).option("encoding", encoding).option("escape", '"')
+        spark.read.option("header", True).option("enforceSchema", False).option("encoding", encoding).option("escape", '"')
         .option("multiLine", multi_line)
     )
 
@@ -79,14 +83,15 @@ def typed(df: DataFrame) -> DataFrame:
 
 
 def load_year_files(
-    spark: SparkSession, raw_dir: str, prefix: str = "sales_", encoding: str = "UTF-8",
+    spark: SparkSession, raw_dir: str, prefix: str = "sales_", encoding: str = "auto",
     multi_line: bool = False,
 ) -> DataFrame:
     """All <prefix><year>.csv files (or folders), as one frame with `_source_year`.
 
     Columns absent from a file are NULL. Files with the same header form one
     scan, so the plan has as many branches as there are distinct headers.
-    encoding="auto" falls back to latin-1 per file and reads the text once more.
+    encoding="auto" falls back to latin-1 per file, at the price of a pass over the text;
+    a named encoding saves it where the files are known to have it.
     multi_line=True admits line breaks inside quoted fields, at the price that
     a file can no longer be split between tasks.
     """
@@ -111,7 +116,7 @@ def load_year_files(
 
 
 def load_catalog(
-    spark: SparkSession, raw_dir: str, prefix: str = "sales_", encoding: str = "UTF-8"
+    spark: SparkSession, raw_dir: str, prefix: str = "sales_", encoding: str = "auto"
 ) -> DataFrame:
     """<prefix>products_catalog.csv, else the first file with such a name in any case."""
     exact = f"{raw_dir.rstrip('/')}/{prefix}{CATALOG_MARK}.csv"
@@ -126,7 +131,7 @@ def load_catalog(
 
 
 def load_raw_data(
-    spark: SparkSession, raw_dir: str, prefix: str = "sales_", encoding: str = "UTF-8",
+    spark: SparkSession, raw_dir: str, prefix: str = "sales_", encoding: str = "auto",
     multi_line: bool = False,
 ) -> tuple[DataFrame, DataFrame, dict[str, Observation]]:
     """Transactions and catalog. The observations hold their row counts once an action ran."""
@@ -151,9 +156,14 @@ def write_clean(df: DataFrame, path: str, csv_path: str | None = None) -> None:
         df.write.mode("overwrite").option("header", True).option("escape", '"').csv(csv_path)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a written table is there as a whole."""
+    return _exists(spark, f"{path}/_SUCCESS")
+
+
 def read_clean(spark: SparkSession, path: str, csv_path: str | None = None) -> DataFrame:
     """The Parquet form if it exists, else the CSV form with its dates parsed, else an error."""
-    if _exists(spark, path):
+    if is_complete(spark, path):
         return spark.read.parquet(path)
     if csv_path and _exists(spark, csv_path):
         header = _header(spark, csv_path, "UTF-8")

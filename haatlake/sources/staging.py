@@ -12,8 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A broadcast side must have at most this many (narrow) rows. Checked, not assumed.
-BROADCAST_ROWS = 200_000
+# A broadcast side must have at most so many rows and bytes. Checked, not assumed.
+BROADCAST_ROWS, BROADCAST_BYTES = 250_000, 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -62,11 +62,17 @@ class Scratch:
         root.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
-def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast if, and only if, df has at most max_rows rows.
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether df has at most so many rows, and bytes as text. Reads at most max_rows + 1 rows."""
+    size = F.octet_length(F.to_json(F.struct("*")))
+    n, total = df.select(size.alias("b")).limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum("b")).first()
+    return n <= max_rows and (total or 0) <= max_bytes
 
-    Call it on a table that is cheap to count (a file scan or a staged table).
+
+def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast if, and only if, df fits.
+
+    Call it on a table that is cheap to read (a file scan or a staged table).
     Beyond the bound the plain frame is returned and the join shuffles.
     """
-    few = df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df

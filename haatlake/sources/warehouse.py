@@ -2,43 +2,74 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import star
 from ..operators.quality import PRIMARY_KEYS
+from .staging import Scratch
+
+log = logging.getLogger(__name__)
 
 TABLES = ("dim_time", "dim_products", "dim_customers", "fact_transactions")
 
 
 class Warehouse:
-    """Four tables under one folder; the fact is partitioned by order year."""
+    """Four tables under one folder; the fact is partitioned by order year.
+
+    Beside the dimensions of products and customers lies what they were chosen by, so that
+    an append can merge old and new rows. `misfits` has, after a load, the number of values
+    of each fact column that its type can't hold and which are therefore NULL.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
         self._scans: dict[str, DataFrame] = {}
+        self.misfits: dict[str, int] = {}
 
     def load(self, cleaned: DataFrame, truncate: bool = True) -> DataFrame:
         """Build and write dimensions, then the fact; returns (table_name, row_count).
 
-        truncate=False appends only the keys a table does not hold yet, so a
-        repeated load changes nothing.
+        truncate=False merges the dimensions, as if old and new rows had been loaded together,
+        and appends the transactions that the fact doesn't hold yet. A repeated load changes
+        nothing. Each merged table is complete in a stage before it replaces the old one.
         """
-        tables = {
-            "dim_time": star.build_dim_time(star.order_bounds(cleaned)),
-            "dim_products": star.build_dim_products(cleaned),
-            "dim_customers": star.build_dim_customers(cleaned),
-            "fact_transactions": star.build_fact_transactions(cleaned)
-            .withColumn("order_year", F.year("order_date")),
-        }
-        for name, df in tables.items():
+        keep = [c for c in star.PRODUCT_COLUMNS if c in star.with_synonyms(cleaned).columns]
+        bounds = star.order_bounds(cleaned)
+        products, customers = star.product_state(cleaned), star.customer_state(cleaned)
+        with Scratch(self.spark) as stage:
             if not truncate:
-                key = PRIMARY_KEYS[name]
-                df = df.join(self.table(name).select(key), key, "left_anti").select(df.columns)
-            self._write(name, df, "overwrite" if truncate else "append")
+                old = self.table("dim_time").agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi"))
+                bounds = stage(bounds.unionByName(old).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+                products = star.merged_products(products.unionByName(self._state("products")))
+                customers = star.merged_customers(customers.unionByName(self._state("customers")))
+                keep = [c for c in star.PRODUCT_COLUMNS if c in keep or c in self.table("dim_products").columns]
+            products, customers = stage(products), stage(customers)
+            products.write.mode("overwrite").parquet(f"{self.path}/state_products")
+            customers.write.mode("overwrite").parquet(f"{self.path}/state_customers")
+            self._write("dim_time", star.build_dim_time(bounds), "overwrite")
+            self._write("dim_products", star.dim_products_of(products).select(*keep), "overwrite")
+            self._write("dim_customers", star.dim_customers_of(customers), "overwrite")
+            counts, seen = star.misfits(cleaned), Observation()
+            source = cleaned.observe(seen, *[n.alias(c) for c, n in counts.items()]) if counts else cleaned
+            fact = star.build_fact_transactions(source).withColumn("order_year", F.year("order_date"))
+            if truncate:
+                self._write("fact_transactions", fact, "overwrite")
+            else:
+                key = PRIMARY_KEYS["fact_transactions"]
+                new = stage(fact.join(self.table("fact_transactions").select(key), key, "left_anti").select(fact.columns))
+                self._write("fact_transactions", new, "append")
+        self.misfits = {c: n for c, n in seen.get.items() if n} if counts else {}
+        if self.misfits:
+            log.warning("values that the fact's types can't hold are NULL: %s", self.misfits)
         self._scans.clear()
         return self.row_counts()
 
+    def _state(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/state_{name}")
+
     def _write(self, name: str, df: DataFrame, mode: str) -> None:
         if name == "fact_transactions":
             df.hint("rebalance", "order_year").write.mode(mode).partitionBy("order_year").parquet(

@@ -202,7 +202,7 @@ SELECT * EXCLUDE (n, rn), n > 1 AS is_bulk_order, CASE WHEN n > 1 THEN n ELSE 1
 FROM (SELECT *,
     count(customer_id) OVER (PARTITION BY customer_id, product_id, order_date, final_amount_inr) AS n,
     row_number() OVER (PARTITION BY customer_id, product_id, order_date, final_amount_inr
-      ORDER BY order_date_dt NULLS FIRST, transaction_id NULLS FIRST) AS rn
+      ORDER BY order_date_dt NULLS LAST, transaction_id NULLS LAST) AS rn
   FROM rowclean)
 WHERE n <= 5 OR rn = 1""")
 

@@ -53,7 +53,17 @@ SELECT CAST(year(order_date) AS INTEGER) AS order_year, count(*) AS n,
   count(DISTINCT date_id) AS days, {r('sum(final_amount_inr)')} AS revenue
 FROM fact GROUP BY 1""")
 add("s12_row_counts", list(_TABLES), _COUNTS)
-add("s10_warehouse_append", list(_TABLES), _COUNTS)
+_CONTENT = {
+    "dim_time": ("dim_time", "date_id", ["full_date", "month_name"]),
+    "dim_products": ("dim_products", "product_id", ["product_name", "category", "brand", "launch_year", "model"]),
+    "dim_customers": ("dim_customers", "customer_id", ["customer_city", "city_tier", "age_group", "is_prime_member",
+                      "customer_spending_tier", "first_purchase_date", "last_purchase_date"]),
+    "fact": ("fact_transactions", "transaction_id", ["customer_id", "product_id", "date_id", "payment_method"]),
+}
+add("s10_warehouse_append", list(_TABLES), " UNION ALL ".join(
+    f"""SELECT '{name}' AS table_name, CAST({key} AS VARCHAR) AS key,
+      concat_ws('|', {', '.join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)}) AS content FROM {rel}"""
+    for rel, (name, key, columns) in _CONTENT.items()))
 add("s13_bound_sql", ["fact"], """
 SELECT payment_method, count(*) AS orders, CAST(sum(final_amount_inr) AS DOUBLE) AS revenue
 FROM fact WHERE year(order_date) BETWEEN 2016 AND 2018 GROUP BY payment_method""")
@@ -360,17 +370,14 @@ SELECT customer_city, city_tier, orders, on_time_pct FROM ({_V_DELIVERY})
 ORDER BY orders DESC, customer_city, city_tier LIMIT 15""")
 
 
-def _grid(counts: str, row: str, col: str, value: str, zero: str = "0") -> str:
-    """Full grid over the labels of an aggregate, with the row shares."""
+def _grid(counts: str) -> str:
+    """The cells of a matrix that occur."""
     return f"""
-, g AS ({counts}),
-f AS (SELECT a.{row}, b.{col}, coalesce(g.{value}, {zero}) AS {value}
-  FROM (SELECT DISTINCT {row} FROM g) a CROSS JOIN (SELECT DISTINCT {col} FROM g) b
-  LEFT JOIN g ON g.{row} = a.{row} AND g.{col} = b.{col})"""
+, f AS ({counts})"""
 
 
 def _shares(counts: str, row: str, col: str, value: str = "orders") -> str:
-    return _grid(counts, row, col, value) + f"""
+    return _grid(counts) + f"""
 SELECT *, {pct(value, f'sum({value}) OVER (PARTITION BY {row})')} AS share_pct FROM f"""
 
 
@@ -497,7 +504,9 @@ WHERE age_group IS NOT NULL GROUP BY age_group""")
 add("e09_age_groups__mix", ["dated"], _mix(_AGED, "age_group", "category"))
 add("e10_price_vs_demand__sample", ["dated"], """
 SELECT original_price_inr, final_amount_inr, category FROM (
-  SELECT *, md5(concat_ws('|', transaction_id, customer_id, product_id, '42')) AS h FROM dated
+  SELECT *, md5(concat_ws('|', transaction_id, customer_id, product_id,
+    CAST(CAST(original_price_inr AS DECIMAL(28,6)) AS VARCHAR),
+    CAST(CAST(final_amount_inr AS DECIMAL(28,6)) AS VARCHAR), category, '42')) AS h FROM dated
   WHERE original_price_inr IS NOT NULL AND final_amount_inr IS NOT NULL AND category IS NOT NULL)
 ORDER BY h, transaction_id NULLS FIRST, customer_id NULLS FIRST, product_id NULLS FIRST,
   original_price_inr, final_amount_inr, category LIMIT 20000""")
@@ -522,8 +531,7 @@ ORDER BY revenue DESC, brand LIMIT 10"""
 add("e13_brand_performance__top", ["dated"], _TOP_BRANDS)
 add("e13_brand_performance__share", ["dated"], _grid(f"""
   SELECT y AS year, brand, coalesce(sum(amt), 0) AS revenue FROM dated
-  WHERE y IS NOT NULL AND brand IN (SELECT brand FROM ({_TOP_BRANDS})) GROUP BY ALL""",
-    "year", "brand", "revenue") + f"""
+  WHERE y IS NOT NULL AND brand IN (SELECT brand FROM ({_TOP_BRANDS})) GROUP BY ALL""") + f"""
 SELECT year, brand, {r('revenue')} AS revenue,
   {pct('revenue', 'sum(revenue) OVER (PARTITION BY year)')} AS share_pct FROM f""")
 _RETENTION = ", ".join(
@@ -564,7 +572,7 @@ SELECT launch_year, count(*) AS products FROM (
 GROUP BY launch_year""")
 add("e18_product_lifecycle__trend", ["dated"], _grid("""
   SELECT y AS year, category, coalesce(sum(amt), 0) AS revenue FROM dated
-  WHERE y IS NOT NULL AND category IS NOT NULL GROUP BY ALL""", "year", "category", "revenue")
+  WHERE y IS NOT NULL AND category IS NOT NULL GROUP BY ALL""")
     + f"SELECT year, category, {cr('revenue')} AS revenue_cr FROM f")
 add("e19_competitive_pricing__categories", ["dated"],
     _box("(SELECT * FROM dated WHERE category IS NOT NULL)", "category", "original_price_inr"))

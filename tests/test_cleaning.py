@@ -156,7 +156,7 @@ def test_catalog_beyond_broadcast_bound_gives_the_same(spark, monkeypatch):
     sales = spark.range(50).selectExpr("concat('P', id) AS product_id")
     catalog = spark.range(30).selectExpr("concat('P', id) AS product_id", "id AS w")
     small = c.enrich_from_catalog(sales, catalog)
-    monkeypatch.setattr(c, "bounded", lambda df: staging.bounded(df, 5))
+    monkeypatch.setattr(c, "fits", lambda df: staging.fits(df, 5))
     large = c.enrich_from_catalog(sales, catalog)
     assert "BROADCAST" not in large._jdf.queryExecution().analyzed().toString().upper()
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))

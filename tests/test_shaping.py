@@ -74,11 +74,11 @@ def test_global_rank_over_a_skewed_leading_key(spark, partitions):
     assert [ranks[e[2]] for e in expected] == list(range(1, 1001))
 
 
-def test_shares_and_grid(spark):
+def test_shares_of_cells(spark):
     df = spark.createDataFrame([("x", "a", 3), ("x", "b", 1), ("y", "b", 2)], "r string, c string, n int")
-    out = sh.share_of(sh.dense_grid(df, "r", "c", "n"), ["r"], "n", "p").collect()
+    out = sh.share_of(df, ["r"], "n", "p").collect()
     assert {(r["r"], r["c"]): r["p"] for r in out} == {
-        ("x", "a"): 75.0, ("x", "b"): 25.0, ("y", "a"): 0.0, ("y", "b"): 100.0}
+        ("x", "a"): 75.0, ("x", "b"): 25.0, ("y", "b"): 100.0}
 
 
 def test_pct_change_and_top_k(spark):
