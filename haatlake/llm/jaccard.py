@@ -12,7 +12,9 @@ Documents with equal sets are one point of the metric space. Two different point
    first tenth leads to, its window, and no link is lost. Frequencies of words are those
    of a fixed number of hash classes, counted over all documents.
 2. Windows by prefix. With MEET - 1 further shingles linked points meet at least MEET times.
-   In a region, points that meet no other one so often, at a size within the tenth, leave it.
+   Points of a region that meet so often, at a size within the tenth, are connected, across
+   all regions a point lies in. Every link is within such a group, most points are in none, and
+   a group is the region of the exact join: each point lies in one.
 3. Joins. In a region, a pivot's distances to the others give its links, and by the triangle
    inequality points whose distances to a pivot differ by more than 0.1 aren't linked. Points
    found to hang together need no further comparison with each other, so the region left
@@ -34,7 +36,7 @@ component has an id. Other columns aren't read; an empty table gives an empty ta
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +56,8 @@ LEAST = 9
 # Shingles that linked points have in common among their first ones (at most LEAST).
 MEET = 8
 CLASSES = 1 << 18
-# Points of a region, and shingles of a region, that one task joins; pivots of a larger region.
-REGION, PIVOTS = 1_000, 16
+# Points that one task compares by their first shingles, and by whole sets; pivots of a larger region.
+MEETING, REGION, PIVOTS = 5_000, 1_000, 16
 # Points whose hashes a task holds to select those in regions; beyond it a join selects them.
 SELECTED = 1_000_000
 
@@ -123,13 +125,13 @@ def _point(points: np.ndarray) -> tuple[int, int]:
 
 
 def _signatures(docs: DataFrame, level: np.ndarray, words: int) -> DataFrame:
-    """doc_id, n_shingles, the point (a, b), and its first keys once in each task."""
+    """doc_id, n_shingles, the point (a, b), and once in each task its first keys: of pivots, and to meet by."""
     held = docs.sparkSession.sparkContext.broadcast(level)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
         for batch, texts in text_blocks(batches, "text"):
-            sizes, points, keys = [], [], []
+            sizes, points, keys, meet = [], [], [], []
             for s in shingle_sets(texts, words, held.value):
                 point = _point(s) if s.size else (None, None)
                 new = s.size >= LEAST and point not in seen
@@ -137,21 +139,21 @@ def _signatures(docs: DataFrame, level: np.ndarray, words: int) -> DataFrame:
                     seen.add(point)
                 sizes.append(s.size)
                 points.append(point)
-                keys.append(_first(s).view(np.int64) if new else None)
+                first = _first(s) if new else None
+                keys.append(first[: first.size - MEET + 1].view(np.int64) if new else None)
+                meet.append((first >> np.uint64(8)).astype(np.uint32).view(np.int32) if new else None)
             a, b = zip(*points)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "a", "b", "keys"])
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(meet, pa.list_(pa.int32()))],
+                ["doc_id", "n_shingles", "a", "b", "keys", "meet"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, a long, b long, keys array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, a long, b long, keys array<long>, meet array<int>")
 
 
 def _regions(signatures: DataFrame) -> DataFrame:
     """cell (its pivot), a, b: points replicated to the regions of their pivots."""
-    # The last MEET - 1 keys are for meeting only: a link is found by the others.
-    lead = F.slice("keys", 1, F.greatest(F.size("keys") - (MEET - 1), F.lit(1)))
-    postings = signatures.where("keys is not null").select(F.explode(lead).alias("key"), "a", "b")
+    postings = signatures.where("keys is not null").select(F.explode("keys").alias("key"), "a", "b")
     pivots = postings.groupBy("key").agg(F.min("a").alias("cell"), F.max("a").alias("most")).where("cell <> most").drop("most")
     return postings.join(pivots, "key").select("cell", "a", "b").dropDuplicates()
 
@@ -186,27 +188,13 @@ class Members:
         return 100 * small >= HUNDREDTHS * large
 
 
-def meeting(keys: list[np.ndarray], n: np.ndarray) -> np.ndarray:
-    """Which points of a region meet another one at least MEET times, at a size within reach."""
-    members, stays = Members(keys), np.zeros(len(keys), bool)
-    for i in range(len(keys)):
-        if not stays[i]:
-            fit = 100 * np.minimum(n, n[i]) >= HUNDREDTHS * np.maximum(n, n[i])
-            fit[i] = False
-            others = np.flatnonzero(fit)
-            if others.size:
-                met = others[members.overlap(i, others) >= MEET]
-                stays[met] = True
-                stays[i] = met.size > 0
-    return stays
+def connect(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs that connect what all pairs of n positions connect for which near holds.
 
-
-def region_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links that connect what all links of a region connect, as pairs of positions."""
-    members, n = Members(sets), len(sets)
+    near(i, window) gives the positions of a window that i is linked to. Positions that
+    hang together already aren't compared; a pivot is compared with all others once.
+    """
     part, found, todo = np.arange(n), [], np.ones(n, bool)
-    distance: list[np.ndarray] = []  # of all to a pivot; nan where it wasn't needed
-    limit = 1 - HUNDREDTHS / 100 + 1e-9
     while True:
         left = np.flatnonzero(todo)
         names, where, count = np.unique(part[left], return_inverse=True, return_counts=True)
@@ -214,50 +202,99 @@ def region_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
             return found
         pivot = int(left[np.argmin(count[where])])  # of a small part, which soon needs no more
         todo[pivot] = False
-        window = todo & (part != part[pivot]) & members.near(pivot)
+        for j in near(pivot, todo & (part != part[pivot])).tolist():
+            if part[j] != part[pivot]:
+                found.append((pivot, j))
+                part[part == part[j]] = part[pivot]
+
+
+def meeting(keys: list[np.ndarray], n: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs that connect the points which meet at least MEET times, at a size within reach."""
+    members = Members(keys)
+
+    def near(i: int, window: np.ndarray) -> np.ndarray:
+        others = np.flatnonzero(window & (100 * np.minimum(n, n[i]) >= HUNDREDTHS * np.maximum(n, n[i])))
+        return others[members.overlap(i, others) >= MEET] if others.size else others
+
+    return connect(len(keys), near)
+
+
+def region_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that connect what all links of a region connect, as pairs of positions."""
+    members, n = Members(sets), len(sets)
+    distance: list[np.ndarray] = []  # of all to a pivot; nan where it wasn't needed
+    limit = 1 - HUNDREDTHS / 100 + 1e-9
+
+    def near(pivot: int, window: np.ndarray) -> np.ndarray:
+        window = window & members.near(pivot)
         for d in distance[-8:]:  # nan compares false: it excludes nothing
             window &= ~(np.abs(d - d[pivot]) > limit)
         others = np.flatnonzero(window)
         if not others.size:
-            continue
+            return others
         both = members.overlap(pivot, others)
         union = members.size[others] + members.size[pivot] - both
         d = np.full(n, np.nan)
         d[others], d[pivot] = 1 - both / union, 0.0
         distance.append(d)
-        for j in others[100 * both >= HUNDREDTHS * union].tolist():
-            if part[j] != part[pivot]:
-                found.append((pivot, j))
-                part[part == part[j]] = part[pivot]
+        return others[100 * both >= HUNDREDTHS * union]
+
+    return connect(n, near)
 
 
 def _name(a: int, b: int) -> str:
     return f"{a & (2**64 - 1):016x}{b & (2**64 - 1):016x}"
 
 
-def _met(regions: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Regions of up to REGION points without the points that meet no other; larger ones as they are."""
+def _groups(regions: DataFrame, signatures: DataFrame) -> DataFrame:
+    """u, v: points that meet, so that every link lies within a group of connected points."""
     sized = regions.join(regions.groupBy("cell").count().withColumnRenamed("count", "points"), "cell")
-    keys = signatures.where("keys is not null").select("a", "b", "keys", "n_shingles").dropDuplicates(["a", "b"])
+    keys = signatures.where("keys is not null").select("a", "b", F.col("meet").alias("keys"), "n_shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for region in runs(batches, "cell"):
-            n = region.column("n_shingles").to_numpy()
-            keys = [np.array(k, np.int64) for k in region.column("keys").to_pylist()]
-            stays = meeting(keys, n)
-            if stays.any():
-                yield from region.select(["cell", "a", "b"]).filter(pa.array(stays)).to_batches()
+            a, b = region.column("a").to_pylist(), region.column("b").to_pylist()
+            keep = sorted({p: i for i, p in reversed(list(enumerate(zip(a, b))))}.values())  # a point may come from several tasks
+            keys, n = _arrays(region.column("keys")), region.column("n_shingles").to_numpy()
+            found = meeting([keys[i] for i in keep], n[keep])
+            if found:
+                yield _pairs([(_name(a[keep[i]], b[keep[i]]), _name(a[keep[j]], b[keep[j]])) for i, j in found])
+
+    small = (sized.where(f"points <= {MEETING}").join(keys, ["a", "b"]).select("cell", "a", "b", "keys", "n_shingles")
+             .repartition("cell").sortWithinPartitions("cell").mapInArrow(run, LINKS))
+    # What shares a shingle with more points than one task compares hangs together without a look at it.
+    pivot = F.struct(F.col("a"), F.col("b"))
+    large = sized.where(f"points > {MEETING}")
+    first = large.groupBy("cell").agg(F.min(pivot).alias("p")).select("cell", _named("p.a", "p.b").alias("u"))
+    return small.unionByName(large.join(first, "cell").select("u", _named("a", "b").alias("v")))
+
 
-    small = (sized.where(f"points <= {REGION}").join(keys, ["a", "b"]).select("cell", "a", "b", "keys", "n_shingles")
-             .repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "cell long, a long, b long"))
-    return (small.withColumn("large", F.lit(False))
-            .unionByName(sized.where(f"points > {REGION}").select("cell", "a", "b", F.lit(True).alias("large"))))
+def _named(a: str, b: str) -> F.Column:
+    """_name() as a column."""
+    return F.concat(F.lpad(F.lower(F.hex(a)), 16, "0"), F.lpad(F.lower(F.hex(b)), 16, "0"))
+
+
+def _pairs(pairs: list[tuple[str, str]]) -> pa.RecordBatch:
+    u, v = zip(*pairs)
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.string()), pa.array(v, pa.string())], ["u", "v"])
+
+
+def _code(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a.astype(np.int64) * np.int64(0x5851F42D4C957F2D) + b.astype(np.int64)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, level: np.ndarray, words: int) -> DataFrame:
-    """a, b, set of the wanted points, computed again from the texts; a point once in each task."""
+    """cell, points, a, b, set of the wanted points (a, b, cell, points), computed again from the texts.
+
+    A point comes once from each task that has it.
+    """
     few = wanted.count() <= SELECTED
-    chosen = np.unique(wanted.select("a").toArrow()["a"].to_numpy()) if few else None
+    found = wanted.toArrow() if few else None
+    chosen = None
+    if found is not None:
+        code = _code(found["a"].to_numpy(), found["b"].to_numpy())
+        order = np.argsort(code)
+        chosen = tuple(x[order] for x in (code, found["cell"].to_numpy(), found["points"].to_numpy()))
     held = docs.sparkSession.sparkContext.broadcast((level, chosen))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,19 +302,26 @@ def _sets(docs: DataFrame, wanted: DataFrame, level: np.ndarray, words: int) ->
         seen: set[tuple[int, int]] = set()
         for _, texts in text_blocks(batches, "text"):
             sets = [s for s in shingle_sets(texts, words, levels) if s.size >= LEAST]
-            points = [_point(s) for s in sets]
-            use = np.isin(np.array([p[0] for p in points], np.int64), chosen) if chosen is not None else np.ones(len(points), bool)
+            points = np.array([_point(s) for s in sets], np.int64).reshape(-1, 2)
+            cell, count = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
+            use = np.ones(len(sets), bool)
+            if chosen is not None:
+                code = _code(points[:, 0], points[:, 1])
+                at = np.minimum(np.searchsorted(chosen[0], code), max(0, len(chosen[0]) - 1))
+                use = chosen[0][at] == code if len(chosen[0]) else ~use
+                if len(chosen[0]):
+                    cell, count = chosen[1][at], chosen[2][at]
             rows = []
-            for s, p in (x for x, y in zip(zip(sets, points), use) if y):
-                if p not in seen:
+            for k in np.flatnonzero(use).tolist():
+                if (p := tuple(points[k].tolist())) not in seen:
                     seen.add(p)
-                    rows.append((*p, s.view(np.int64)))
+                    rows.append((int(cell[k]), int(count[k]), *p, sets[k].view(np.int64)))
             if rows:
-                a, b, found = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["a", "b", "set"])
+                *numbers, arrays = zip(*rows)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in numbers), pa.array(arrays, pa.list_(pa.int64()))], ["cell", "points", "a", "b", "set"])
 
-    made = docs.select("text").mapInArrow(run, "a long, b long, set array<long>")
-    return made if few else made.join(wanted, ["a", "b"], "left_semi")
+    made = docs.select("text").mapInArrow(run, "cell long, points long, a long, b long, set array<long>")
+    return made if few else made.drop("cell", "points").join(wanted, ["a", "b"])
 
 
 def _arrays(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
@@ -295,41 +339,42 @@ def _small_links(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for region in runs(batches, "cell"):
             a, b = region.column("a").to_pylist(), region.column("b").to_pylist()
-            first = {p: i for i, p in reversed(list(enumerate(zip(a, b))))}  # a point may come from several tasks
-            keep = sorted(first.values())
+            keep = sorted({p: i for i, p in reversed(list(enumerate(zip(a, b))))}.values())  # a point may come from several tasks
             sets = _arrays(region.column("set"))
             found = region_links([sets[i] for i in keep])
             if found:
-                u, v = zip(*[(_name(a[keep[i]], b[keep[i]]), _name(a[keep[j]], b[keep[j]])) for i, j in found])
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+                yield _pairs([(_name(a[keep[i]], b[keep[i]]), _name(a[keep[j]], b[keep[j]])) for i, j in found])
 
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, LINKS)
 
 
 def _large_links(rows: DataFrame) -> DataFrame:
-    """Links of regions that no task could join alone. rows: cell, a, b, set."""
-    rows = stage(rows.dropDuplicates(["cell", "a", "b"]), "large")
-    order = Window.partitionBy("cell").orderBy("a", "b")
-    chosen = rows.withColumn("rank", F.row_number().over(order)).where(f"rank <= {PIVOTS}")
-    pivots = stage(chosen.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("rank", "a", "b", "set"))).alias("pivots")), "pivots")
+    """Links of regions that no task could join alone. rows: cell, points, a, b, set."""
+    rows = stage(rows.dropDuplicates(["cell", "a", "b"]).withColumn("h", F.xxhash64("a", "b")), "large")
+    order = Window.partitionBy("cell").orderBy("h", "a", "b")
+    chosen = rows.select("cell", "points", "a", "b", "h").withColumn("rank", F.row_number().over(order)).where(f"rank <= {PIVOTS}")
+    chosen = rows.join(bounded(stage(chosen.select("cell", "a", "b", "rank"), "chosen")), ["cell", "a", "b"])
+    blocks = F.ceil(F.col("points") / REGION).cast("int")
+    members = rows.select("cell", F.pmod("h", blocks).cast("int").alias("i"), F.lit(0).alias("rank"), "a", "b", "set")
+    pivots = chosen.select("cell", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("i"), "rank", "a", "b", "set")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made, masks = [], []
-            own = _arrays(batch.column("set"))
-            for mine, pivots in zip(own, batch.column("pivots")):
-                row, mask = [], 0
-                for k, p in enumerate(pivots.as_py()):
-                    both = np.intersect1d(mine, np.array(p["set"], np.int64), assume_unique=True).size
-                    union = mine.size + len(p["set"]) - both
-                    row.append(1 - both / union)
-                    mask |= (100 * both >= HUNDREDTHS * union) << k
-                made.append(row + [1.0] * (PIVOTS - len(row)))
-                masks.append(mask)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cell", "a", "b", "set")), pa.array(made, pa.list_(pa.float64())), pa.array(masks, pa.int64())],
+        for block in runs(batches, "block"):
+            rank = block.column("rank").to_numpy()
+            mine = np.flatnonzero(rank == 0)
+            if not mine.size:
+                continue
+            sets, far, mask = Members(_arrays(block.column("set"))), np.ones((len(rank), PIVOTS)), np.zeros(len(rank), np.int64)
+            for p in np.flatnonzero(rank > 0).tolist():
+                both = sets.overlap(p, mine)
+                union = sets.size[mine] + sets.size[p] - both
+                far[mine, rank[p] - 1] = 1 - both / union
+                mask[mine] |= (100 * both >= HUNDREDTHS * union).astype(np.int64) << (int(rank[p]) - 1)
+            own = block.take(pa.array(mine))
+            yield pa.RecordBatch.from_arrays([*(own.column(c).combine_chunks() for c in ("cell", "a", "b", "set")), pa.array(list(far[mine]), pa.list_(pa.float64())), pa.array(mask[mine])],
                                              ["cell", "a", "b", "set", "far", "mask"])
 
-    measured = stage(rows.join(bounded(pivots, 200), "cell").select("cell", "a", "b", "set", "pivots")
+    measured = stage(members.unionByName(pivots).withColumn("block", F.xxhash64("cell", "i")).repartition("block").sortWithinPartitions("block")
                      .mapInArrow(measure, "cell long, a long, b long, set array<long>, far array<double>, mask long"), "measured")
 
     def settle(masks):  # at most 2**PIVOTS rows: the pivots that hang together and hold most points
@@ -377,17 +422,10 @@ def _large_links(rows: DataFrame) -> DataFrame:
     dealt = (everyone.unionByName(probes).withColumn("block", F.xxhash64("cell", "i", "j"))
              .repartition("block").sortWithinPartitions("block").mapInArrow(join, LINKS))
 
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for x, y, mask, pivots in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "mask", "pivots"))):
-                out += [(_name(x, y), _name(p["a"], p["b"])) for k, p in enumerate(pivots) if mask >> k & 1 and (p["a"], p["b"]) != (x, y)]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["u", "v"])
-
-    slim = pivots.select("cell", F.transform("pivots", lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b"))).alias("pivots"))
-    direct = measured.where("mask <> 0").join(bounded(slim), "cell").select("a", "b", "mask", "pivots").mapInArrow(named, LINKS)
-    return dealt.unionByName(direct)
+    bit = F.expr("shiftright(mask, rank - 1) & 1")
+    names = bounded(stage(chosen.select("cell", "rank", _named("a", "b").alias("v")), "names"))
+    direct = measured.where("mask <> 0").select("cell", "mask", _named("a", "b").alias("u")).join(names, "cell").where((bit == 1) & (F.col("u") != F.col("v")))
+    return dealt.unionByName(direct.select("u", "v"))
 
 
 def sum_or(groups: list[list[int]]) -> int:
@@ -399,15 +437,15 @@ def sum_or(groups: list[list[int]]) -> int:
 
 def links(docs: DataFrame, signatures: DataFrame, level: np.ndarray, words: int = WORDS) -> DataFrame:
     """u, v: links between points that connect what all links connect."""
-    met = stage(_met(stage(_regions(signatures), "regions"), signatures), "met")
-    # A region of one point is left where its other points went.
-    alive = met.join(met.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "cell", "left_semi")
-    sets = _sets(docs, stage(alive.select("a", "b").dropDuplicates(), "wanted"), level, words)
-    rows = alive.join(sets, ["a", "b"])
-    small = _small_links(rows.where("not large").select("cell", "a", "b", "set"))
-    if met.where("large").limit(1).count():
-        return small.unionByName(_large_links(rows.where("large").select("cell", "a", "b", "set")))
-    return small
+    groups = components(_groups(stage(_regions(signatures), "regions"), signatures))
+    counts = groups.groupBy("root").agg(F.count(F.lit(1)).alias("points"))
+    number = lambda at: F.conv(F.substring("node", at, 16), 16, -10).cast("long")
+    wanted = stage(groups.join(counts, "root").select(number(1).alias("a"), number(17).alias("b"), F.xxhash64("root").alias("cell"), "points"), "wanted")
+    rows = _sets(docs, wanted, level, words)
+    if wanted.where(f"points > {REGION}").limit(1).count():
+        rows = stage(rows, "sets")
+        return _small_links(rows.where(f"points <= {REGION}")).unionByName(_large_links(rows.where(f"points > {REGION}")))
+    return _small_links(rows)
 
 
 def _solved(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
@@ -415,8 +453,7 @@ def _solved(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, np.ndarr
     level = _levels(docs)
     signatures = stage(_signatures(docs, level, words), "signatures")
     linked = components(links(docs, signatures, level, words))
-    name = F.concat(F.lpad(F.lower(F.hex("a")), 16, "0"), F.lpad(F.lower(F.hex("b")), 16, "0"))
-    points = signatures.where("a is not null").groupBy("a", "b").agg(F.min("doc_id").alias("least")).withColumn("node", name)
+    points = signatures.where("a is not null").groupBy("a", "b").agg(F.min("doc_id").alias("least")).withColumn("node", _named("a", "b"))
     rooted = points.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return signatures, rooted.join(smallest, "root").select("a", "b", "root", "least", "component_id"), level
@@ -452,7 +489,7 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["row", "doc_id", "a", "b"])
 
     given = df.select(F.struct("*").alias("row"), df[doc_id].alias("doc_id"), df[text].alias("text"))
-    rows = given.mapInArrow(run, given.select("row", "doc_id", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).schema)
+    rows = given.mapInArrow(run, given.select("row", "doc_id", F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b")).schema)
 
     def meet(names: DataFrame, how: str) -> DataFrame:
         names = bounded(names.select(F.col("doc_id").alias("i"), F.col("a").alias("x"), F.col("b").alias("y")))
