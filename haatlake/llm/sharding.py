@@ -77,7 +77,7 @@ def _split(cells: DataFrame, start: int, depth: int, limit: int) -> tuple[DataFr
 
 def assign(rows: DataFrame, shards: DataFrame) -> DataFrame:
     """rows with shard (its prefix in bits, as text), shard_bytes and over. The shards' depths are few; a join for each finds them."""
-    depths = sorted(r[0] for r in shards.select("bits").distinct().collect())  # at most BITS
+    depths = sorted(r[0] for r in shards.select("bits").distinct().collect()) or [0]  # at most BITS
     tried = rows.withColumn("_tries", F.array(*[F.struct(F.lit(d).alias("bits"), prefix("hash", d).alias("prefix")) for d in depths]))
     named = shards.select("bits", "prefix", F.col("bytes").alias("shard_bytes"), "over")
     from haatlake.sources.staging import bounded
