@@ -20,6 +20,10 @@ from ..sources.staging import bounded, materialise
 # Logarithmic buckets per unit of ln(1+|v|). A double spans at most
 # 2 * 710 * 256 of them, which bounds the histogram of any group.
 _BUCKETS_PER_LOG = 256
+# Equal parts of a bucket that holds a wanted rank; only the values of one part are ordered in a task.
+_PARTS = 1024
+# Rows of a range of global_rank, about.
+_RANGE_ROWS = 500_000
 
 
 def present(df: DataFrame, *keys: str) -> DataFrame:
@@ -64,8 +68,9 @@ def exact_quantiles(
 
     A built-in exact percentile keeps all distinct values of a group in one
     task. Here distinct values are counted first, a logarithmic histogram of
-    bounded size finds the buckets that contain the wanted ranks, and only the
-    values in those buckets are ordered.
+    bounded size finds the buckets that contain the wanted ranks, a second one
+    between the least and the greatest value of such a bucket finds the parts,
+    and only the values in those parts are ordered.
     """
     vc = value_counts(df, groups, value) if counts is None else counts
     v = F.col("_v")
@@ -74,7 +79,8 @@ def exact_quantiles(
 
     in_group = W.partitionBy(*groups)
     hist = (
-        vc.groupBy(*groups, "_b").agg(F.sum("_n").alias("_bn"))
+        vc.groupBy(*groups, "_b")
+        .agg(F.sum("_n").alias("_bn"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
         .withColumn("_total", F.sum("_bn").over(in_group))
         .withColumn("_before", F.sum("_bn").over(in_group.orderBy("_b")) - F.col("_bn"))
     )
@@ -86,16 +92,25 @@ def exact_quantiles(
     )
 
     # Null-safe keys: a null group is a group, and no inferred not-null filter
-    # slips below the count, so both uses of vc share one shuffle.
-    right = wanted.select(
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
-        F.col("_b").alias("_rb"), "_total", "_before",
+    # slips below the count, so all uses of vc share one shuffle.
+    def within(left: DataFrame, right: DataFrame, keys: list[str], *more: str) -> DataFrame:
+        named = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *more)
+        on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+        return left.join(named, reduce(and_, on)).drop(*[f"_k{i}" for i in range(len(keys))])
+
+    width = F.col("_most") - F.col("_least")
+    part = F.when(width > 0, F.floor((v - F.col("_least")) / width * _PARTS)).otherwise(F.lit(0))
+    near = within(vc, wanted, [*groups, "_b"], "_total", "_before", "_least", "_most").withColumn("_p", part)
+    in_bucket = W.partitionBy(*groups, "_b").orderBy("_p")
+    parts = (
+        near.groupBy(*groups, "_b", "_p")
+        .agg(F.sum("_n").alias("_pn"), F.max("_total").alias("_total"), F.max("_before").alias("_before"))
+        .withColumn("_from", F.col("_before") + F.sum("_pn").over(in_bucket) - F.col("_pn"))
+        .where(reduce(or_, [holds(r, F.col("_from"), F.col("_pn")) for r in floors + ceils]))
     )
-    on = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)]
-    on.append(F.col("_b").eqNullSafe(F.col("_rb")))
-    running = F.sum("_n").over(W.partitionBy(*groups, "_b").orderBy("_v"))
-    ordered = vc.join(right, reduce(and_, on)).withColumn(
-        "_start", F.col("_before") + running - F.col("_n")
+    running = F.sum("_n").over(W.partitionBy(*groups, "_b", "_p").orderBy("_v"))
+    ordered = within(near, parts, [*groups, "_b", "_p"], "_from").withColumn(
+        "_start", F.col("_from") + running - F.col("_n")
     )
     at = lambda rank: F.max(F.when(holds(rank, F.col("_start"), F.col("_n")), v))
     picks = [at(r).alias(f"_lo{i}") for i, r in enumerate(floors)]
@@ -216,44 +231,26 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     )
 
 
-def _range_of(key: Column, splits: list[Column], base: int = 0) -> Column:
-    """How many of the sorted splits lie below key, as a balanced CASE tree."""
-    if not splits:
-        return F.lit(base)
-    mid = len(splits) // 2
-    above = _range_of(key, splits[mid + 1:], base + mid + 1)
-    return F.when(key > splits[mid], above).otherwise(_range_of(key, splits[:mid], base))
-
-
-def global_rank(df: DataFrame, order_cols: list[str], alias: str = "rank", ranges: int = 64) -> DataFrame:
+def global_rank(df: DataFrame, order_cols: list[str], alias: str = "rank", ranges: int | None = None) -> DataFrame:
     """Row number 1..n over the whole frame, without a single-task window.
 
-    df is read three times: stage it first. order_cols must order it totally. At most `ranges` split points, a
-    sample chosen by hash and hence the same on every evaluation, go through
-    the driver; each range is numbered on its own and shifted by the sizes of
-    the ranges below it.
+    Rows are dealt by ranges of the order, one for about _RANGE_ROWS rows (or `ranges`), and written once
+    with the number of their range, so that it stays the same. Each range is numbered on its own and
+    shifted by the sizes of the ranges below. order_cols must order df totally; it is read twice.
     """
-    key = F.struct(*order_cols)
-    sample = (
-        df.select(*order_cols).orderBy(F.xxhash64(*order_cols), *order_cols)
-        .limit(ranges - 1).orderBy(*order_cols).collect()
-    )
-    types = [df.schema[c].dataType for c in order_cols]
-    splits = [
-        F.struct(*[F.lit(v).cast(t).alias(c) for c, v, t in zip(order_cols, row, types)])
-        for row in sample
-    ]
-    ranged = df.withColumn("_r", _range_of(key, splits))
+    n = ranges or -(-df.count() // _RANGE_ROWS) or 1
+    n = max(n, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = materialise(df.repartitionByRange(n, *order_cols).withColumn("_r", F.spark_partition_id()), "ranges")
     below = (
         ranged.groupBy("_r").agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_below", F.sum("_size").over(W.orderBy("_r")) - F.col("_size"))
         .drop("_size")
     )
     local = F.row_number().over(W.partitionBy("_r").orderBy(*order_cols))
-    # `below` has at most `ranges` rows.
+    # `below` has a row for each range.
     return (
         ranged.withColumn("_local", local)
-        .join(F.broadcast(below), "_r")
+        .join(bounded(materialise(below, "below")), "_r")
         .withColumn(alias, F.col("_local") + F.col("_below"))
         .drop("_r", "_local", "_below")
     )

@@ -506,8 +506,8 @@ ANALYSES: dict[str, Callable[[DataFrame], Panels]] = {
 
 
 def run_all(
-    df: DataFrame, sink: Callable[[str, str, DataFrame], None] | None = None,
-    analyses: dict[str, Callable[[DataFrame], Panels]] | None = None,
+    df: DataFrame, analyses: dict[str, Callable[[DataFrame], Panels]] | None = None,
+    sink: Callable[[str, str, DataFrame], None] | None = None,
 ) -> tuple[dict[str, Panels], dict[str, Exception]]:
     """Panels of every analysis. One that fails is reported and does not stop the others.
 

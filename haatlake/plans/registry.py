@@ -366,7 +366,7 @@ def _(ws):
 def _(ws):
     """Row counts of every panel from one run over all analyses."""
     counts = []
-    _, failed = explore.run_all(ws.cleaned, lambda analysis, panel, frame: counts.append(
+    _, failed = explore.run_all(ws.cleaned, sink=lambda analysis, panel, frame: counts.append(
         frame.agg(rows().alias("n")).select(F.lit(analysis).alias("analysis"), F.lit(panel).alias("panel"), "n")))
     if failed:
         raise RuntimeError(f"failed analyses: {failed}")

@@ -97,7 +97,7 @@ def test_a_value_that_fails_at_run_time_is_isolated(spark):
     df = spark.range(3)
     analyses = {"bad": lambda d: explore.Panels({"x": d.select(F.raise_error(F.lit("no")).alias("e"))}), "good": lambda d: explore.Panels({"y": d})}
     seen = []
-    done, failed = explore.run_all(df, lambda a, p, frame: seen.append((a, frame.collect())), analyses)
+    done, failed = explore.run_all(df, analyses, lambda a, p, frame: seen.append((a, frame.collect())))
     assert list(done) == ["good"] and list(failed) == ["bad"] and len(seen) == 1
 
 

@@ -86,3 +86,11 @@ def test_pct_change_and_top_k(spark):
     assert [r["p"] for r in sh.pct_change(df, "y", "v", "p").orderBy("y").collect()] == [
         None, 50.0, -100.0, None]
     assert [r["y"] for r in sh.top_k(df, "v", 2, "y").collect()] == [2, 1]
+
+
+def test_quantiles_of_a_narrow_range_are_spread(spark):
+    """A hundred thousand values of one logarithmic bucket: a task orders a small part of them."""
+    df = spark.range(100_000).selectExpr("'g' AS g", "1e9D + id AS v").repartition(4)
+    q = sh.exact_quantiles(df, ["g"], "v", [0.25, 0.5])
+    assert list(q.first()["q"]) == [1e9 + 24999.75, 1e9 + 49999.5]
+    assert sh._PARTS >= 1000 and "_p" in q._jdf.queryExecution().optimizedPlan().toString()
