@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from haatlake.sources.staging import materialise
 
 # Characters handled at a time inside a task, so that memory doesn't follow the batch size.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 700_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,21 @@ def spare(df: DataFrame, name: str) -> str:
     return name
 
 
+def small_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """Arrow batches of fewer rows, as whole documents travel in them; a number set by the user stays."""
+    name, default = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    if spark.conf.get(name, default) == default:
+        spark.conf.set(name, str(rows))
+
+
+def with_text(df: DataFrame, kept: list[str], text: str) -> tuple[DataFrame, str]:
+    """The kept columns and the text, which travels once, and the name it has."""
+    if text in kept:
+        return df.select(*kept), text
+    hidden = spare(df, "_text")
+    return df.select(*kept, df[text].alias(hidden)), hidden
+
+
 def in_bucket(column: str, modulus: int, remainder: int) -> F.Column:
     """Whether crc32 of the id as text has the remainder; a null id counts as the text ''."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus == remainder

@@ -483,12 +483,13 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words
     held = df.sparkSession.sparkContext.broadcast(level)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in text_blocks(batches, "text"):
+        inside = (b.append_column("text", b.column("row").field(text)) for b in batches)
+        for batch, texts in text_blocks(inside, "text"):
             points = [_point(s) if s.size else (None, None) for s in shingle_sets(texts, words, held.value)]
             a, b = zip(*points)
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["row", "doc_id", "a", "b"])
 
-    given = df.select(F.struct("*").alias("row"), df[doc_id].alias("doc_id"), df[text].alias("text"))
+    given = df.select(F.struct("*").alias("row"), df[doc_id].alias("doc_id"))
     rows = given.mapInArrow(run, given.select("row", "doc_id", F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b")).schema)
 
     def meet(names: DataFrame, how: str) -> DataFrame:

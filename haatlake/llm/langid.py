@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haatlake.llm.common import spare, text_blocks
+from haatlake.llm.common import text_blocks, with_text
 
 BUCKETS, DIM, ORDERS = 1 << 16, 16, (1, 2, 3, 4)
 # Texts to learn from: at most about so many, divided evenly among the languages.
@@ -174,17 +174,18 @@ def train(df: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "te
     return fit([(r[0], r[1]) for r in rows.where(drawn).select(df[text], df[lang]).collect()])
 
 
-def predict(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
-    """Add lang_pred, score and rejected. No shuffle; the model's size is fixed."""
+def predict(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] | None = None,
+            out: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
+    """Add the columns of out: language, score and whether it is rejected. No shuffle; the model's size is fixed."""
     held = df.sparkSession.sparkContext.broadcast(model)
-    hidden = spare(df, "_text")
-    kept = [c for c in (df.columns if keep is None else keep) if c not in ("lang_pred", "score", "rejected")]
-    schema = df.select(*kept, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected")).schema
+    kept = [c for c in (df.columns if keep is None else keep) if c not in out]
+    schema = df.select(*kept, *[F.lit(x).alias(o) for x, o in zip(("", 0.0, True), out)]).schema
+    rows, hidden = with_text(df, kept, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches, hidden):
             found, score, rejected = held.value.predict(texts)
             made = [pa.array(found, pa.string()), pa.array(score), pa.array(rejected)]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + made, [*kept, "lang_pred", "score", "rejected"])
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + made, [*kept, *out])
 
-    return df.select(*kept, df[text].alias(hidden)).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)

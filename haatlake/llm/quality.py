@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from haatlake.llm.common import spare, text_blocks
+from haatlake.llm.common import text_blocks, with_text
 from haatlake.llm.hashing import word_hashes
 
 PAIRS = 128
@@ -40,7 +40,7 @@ PRIOR, EPOCHS, BATCH, RATE, DECAY = 0.7, 40, 256, 0.05, 1e-4
 ACCEPT = 0.3
 
 MARKS = b".,;:!?|#$%&*()<>[]{}/\\\"'-_=+@~^`"
-KIND = np.zeros(256, np.int64)  # 0: other control bytes
+KIND = np.zeros(256, np.int32)  # 0: other control bytes
 for _group, _bytes in enumerate((range(0x61, 0x7B), range(0x41, 0x5B), range(0x30, 0x3A), (0x20,), (0x0A,), range(0x80, 0x100), *([m] for m in MARKS)), 1):
     KIND[list(_bytes)] = _group
 KINDS = int(KIND.max()) + 1
@@ -54,7 +54,7 @@ def features(texts: list[str]) -> np.ndarray:
     raw = np.frombuffer(b"\n".join(raws) + b"\n", np.uint8)
     sizes = np.fromiter(map(len, raws), np.int64, n)
     ends = np.cumsum(sizes + 1)
-    owner = np.repeat(np.arange(n), sizes + 1)
+    owner = np.repeat(np.arange(n, dtype=np.int32), sizes + 1)
     out = np.zeros((n, WIDTH), np.float32)
     kinds = np.bincount(owner * KINDS + KIND[raw], minlength=n * KINDS).reshape(n, KINDS).astype(np.float64)
     kinds[:, 5] -= 1  # the line feed that ends a text here
@@ -141,7 +141,7 @@ def platt(margin: np.ndarray, label: np.ndarray, steps: int = 60) -> tuple[float
 
 def feature_rows(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """The features of each row as an array of floats."""
-    hidden = spare(df, "_text")
+    rows, hidden = with_text(df, keep, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches, hidden):
@@ -149,7 +149,7 @@ def feature_rows(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [made], [*keep, "x"])
 
     schema = df.select(*keep, F.array(F.lit(0.0).cast("float")).alias("x")).schema
-    return df.select(*keep, df[text].alias(hidden)).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "text",
@@ -187,17 +187,18 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str = "doc
     return model
 
 
-def score(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
-    """Add score (0 to 1) and predicted (1 if score >= ACCEPT). No shuffle; the model's size is fixed."""
+def score(df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] | None = None,
+          out: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """Add the columns of out: score (0 to 1) and predicted (1 if score >= ACCEPT). No shuffle; the model's size is fixed."""
     held = df.sparkSession.sparkContext.broadcast(model)
-    hidden = spare(df, "_text")
-    kept = [c for c in (df.columns if keep is None else keep) if c not in ("score", "predicted")]
-    schema = df.select(*kept, F.lit(0.0).alias("score"), F.lit(1).alias("predicted")).schema
+    kept = [c for c in (df.columns if keep is None else keep) if c not in out]
+    schema = df.select(*kept, F.lit(0.0).alias(out[0]), F.lit(1).alias(out[1])).schema
+    rows, hidden = with_text(df, kept, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_blocks(batches, hidden):
             found = held.value.score(texts)
             made = [pa.array(found, pa.float64()), pa.array((found >= ACCEPT).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + made, [*kept, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + made, [*kept, *out])
 
-    return df.select(*kept, df[text].alias(hidden)).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
