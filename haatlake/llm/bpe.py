@@ -32,7 +32,7 @@ from haatlake.llm.common import per_worker, spare, text_blocks
 from haatlake.llm.hashing import Lookup, word_hashes
 
 # Words of a worker's table, at a quarter of its slots; beyond it the table starts anew.
-WORD_BITS = 22
+WORD_BITS = 21
 WORDS = 1 << (WORD_BITS - 2)
 # Fragments longer than this are merged with a heap, in n log n.
 LONG = 512
@@ -214,7 +214,7 @@ class Encoder:
         """An empty table of words: hashes, and for each its ids in a pool."""
         self.known, self.used = Lookup(WORD_BITS), 0
         self.pool = np.zeros(1 << 16, "<u4")
-        self.offset, self.length = np.zeros(1 << WORD_BITS, np.int64), np.zeros(1 << WORD_BITS, np.int64)
+        self.offset, self.length = np.zeros(WORDS, np.int64), np.zeros(WORDS, np.int32)
 
     def _normal(self, text: str) -> str:
         """Normalised and lower-case, words apart by ASCII white space."""
