@@ -35,6 +35,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[
                 size += len(value)
             yield batch.slice(at, len(texts)), texts
             at += len(texts)
+    pa.default_memory_pool().release_unused()  # the worker stays, for other tasks
 
 
 def runs(batches: Iterator[pa.RecordBatch], key: str, max_rows: int = 4096) -> Iterator[pa.Table]:

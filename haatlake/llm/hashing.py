@@ -13,7 +13,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = 1
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 # Bytes hashed at a time.
-SLICE = 1 << 21
+SLICE = 1 << 19
 _powers: list[np.ndarray] = []
 
 
