@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -23,6 +24,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, name)
 
 
+def _release() -> None:
+    """Return freed memory to the system: a worker stays after its task, beside others of its executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Record batches cut to about BLOCK_CHARS, each with its texts (null: empty)."""
     for batch in batches:
@@ -35,7 +44,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[
                 size += len(value)
             yield batch.slice(at, len(texts)), texts
             at += len(texts)
-    pa.default_memory_pool().release_unused()  # the worker stays, for other tasks
+    _release()
 
 
 def runs(batches: Iterator[pa.RecordBatch], key: str, max_rows: int = 4096) -> Iterator[pa.Table]:
