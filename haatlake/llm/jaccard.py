@@ -1,7 +1,8 @@
 """Exact Jaccard join of shingle sets by pivots and regions of the Jaccard metric.
 
 Documents with equal sets are one point of the metric space. Two different points link if
-100 * intersection >= 90 * union, that is at distance 0.1 or less.
+100 * intersection >= hundredths * union; the default of 90 is distance 0.1 or less. The steps
+are told for 90, their figures follow from the threshold for any other.
 
 1. Pivots and regions. Unrelated texts share next to nothing, so nearly all distances are 1
    and a fixed number of pivots would tell them apart from nothing. Hence pivots follow the
@@ -27,8 +28,8 @@ The links found connect exactly what all links would connect; components follow
 Distances use 56-bit hashes of shingles, points 128-bit hashes of sets.
 
 Edge cases: a null text or one without words has no shingles and no link; with fewer words
-than a shingle the whole sequence is one. Sets of fewer than 9 shingles link to equal sets
-alone. Texts of any length are processed whole; repeated rows and equal ids are separate rows
+than a shingle the whole sequence is one. Sets of fewer than 9 shingles (4 with hundredths of
+80) can link to equal sets alone. Texts of any length are processed whole; repeated rows and equal ids are separate rows
 of one point; a null id counts for no component_id, which is null only if no row of the
 component has an id. Other columns aren't read; an empty table gives an empty table.
 """
@@ -48,12 +49,10 @@ from haatlake.llm.components import components
 from haatlake.llm.hashing import LOWER, mix, word_hashes
 from haatlake.sources.staging import bounded
 
+# Of op10's contract: words of a shingle; linked with HUNDREDTHS / 100 of the union in common.
 WORDS = 3
-# Linked: HUNDREDTHS / 100 of the union in common.
 HUNDREDTHS = 90
-# Smaller sets are linked to equal ones alone: 100 * 7 < 90 * 8, and so on.
-LEAST = 9
-# Shingles that linked points have in common among their first ones (at most LEAST).
+# Shingles that linked points have in common among their first ones, or all they must share if that is less.
 MEET = 8
 CLASSES = 1 << 18
 # Points that one task compares by their first shingles, and by whole sets; pivots of a larger region.
@@ -79,6 +78,7 @@ def shingle_sets(texts: list[str], words: int = WORDS, level: np.ndarray | None
     if level is not None and n >= words:
         each = level[_class(hashes)].astype(np.uint64)
         total = sum(each[k : n - words + 1 + k] for k in range(words))
+        total = total * np.uint64(3) // np.uint64(max(3, words))  # so that 8 bits hold it
         rolled |= np.minimum(total, np.uint64(255)) << np.uint64(56)
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
@@ -114,9 +114,21 @@ def _levels(docs: DataFrame) -> np.ndarray:
     return np.clip(np.round(4 * np.log2(1 + count / max(1.0, count.mean()))), 0, 85).astype(np.uint8)
 
 
-def _first(points: np.ndarray) -> np.ndarray:
-    """A set's first shingles: linked sets have MEET of them in common."""
-    return points[: points.size + HUNDREDTHS * points.size // -100 + MEET]
+def least_set(hundredths: int) -> int:
+    """The size below which sets are linked to equal ones alone: 100 * 7 < 90 * 8, and so on."""
+    if not 1 <= hundredths <= 99:
+        raise ValueError(f"hundredths must be 1 to 99, not {hundredths}")
+    return -(-hundredths // (100 - hundredths))
+
+
+def _common(n, hundredths: int):
+    """How many shingles a set of n shares at least with each one linked to it, up to MEET. It never falls as n grows."""
+    return np.minimum(MEET, -(-hundredths * n // 100))
+
+
+def _first(points: np.ndarray, hundredths: int) -> np.ndarray:
+    """A set's first shingles: linked sets have the smaller one's _common() of them in common."""
+    return points[: points.size + hundredths * points.size // -100 + int(_common(points.size, hundredths))]
 
 
 def _point(points: np.ndarray) -> tuple[int, int]:
@@ -124,9 +136,9 @@ def _point(points: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-def _signatures(docs: DataFrame, level: np.ndarray, words: int) -> DataFrame:
+def _signatures(docs: DataFrame, level: np.ndarray, words: int, hundredths: int) -> DataFrame:
     """doc_id, n_shingles, the point (a, b), and once in each task its first keys: of pivots, and to meet by."""
-    held = docs.sparkSession.sparkContext.broadcast(level)
+    held, least = docs.sparkSession.sparkContext.broadcast(level), least_set(hundredths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -134,13 +146,13 @@ def _signatures(docs: DataFrame, level: np.ndarray, words: int) -> DataFrame:
             sizes, points, keys, meet = [], [], [], []
             for s in shingle_sets(texts, words, held.value):
                 point = _point(s) if s.size else (None, None)
-                new = s.size >= LEAST and point not in seen
+                new = s.size >= least and point not in seen
                 if new:
                     seen.add(point)
                 sizes.append(s.size)
                 points.append(point)
-                first = _first(s) if new else None
-                keys.append(first[: first.size - MEET + 1].view(np.int64) if new else None)
+                first = _first(s, hundredths) if new else None
+                keys.append(first[: first.size - int(_common(s.size, hundredths)) + 1].view(np.int64) if new else None)
                 meet.append((first >> np.uint64(8)).astype(np.uint32).view(np.int32) if new else None)
             a, b = zip(*points)
             yield pa.RecordBatch.from_arrays(
@@ -182,10 +194,10 @@ class Members:
         self.flag[mine] = False
         return found
 
-    def near(self, i: int) -> np.ndarray:
+    def near(self, i: int, hundredths: int) -> np.ndarray:
         """Whether each set's size is within reach of a link with i."""
         small, large = np.minimum(self.size, self.size[i]), np.maximum(self.size, self.size[i])
-        return 100 * small >= HUNDREDTHS * large
+        return 100 * small >= hundredths * large
 
 
 def connect(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
@@ -208,25 +220,25 @@ def connect(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple
                 part[part == part[j]] = part[pivot]
 
 
-def meeting(keys: list[np.ndarray], n: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs that connect the points which meet at least MEET times, at a size within reach."""
+def meeting(keys: list[np.ndarray], n: np.ndarray, hundredths: int = HUNDREDTHS) -> list[tuple[int, int]]:
+    """Pairs that connect the points which meet as often as links must, at a size within reach."""
     members = Members(keys)
 
     def near(i: int, window: np.ndarray) -> np.ndarray:
-        others = np.flatnonzero(window & (100 * np.minimum(n, n[i]) >= HUNDREDTHS * np.maximum(n, n[i])))
-        return others[members.overlap(i, others) >= MEET] if others.size else others
+        others = np.flatnonzero(window & (100 * np.minimum(n, n[i]) >= hundredths * np.maximum(n, n[i])))
+        return others[members.overlap(i, others) >= _common(np.minimum(n[others], n[i]), hundredths)] if others.size else others
 
     return connect(len(keys), near)
 
 
-def region_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def region_links(sets: list[np.ndarray], hundredths: int = HUNDREDTHS) -> list[tuple[int, int]]:
     """Links that connect what all links of a region connect, as pairs of positions."""
     members, n = Members(sets), len(sets)
     distance: list[np.ndarray] = []  # of all to a pivot; nan where it wasn't needed
-    limit = 1 - HUNDREDTHS / 100 + 1e-9
+    limit = 1 - hundredths / 100 + 1e-9
 
     def near(pivot: int, window: np.ndarray) -> np.ndarray:
-        window = window & members.near(pivot)
+        window = window & members.near(pivot, hundredths)
         for d in distance[-8:]:  # nan compares false: it excludes nothing
             window &= ~(np.abs(d - d[pivot]) > limit)
         others = np.flatnonzero(window)
@@ -237,7 +249,7 @@ def region_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
         d = np.full(n, np.nan)
         d[others], d[pivot] = 1 - both / union, 0.0
         distance.append(d)
-        return others[100 * both >= HUNDREDTHS * union]
+        return others[100 * both >= hundredths * union]
 
     return connect(n, near)
 
@@ -246,7 +258,7 @@ def _name(a: int, b: int) -> str:
     return f"{a & (2**64 - 1):016x}{b & (2**64 - 1):016x}"
 
 
-def _groups(regions: DataFrame, signatures: DataFrame) -> DataFrame:
+def _groups(regions: DataFrame, signatures: DataFrame, hundredths: int) -> DataFrame:
     """u, v: points that meet, so that every link lies within a group of connected points."""
     sized = regions.join(regions.groupBy("cell").count().withColumnRenamed("count", "points"), "cell")
     keys = signatures.where("keys is not null").select("a", "b", F.col("meet").alias("keys"), "n_shingles")
@@ -256,7 +268,7 @@ def _groups(regions: DataFrame, signatures: DataFrame) -> DataFrame:
             a, b = region.column("a").to_pylist(), region.column("b").to_pylist()
             keep = sorted({p: i for i, p in reversed(list(enumerate(zip(a, b))))}.values())  # a point may come from several tasks
             keys, n = _arrays(region.column("keys")), region.column("n_shingles").to_numpy()
-            found = meeting([keys[i] for i in keep], n[keep])
+            found = meeting([keys[i] for i in keep], n[keep], hundredths)
             if found:
                 yield _pairs([(_name(a[keep[i]], b[keep[i]]), _name(a[keep[j]], b[keep[j]])) for i, j in found])
 
@@ -283,7 +295,7 @@ def _code(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a.astype(np.int64) * np.int64(0x5851F42D4C957F2D) + b.astype(np.int64)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, level: np.ndarray, words: int) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, level: np.ndarray, words: int, least: int) -> DataFrame:
     """cell, points, a, b, set of the wanted points (a, b, cell, points), computed again from the texts.
 
     A point comes once from each task that has it.
@@ -301,7 +313,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, level: np.ndarray, words: int) ->
         levels, chosen = held.value
         seen: set[tuple[int, int]] = set()
         for _, texts in text_blocks(batches, "text"):
-            sets = [s for s in shingle_sets(texts, words, levels) if s.size >= LEAST]
+            sets = [s for s in shingle_sets(texts, words, levels) if s.size >= least]
             points = np.array([_point(s) for s in sets], np.int64).reshape(-1, 2)
             cell, count = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
             use = np.ones(len(sets), bool)
@@ -334,21 +346,21 @@ def _arrays(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
 LINKS = "u string, v string"
 
 
-def _small_links(rows: DataFrame) -> DataFrame:
+def _small_links(rows: DataFrame, hundredths: int) -> DataFrame:
     """Links of regions that one task joins. rows: cell, a, b, set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for region in runs(batches, "cell"):
             a, b = region.column("a").to_pylist(), region.column("b").to_pylist()
             keep = sorted({p: i for i, p in reversed(list(enumerate(zip(a, b))))}.values())  # a point may come from several tasks
             sets = _arrays(region.column("set"))
-            found = region_links([sets[i] for i in keep])
+            found = region_links([sets[i] for i in keep], hundredths)
             if found:
                 yield _pairs([(_name(a[keep[i]], b[keep[i]]), _name(a[keep[j]], b[keep[j]])) for i, j in found])
 
     return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, LINKS)
 
 
-def _large_links(rows: DataFrame) -> DataFrame:
+def _large_links(rows: DataFrame, hundredths: int) -> DataFrame:
     """Links of regions that no task could join alone. rows: cell, points, a, b, set."""
     rows = stage(rows.dropDuplicates(["cell", "a", "b"]).withColumn("h", F.xxhash64("a", "b")), "large")
     order = Window.partitionBy("cell").orderBy("h", "a", "b")
@@ -369,7 +381,7 @@ def _large_links(rows: DataFrame) -> DataFrame:
                 both = sets.overlap(p, mine)
                 union = sets.size[mine] + sets.size[p] - both
                 far[mine, rank[p] - 1] = 1 - both / union
-                mask[mine] |= (100 * both >= HUNDREDTHS * union).astype(np.int64) << (int(rank[p]) - 1)
+                mask[mine] |= (100 * both >= hundredths * union).astype(np.int64) << (int(rank[p]) - 1)
             own = block.take(pa.array(mine))
             yield pa.RecordBatch.from_arrays([*(own.column(c).combine_chunks() for c in ("cell", "a", "b", "set")), pa.array(list(far[mine]), pa.list_(pa.float64())), pa.array(mask[mine])],
                                              ["cell", "a", "b", "set", "far", "mask"])
@@ -407,12 +419,12 @@ def _large_links(rows: DataFrame) -> DataFrame:
             for i in np.flatnonzero(~settled).tolist():  # a point can be probe and member of a block
                 part[i] = where.setdefault(names[i], int(part[i]))
             for i in np.flatnonzero(probe).tolist():
-                window = ~probe & (part != part[i]) & members.near(i)
-                window &= (np.abs(far - far[i]) <= 1 - HUNDREDTHS / 100 + 1e-9).all(1)
+                window = ~probe & (part != part[i]) & members.near(i, hundredths)
+                window &= (np.abs(far - far[i]) <= 1 - hundredths / 100 + 1e-9).all(1)
                 others = np.flatnonzero(window)
                 if others.size:
                     both = members.overlap(i, others)
-                    for k in others[100 * both >= HUNDREDTHS * (members.size[others] + members.size[i] - both)].tolist():
+                    for k in others[100 * both >= hundredths * (members.size[others] + members.size[i] - both)].tolist():
                         if part[k] != part[i]:
                             out.append((names[i], names[k]))
                             part[part == part[i]] = part[k]
@@ -435,46 +447,46 @@ def sum_or(groups: list[list[int]]) -> int:
     return out
 
 
-def links(docs: DataFrame, signatures: DataFrame, level: np.ndarray, words: int = WORDS) -> DataFrame:
+def links(docs: DataFrame, signatures: DataFrame, level: np.ndarray, words: int = WORDS, hundredths: int = HUNDREDTHS) -> DataFrame:
     """u, v: links between points that connect what all links connect."""
-    groups = components(_groups(stage(_regions(signatures), "regions"), signatures))
+    groups = components(_groups(stage(_regions(signatures), "regions"), signatures, hundredths))
     counts = groups.groupBy("root").agg(F.count(F.lit(1)).alias("points"))
     number = lambda at: F.conv(F.substring("node", at, 16), 16, -10).cast("long")
     wanted = stage(groups.join(counts, "root").select(number(1).alias("a"), number(17).alias("b"), F.xxhash64("root").alias("cell"), "points"), "wanted")
-    rows = _sets(docs, wanted, level, words)
+    rows = _sets(docs, wanted, level, words, least_set(hundredths))
     if wanted.where(f"points > {REGION}").limit(1).count():
         rows = stage(rows, "sets")
-        return _small_links(rows.where(f"points <= {REGION}")).unionByName(_large_links(rows.where(f"points > {REGION}")))
-    return _small_links(rows)
+        return _small_links(rows.where(f"points <= {REGION}"), hundredths).unionByName(_large_links(rows.where(f"points > {REGION}"), hundredths))
+    return _small_links(rows, hundredths)
 
 
-def _solved(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
+def _solved(docs: DataFrame, words: int, hundredths: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
     """The signatures, the component_id of each point, and the levels."""
     level = _levels(docs)
-    signatures = stage(_signatures(docs, level, words), "signatures")
-    linked = components(links(docs, signatures, level, words))
+    signatures = stage(_signatures(docs, level, words, hundredths), "signatures")
+    linked = components(links(docs, signatures, level, words, hundredths))
     points = signatures.where("a is not null").groupBy("a", "b").agg(F.min("doc_id").alias("least")).withColumn("node", _named("a", "b"))
     rooted = points.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return signatures, rooted.join(smallest, "root").select("a", "b", "root", "least", "component_id"), level
 
 
-def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, hundredths: int = HUNDREDTHS) -> DataFrame:
     """doc_id, n_shingles and component_id (the least id linked to it, directly or not) of every row."""
     docs = df.select(df[doc_id].alias("doc_id"), df[text].alias("text"))
-    signatures, solved, _ = _solved(docs, words)
+    signatures, solved, _ = _solved(docs, words, hundredths)
     found = signatures.select("doc_id", "n_shingles", "a", "b").join(solved.select("a", "b", "component_id"), ["a", "b"], "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select("doc_id", "n_shingles", own.alias("component_id"))
 
 
-def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, hundredths: int = HUNDREDTHS) -> DataFrame:
     """The rows of df but for those that another one of their component stands for: the one of least id stays.
 
     Rows without shingles all stay. Of rows with equal id and equal shingles one stays.
     """
     docs = df.select(df[doc_id].alias("doc_id"), df[text].alias("text"))
-    signatures, solved, level = _solved(docs, words)
+    signatures, solved, level = _solved(docs, words, hundredths)
     # A component's row is that of its least id, and with equal ids of its least point.
     ids = signatures.where("a is not null").select("doc_id", "a", "b").groupBy("doc_id", "a", "b").agg(F.count(F.lit(1)).alias("n")).join(solved.select("a", "b", "root"), ["a", "b"])
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "a", "b")

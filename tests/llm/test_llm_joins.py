@@ -77,6 +77,38 @@ def test_jaccard_of_families_in_large_regions(spark, monkeypatch):
     assert sorted(map(tuple, jaccard.jaccard_components(df).collect())) == sorted(brute_components(rows))
 
 
+def five(rows):
+    """Kept ids by 5-word shingles and a similarity of 0.8, by all pairs."""
+    sets = []
+    for _, t in rows:
+        words = WORD.findall((t or "").encode().translate(LOWER))
+        sets.append(frozenset(zip(*(words[k:] for k in range(5)))) if len(words) >= 5 else frozenset([tuple(words)] if words else []))
+    part = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and part[i] != part[j] and 100 * len(a & sets[j]) >= 80 * len(a | sets[j]):
+                old, new = part[i], part[j]
+                part = [new if p == old else p for p in part]
+    return sorted(min(i for p, (i, _) in zip(part, rows) if p == q) for q in set(part))
+
+
+@pytest.mark.parametrize("region", [1_000, 4])
+def test_pipeline_joins_by_five_words_at_80(spark, monkeypatch, region):
+    import corpus_pipeline
+
+    monkeypatch.setattr(jaccard, "REGION", region)
+    monkeypatch.setattr(jaccard, "MEETING", region)
+    base, rows = [f"b{k}" for k in range(100)], list(enumerate(texts(region + 1)))
+    two = [f"r{k}" if k in (30, 70) else w for k, w in enumerate(base)]
+    rows += [(1000, " ".join(base)), (1001, " ".join(two)), (1002, " ".join(base + [f"x{k}" for k in range(15)]))]
+    for n in range(5, 15):  # sets of 1 to 10 shingles, and one shingle more: alike from 4 of 5 on
+        rows += [(1100 + 2 * n, " ".join(f"s{n}x{k}" for k in range(n))), (1101 + 2 * n, " ".join(f"s{n}x{k}" for k in range(n + 1)))]
+    got = sorted(r.doc_id for r in corpus_pipeline.jaccard_join(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect())
+    assert got == five(rows)
+    assert 1000 in got and not {1001, 1002} & set(got)
+    assert {1115, 1117} & set(got) == {1115} and 1113 in got
+
+
 def test_jaccard_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.jaccard_components(df).count() == 0 and jaccard.one_of_each(df).count() == 0
