@@ -57,8 +57,8 @@ MEET = 8
 CLASSES = 1 << 18
 # Points that one task compares by their first shingles, and by whole sets; pivots of a larger region.
 MEETING, REGION, PIVOTS = 5_000, 1_000, 16
-# Points whose hashes a task holds to select those in regions; beyond it a join selects them.
-SELECTED = 1_000_000
+# Bits of the filter by which tasks drop most sets that aren't wanted; a join drops the rest.
+FILTER = 1 << 26
 
 
 def shingle_sets(texts: list[str], words: int = WORDS, level: np.ndarray | None = None) -> list[np.ndarray]:
@@ -291,8 +291,14 @@ def _pairs(pairs: list[tuple[str, str]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.string()), pa.array(v, pa.string())], ["u", "v"])
 
 
-def _code(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return a.astype(np.int64) * np.int64(0x5851F42D4C957F2D) + b.astype(np.int64)
+def _filter(wanted: DataFrame) -> np.ndarray:
+    """FILTER bits, made by Spark: a bit is set if the lowest bits of some wanted a name it."""
+    at = F.col("a").bitwiseAND(F.lit(FILTER - 1))
+    words = (wanted.select(F.shiftright(at, 6).cast("int").alias("at"), F.expr("shiftleft(1L, cast(a & 63 as int))").alias("bit"))
+             .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow())  # at most FILTER / 64 rows
+    bits = np.zeros(FILTER // 64, np.int64)
+    bits[words["at"].to_numpy()] = words["bits"].to_numpy()
+    return bits
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, level: np.ndarray, words: int, least: int) -> DataFrame:
@@ -300,40 +306,27 @@ def _sets(docs: DataFrame, wanted: DataFrame, level: np.ndarray, words: int, lea
 
     A point comes once from each task that has it.
     """
-    few = wanted.count() <= SELECTED
-    found = wanted.toArrow() if few else None
-    chosen = None
-    if found is not None:
-        code = _code(found["a"].to_numpy(), found["b"].to_numpy())
-        order = np.argsort(code)
-        chosen = tuple(x[order] for x in (code, found["cell"].to_numpy(), found["points"].to_numpy()))
-    held = docs.sparkSession.sparkContext.broadcast((level, chosen))
+    held = docs.sparkSession.sparkContext.broadcast((level, _filter(wanted)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels, chosen = held.value
+        levels, bits = held.value
         seen: set[tuple[int, int]] = set()
         for _, texts in text_blocks(batches, "text"):
-            sets = [s for s in shingle_sets(texts, words, levels) if s.size >= least]
-            points = np.array([_point(s) for s in sets], np.int64).reshape(-1, 2)
-            cell, count = np.zeros(len(sets), np.int64), np.zeros(len(sets), np.int64)
-            use = np.ones(len(sets), bool)
-            if chosen is not None:
-                code = _code(points[:, 0], points[:, 1])
-                at = np.minimum(np.searchsorted(chosen[0], code), max(0, len(chosen[0]) - 1))
-                use = chosen[0][at] == code if len(chosen[0]) else ~use
-                if len(chosen[0]):
-                    cell, count = chosen[1][at], chosen[2][at]
             rows = []
-            for k in np.flatnonzero(use).tolist():
-                if (p := tuple(points[k].tolist())) not in seen:
+            for s in shingle_sets(texts, words, levels):
+                if s.size < least:
+                    continue
+                p = _point(s)
+                if bits[(p[0] & (FILTER - 1)) >> 6] >> (p[0] & 63) & 1 and p not in seen:
                     seen.add(p)
-                    rows.append((int(cell[k]), int(count[k]), *p, sets[k].view(np.int64)))
+                    rows.append((*p, s.view(np.int64)))
             if rows:
-                *numbers, arrays = zip(*rows)
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in numbers), pa.array(arrays, pa.list_(pa.int64()))], ["cell", "points", "a", "b", "set"])
+                a, b, arrays = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(arrays, pa.list_(pa.int64()))], ["a", "b", "set"])
 
-    made = docs.select("text").mapInArrow(run, "cell long, points long, a long, b long, set array<long>")
-    return made if few else made.drop("cell", "points").join(wanted, ["a", "b"])
+    made = docs.select("text").mapInArrow(run, "a long, b long, set array<long>")
+    # Merged, not broadcast: names of points stay off the driver at every size.
+    return made.join(wanted.hint("shuffle_merge"), ["a", "b"]).select("cell", "points", "a", "b", "set")
 
 
 def _arrays(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:

@@ -109,6 +109,25 @@ def test_pipeline_joins_by_five_words_at_80(spark, monkeypatch, region):
     assert {1115, 1117} & set(got) == {1115} and 1113 in got
 
 
+def test_wanted_sets_are_joined_and_not_collected(spark, monkeypatch):
+    """Names of points stay off the driver, and what a full filter lets through is left to the join."""
+    kind, told = type(spark.range(0)), []
+    collect = kind.toArrow
+    monkeypatch.setattr(kind, "toArrow", lambda self: (told.append(self.columns), collect(self))[1])
+    rows = [(i, t) for i, t in enumerate(texts(5), 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    level = jaccard._levels(docs)
+    points = {jaccard._point(s): s for s in jaccard.shingle_sets([t or "" for _, t in rows], 3, level) if s.size >= 9}
+    chosen = [(a, b, k, 2) for k, (a, b) in enumerate(points) if k % 3 == 0]
+    wanted = spark.createDataFrame(chosen, "a long, b long, cell long, points long")
+    for bits in (jaccard.FILTER, 64):
+        monkeypatch.setattr(jaccard, "FILTER", bits)
+        got = jaccard._sets(docs, wanted, level, 3, 9).collect()
+        assert {(r.a, r.b, r.cell, r.points) for r in got} == set(chosen)
+        assert all(r.set == points[r.a, r.b].view(np.int64).tolist() for r in got)
+    assert told and not any({"a", "b"} & set(c) for c in told)
+
+
 def test_jaccard_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.jaccard_components(df).count() == 0 and jaccard.one_of_each(df).count() == 0
