@@ -71,7 +71,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """node and root (the least node of its component) of every node with a link. links: u, v of one type.
 
     Each round is written to the shared folder. Links shrink to stars; equal link tables
-    in two rounds end the work. Nodes without a link aren't in the result.
+    in two rounds end the work; links that still change after the last one are an error.
+    Nodes without a link aren't in the result.
     """
     at = stage(_contract(links.where("u <> v")), "links")
     mark = None
@@ -81,5 +82,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
             break
         mark = now
         at = stage(_star(_star(_contract(at), True), False), "links")
+    else:
+        raise RuntimeError(f"links weren't found to stay equal within {rounds} rounds")
     return at.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         at.select(F.col("v").alias("node"), F.col("v").alias("root")).dropDuplicates(["node"]))

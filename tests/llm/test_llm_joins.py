@@ -173,6 +173,14 @@ def test_components_of_long_chains(spark):
     assert components(spark.createDataFrame([], "u string, v string")).count() == 0
 
 
+def test_components_end_with_stars_or_an_error(spark, monkeypatch):
+    monkeypatch.setattr("haatlake.llm.components.CONTRACTED", 1)
+    links = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}") for i in range(40)], "u string, v string")
+    with pytest.raises(RuntimeError):
+        components(links, rounds=2)
+    assert {root for _, root in map(tuple, components(links).collect())} == {"000"}
+
+
 def brute_nearest(x, ids, queries, k):
     for row in queries:
         score = x @ x[row]
