@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haatlake.llm import ann, fingerprints, langid, pages, quality, rollups, sharding
+from haatlake.llm import ann, fingerprints, langid, lines, pages, periods, quality, rollups, sharding
 from haatlake.llm.bpe import encode
 from haatlake.llm.common import in_bucket, stage, table
 from haatlake.llm.jaccard import jaccard_components
@@ -92,10 +94,32 @@ def op10_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def repeat_tail(words: list[bytes], row: dict) -> list[bytes]:
+    """op11's contract: the words of every tenth document (by crc32 of its id; none without an id) repeat from some word on."""
+    h, n = (1, 0) if row["doc_id"] is None else (zlib.crc32(str(row["doc_id"]).encode()), len(words))
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of words of every document, some of which were made to repeat."""
+    return periods.periodic_runs(table(spark, sf_dir, "documents"), edit=repeat_tail)
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that at least three documents share, dropped from all but the greatest one."""
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe_round_trip, op2_pack_windows, op3_extendible_shards, op4_main_text, op5_multiset_fingerprints, op6_language_id,
     op7_token_rollups, op8_quality_scores,
-    op9_adaptive_scan, op10_jaccard_components)}
+    op9_adaptive_scan, op10_jaccard_components, op11_periodic_runs, op13_line_dedup)}
 ORACLE = {
     "op7_token_rollups": f"""
         WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS text FROM documents),
@@ -104,4 +128,14 @@ ORACLE = {
               FROM d JOIN f ON d.text = f.text WHERE d.doc_id IS NULL OR f.first IS NULL OR d.doc_id <= f.first)
         SELECT source, lang, 'v2' AS version, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
         FROM k GROUP BY source, lang""",
+    "op13_line_dedup": f"""
+        WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+        k AS (SELECT doc_id, line, pos,
+                     translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{lines.UPPER}', '{lines.UPPER.lower()}') AS key FROM l),
+        f AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+        m AS (SELECT k.doc_id, line, pos, f.key IS NOT NULL AND k.doc_id < keeper AS dropped FROM k LEFT JOIN f ON k.key = f.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+        FROM m GROUP BY doc_id""",
 }
