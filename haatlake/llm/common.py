@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from haatlake.sources.staging import materialise
 
 # Characters handled at a time inside a task, so that memory doesn't follow the batch size.
 BLOCK_CHARS = 700_000
+# Bits of the filter by which tasks drop most of what isn't wanted.
+FILTER = 1 << 26
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,13 +35,13 @@ def _release() -> None:
         trim(0)
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Record batches cut to about BLOCK_CHARS, each with its texts (null: empty)."""
+def text_blocks(batches: Iterator[pa.RecordBatch], text: str, chars: int = BLOCK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Record batches cut to about so many characters, each with its texts (null: empty)."""
     for batch in batches:
         at, column = 0, batch.column(text)
         while at < batch.num_rows:
             texts, size = [], 0
-            while at + len(texts) < batch.num_rows and size < BLOCK_CHARS:
+            while at + len(texts) < batch.num_rows and size < chars:
                 value = column[at + len(texts)].as_py() or ""
                 texts.append(value)
                 size += len(value)
@@ -91,6 +94,22 @@ def with_text(df: DataFrame, kept: list[str], text: str) -> tuple[DataFrame, str
     return df.select(*kept, df[text].alias(hidden)), hidden
 
 
+def bit_filter(wanted: DataFrame, column: str) -> np.ndarray:
+    """FILTER bits, made by Spark: a bit is set if the lowest bits of some wanted number name it. Its size is fixed."""
+    at = F.col(column).bitwiseAND(F.lit(FILTER - 1))
+    words = (wanted.select(F.shiftright(at, 6).cast("int").alias("at"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit"))
+             .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow())  # at most FILTER / 64 rows
+    bits = np.zeros(FILTER // 64, np.int64)
+    bits[words["at"].to_numpy()] = words["bits"].to_numpy()
+    return bits
+
+
+def in_filter(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Whether the bit that each 64-bit number names is set."""
+    at = (numbers & np.uint64(FILTER - 1)).astype(np.int64)
+    return (bits[at >> 6] >> (at & 63)) & 1 != 0
+
+
 def in_bucket(column: str, modulus: int, remainder: int) -> F.Column:
     """Whether crc32 of the id as text has the remainder; a null id counts as the text ''."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus == remainder

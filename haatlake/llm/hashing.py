@@ -24,7 +24,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of BASE and of its inverse modulo 2**64, at least n of each."""
     if not _powers or _powers[0].size < n:
         size = max(n, SLICE)
@@ -48,7 +48,7 @@ def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         begin = starts[at]
         stop = max(at + 1, int(np.searchsorted(ends, begin + SLICE, "right")))
         part = raw[begin : ends[stop - 1]]
-        power, inverse = _power(part.size)
+        power, inverse = powers(part.size)
         total = np.zeros(part.size + 1, np.uint64)
         np.cumsum(BYTE[part] * power[: part.size], out=total[1:])
         a, b = starts[at:stop] - begin, ends[at:stop] - begin

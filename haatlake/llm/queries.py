@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haatlake.llm import ann, fingerprints, langid, lines, pages, periods, quality, rollups, sharding
+from haatlake.llm import ann, collocations, fingerprints, langid, lines, pages, periods, quality, rollups, sharding
 from haatlake.llm.bpe import encode
 from haatlake.llm.common import in_bucket, stage, table
 from haatlake.llm.jaccard import jaccard_components
@@ -110,6 +110,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.periodic_runs(table(spark, sf_dir, "documents"), edit=repeat_tail)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 phrases of each language whose words are found together most, by their weakest cut."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that at least three documents share, dropped from all but the greatest one."""
     found = lines.dedup_lines(table(spark, sf_dir, "documents"))
@@ -119,7 +124,7 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_bpe_round_trip, op2_pack_windows, op3_extendible_shards, op4_main_text, op5_multiset_fingerprints, op6_language_id,
     op7_token_rollups, op8_quality_scores,
-    op9_adaptive_scan, op10_jaccard_components, op11_periodic_runs, op13_line_dedup)}
+    op9_adaptive_scan, op10_jaccard_components, op11_periodic_runs, op12_collocations, op13_line_dedup)}
 ORACLE = {
     "op7_token_rollups": f"""
         WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS text FROM documents),
@@ -128,6 +133,26 @@ ORACLE = {
               FROM d JOIN f ON d.text = f.text WHERE d.doc_id IS NULL OR f.first IS NULL OR d.doc_id <= f.first)
         SELECT source, lang, 'v2' AS version, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
         FROM k GROUP BY source, lang""",
+    "op12_collocations": f"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{lines.UPPER}', '{lines.UPPER.lower()}'),
+                                                                                     '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS words FROM p),
+        g AS (SELECT lang, k, words, unnest(range(1, len(words) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(words) >= k),
+        f AS (SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL),
+        t AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1 AND f >= 100),
+        s AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+        x AS (SELECT s.lang, s.k, s.phrase, a, cut, l.f AS l, r.f AS r, t.n,
+                     1000 * a::HUGEINT * t.n::HUGEINT // (l.f::HUGEINT * r.f::HUGEINT) AS score
+              FROM s JOIN t ON t.lang = s.lang
+              JOIN f l ON l.lang = s.lang AND l.phrase = array_to_string(words[1:cut], ' ')
+              JOIN f r ON r.lang = s.lang AND r.phrase = array_to_string(words[cut + 1:], ' ')),
+        b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+        d AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = b.lang AND c.k > b.k AND 100 * c.a >= 100 * b.a
+                                                AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ')))
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+               CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM d QUALIFY rank <= 2000""",
     "op13_line_dedup": f"""
         WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
         l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
