@@ -16,14 +16,13 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import halfup, percent
 from ..sources.staging import bounded, materialise
+from .selection import RANGE_ROWS, dealt, ranges_for, select_ranks
 
 # Logarithmic buckets per unit of ln(1+|v|). A double spans at most
 # 2 * 710 * 256 of them, which bounds the histogram of any group.
 _BUCKETS_PER_LOG = 256
 # Equal parts of a bucket that holds a wanted rank; only the values of one part are ordered in a task.
 _PARTS = 1024
-# Rows of a range of global_rank, about.
-_RANGE_ROWS = 500_000
 
 
 def present(df: DataFrame, *keys: str) -> DataFrame:
@@ -153,42 +152,23 @@ def qcut(df: DataFrame, buckets: dict[str, str], n: int) -> DataFrame:
 
 
 def rank_bucket(df: DataFrame, value: str, tie: str, n: int) -> Column:
-    """Bucket 1..n of a row by its rank in (value, tie), by n-1 cut rows found beforehand.
+    """Bucket 1..n of a row by its rank in (value, tie), by n-1 cut rows found beforehand. Without a value there is no bucket.
 
-    df is staged by the caller. Rows are counted by value; only the rows of the values that
-    hold a cut are ordered, first by ranges of a hash-free prefix sum, so the result is a
-    comparison with n-1 (value, tie) pairs and no row is ranked.
+    df is staged by the caller and has next to no rows of equal value and tie. No row is ranked: each is
+    compared with the rows at the n-1 cuts. A missing tie is the least one.
     """
-    counted = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")).where(F.col(value).isNotNull())
-    running = counted.withColumn("_end", F.sum("_n").over(W.orderBy(value)))
-    total = df.agg(F.count(F.lit(1))).first()[0]
-    cuts = []
-    for i in range(1, n):
-        rank = int((total - 1) * i / n) + 1  # the last rank of bucket i
-        at = running.where(F.col("_end") >= rank).orderBy(value).first()
-        if at is None:
-            continue
-        within = df.where(F.col(value) == F.lit(at[0])).select(tie)
-        cuts.append((at[0], _nth(within, tie, rank - (at["_end"] - at["_n"]), at["_n"])))
+    ranked = df.where(F.col(value).isNotNull())
+    total = ranked.count()
+    ranks = [(total - 1) * i // n + 1 for i in range(1, n)]  # the last rank of each bucket
+    cuts = select_ranks(ranked, [value, tie], ranks, unique=True) if total else {}
     c, t = F.col(value), F.col(tie)
-    chain = F.when(F.lit(False), F.lit(0))
-    for i, (v, k) in enumerate(cuts, 1):
-        chain = chain.when((c < v) | (c == v) & (t <= k), F.lit(i))
+    chain = F.when(c.isNull(), F.lit(None))
+    for i, rank in enumerate(ranks if cuts else [], 1):
+        v, k = cuts[rank]
+        chain = chain.when((c < v) | (c == v) & (t.isNull() if k is None else t.isNull() | (t <= k)), F.lit(i))
     return chain.otherwise(F.lit(n)).cast("int")
 
 
-def _nth(df: DataFrame, col: str, k: int, size: int, most: int = 50_000) -> object:
-    """The k-th least of a column's distinct values, narrowed by approximate quantiles of texts' prefixes."""
-    width = 0
-    while size > most:  # halve by the prefix that holds the k-th value
-        width += 2
-        groups = df.groupBy(F.substring(F.col(col).cast("string"), 1, width).alias("p")).agg(F.count(F.lit(1)).alias("n"))
-        row = groups.withColumn("end", F.sum("n").over(W.orderBy("p"))).where(F.col("end") >= k).orderBy("p").first()
-        k, size = k - (row["end"] - row["n"]), row["n"]
-        df = df.where(F.substring(F.col(col).cast("string"), 1, width) == row["p"])
-    return df.orderBy(col).limit(k).agg(F.max(col)).first()[0]
-
-
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Equal-width bins over [min, max], the last one closed; empty bins are listed."""
     values = df.select(F.col(value).cast("double").alias("v")).where("v IS NOT NULL")
@@ -234,13 +214,11 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
 def global_rank(df: DataFrame, order_cols: list[str], alias: str = "rank", ranges: int | None = None) -> DataFrame:
     """Row number 1..n over the whole frame, without a single-task window.
 
-    Rows are dealt by ranges of the order, one for about _RANGE_ROWS rows (or `ranges`), and written once
+    Rows are dealt by ranges of the order, one for about RANGE_ROWS rows (or `ranges`), and written once
     with the number of their range, so that it stays the same. Each range is numbered on its own and
     shifted by the sizes of the ranges below. order_cols must order df totally; it is read twice.
     """
-    n = ranges or -(-df.count() // _RANGE_ROWS) or 1
-    n = max(n, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = materialise(df.repartitionByRange(n, *order_cols).withColumn("_r", F.spark_partition_id()), "ranges")
+    ranged = materialise(dealt(df, order_cols, "_r", ranges_for(df, ranges * RANGE_ROWS if ranges else df.count())), "ranges")
     below = (
         ranged.groupBy("_r").agg(F.count(F.lit(1)).alias("_size"))
         .withColumn("_below", F.sum("_size").over(W.orderBy("_r")) - F.col("_size"))

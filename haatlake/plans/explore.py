@@ -19,6 +19,7 @@ from ..functions.numbers import CRORE, halfup, percent, ratio
 from ..functions.text import tier_of
 from ..operators import shaping as sh
 from ..operators.cleaning import first_order
+from ..operators.sequences import followers
 from ..operators.star import with_synonyms
 from ..sources.staging import materialise
 from .views import is_returned, rows
@@ -402,31 +403,18 @@ def rating_patterns(df: DataFrame) -> Panels:
 
 
 def customer_journey(df: DataFrame) -> Panels:
-    """Share of each next category after a purchase in a category.
-
-    Purchases are ordered within (customer, day), which splits a customer who
-    holds a large part of all rows. Days are then linked per customer by their
-    first and last category, at most one row per calendar day.
-    """
+    """Share of each next category after a purchase in a category, in the order of day and transaction id."""
     if "category" not in df.columns:
         return Panels()
     df = sh.present(dated(df), "_dt", "category", "customer_id")
-    tie = [c for c in ("transaction_id",) if c in df.columns]
-    bought = df.select("customer_id", "_dt", "category", *tie)
-    in_day = W.partitionBy("customer_id", "_dt").orderBy(*tie, "category")
-    steps = bought.select(
-        "customer_id", "_dt", "category",
-        F.lead("category").over(in_day).alias("next_category"),
-        F.first("category").over(in_day).alias("_opens"),
-    )
-    within = steps.where("next_category IS NOT NULL").groupBy("category", "next_category").agg(
-        rows().alias("n"))
-    days = steps.where("next_category IS NULL")
-    across = days.withColumn(
-        "next_category", F.lead("_opens").over(W.partitionBy("customer_id").orderBy("_dt"))
-    ).where("next_category IS NOT NULL").groupBy("category", "next_category").agg(rows().alias("n"))
-    moves = within.unionByName(across).groupBy("category", "next_category").agg(F.sum("n").alias("moves"))
-    return Panels({"transitions": sh.share_of(moves, ["category"], "moves", "share_pct")})
+    order = ["_dt", *[c for c in ("transaction_id",) if c in df.columns]]
+
+    def transitions() -> DataFrame:
+        moves = followers(df, "customer_id", order, "category").withColumnsRenamed(
+            {"value": "category", "next_value": "next_category", "n": "moves"})
+        return sh.share_of(moves, ["category"], "moves", "share_pct")
+
+    return Panels({"transitions": transitions})
 
 
 def product_lifecycle(df: DataFrame) -> Panels:

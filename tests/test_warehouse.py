@@ -40,10 +40,12 @@ def test_fact_keeps_first_row_per_id_even_if_one_id_dominates(spark):
     assert [r[0] for r in fact.select("bulk_qty").distinct().collect()] == [1]
 
 
-def test_money_that_overflows_becomes_null(spark):
-    row = [("T", "C", "P", dt.date(2020, 1, 1), 1e12)]
+@pytest.mark.parametrize("amount,stored", [(1e12, 1e12), (1e17, 1e17), (1e18, None)])
+def test_money_beyond_its_type_becomes_null(spark, amount, stored):
+    row = [("T", "C", "P", dt.date(2020, 1, 1), amount)]
     df = spark.createDataFrame(row, "transaction_id string, customer_id string, product_id string, order_date_dt date, final_amount_inr double")
-    assert star.build_fact_transactions(df).first()["final_amount_inr"] is None
+    found = star.build_fact_transactions(df).first()["final_amount_inr"]
+    assert found is None if stored is None else float(found) == stored
 
 
 def test_customers_keep_last_known_values(spark):
