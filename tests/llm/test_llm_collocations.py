@@ -77,16 +77,54 @@ def test_collisions_are_told_apart_by_text(monkeypatch, bits):
     numbers = grams.word_numbers()
     for n in range(1, 6):
         got = Counter()
-        for phrase, c in grams.phrases(grams.places(n), n, numbers):
+        for _, phrase, c in grams.phrases(grams.places(n), n, numbers):
             got[phrase.decode()] += c
         want = Counter(" ".join(p[i : i + n]) for t in texts for p in pieces(t) for i in range(len(p) - n + 1))
         assert got == want
 
 
-def test_tasks_pass_on_what_they_hold(monkeypatch):
-    parts = [(np.array([3, 5, 9], np.uint64), np.array([1, 1, 2])), (np.array([5, 7], np.uint64), np.array([4, 1]))]
-    prints, counts = coll._sums(parts)
-    assert prints.tolist() == [3, 5, 7, 9] and counts.tolist() == [1, 5, 1, 2]
+def test_tasks_pass_on_what_they_hold():
+    parts = [(np.array([3, 5, 9], np.uint64), np.array([0, 0, 0]), np.array([1, 1, 2])), (np.array([5, 7, 9], np.uint64), np.array([0, 0, 1]), np.array([4, 1, 1]))]
+    prints, bits, counts = coll._sums(parts)
+    assert prints.tolist() == [3, 5, 7, 9, 9] and bits.tolist() == [0, 0, 0, 0, 1] and counts.tolist() == [1, 5, 1, 2, 1]
+
+
+def test_further_bits_tell_words_apart():
+    grams = coll.Grams("en", ["alpha beta alpha beta gamma, alpha beta"])
+    grams.prefix[:] = 0  # all fingerprints collide
+    at = grams.places(2)
+    assert len(set(grams.prints(at, 2).tolist())) == 1 and len(set(grams.more(at, 2).tolist())) == 3
+
+
+@pytest.mark.parametrize("bits", [4, 7])
+def test_collided_fingerprints_are_counted_by_text(spark, bits):
+    """In the tasks, fingerprints of few bits: nearly every phrase goes the way by text."""
+    rows = odd_rows(5)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    few = lambda self, at, n, _prints=coll.Grams.prints: _prints(self, at, n) & np.uint64((1 << bits) - 1)
+
+    def patched(docs, *args, make):
+        """The step with Grams.prints replaced inside the tasks."""
+        arrow = docs.mapInArrow
+
+        def map_in_arrow(run, schema):
+            def with_few(batches):
+                exact, coll.Grams.prints = coll.Grams.prints, few
+                try:
+                    yield from run(batches)
+                finally:  # workers are used again
+                    coll.Grams.prints = exact
+            return arrow(with_few, schema)
+
+        docs.mapInArrow = map_in_arrow
+        return make(docs, *args)
+
+    steps = {name: getattr(coll, name) for name in ("_counted", "_pointed", "_by_text")}
+    with pytest.MonkeyPatch.context() as patch:
+        for name, make in steps.items():
+            patch.setattr(coll, name, lambda docs, *args, make=make: patched(docs, *args, make=make))
+        got = sorted(map(tuple, coll.collocations(df, least=5).collect()))
+    assert got == brute(rows, 5)
 
 
 def test_scores_beyond_64_bits(spark, monkeypatch):
