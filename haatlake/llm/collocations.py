@@ -18,7 +18,7 @@ Candidates inside a longer candidate of equal frequency are left out.
    of these fingerprints are compared word by word, and counted by phrase instead.
 3. Cuts and parts are joined with the table of frequent phrases; products are decimals of 38 digits.
 
-Nothing is broadcast but the filters. Edge cases: a null text has no words; a null language counts as `und`; words of
+Nothing is broadcast but the filters, and the number of words by language while it is small. Edge cases: a null text has no words; a null language counts as `und`; words of
 texts without a frequent phrase still count in the total. Repeated rows count each. Ties of score and frequency
 go by the phrase's bytes. An empty table gives an empty one; other columns of the input don't matter.
 """
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from haatlake.llm.common import bit_filter, in_filter, stage, text_blocks
 from haatlake.llm.hashing import LOWER, mix, powers, word_hashes
-from haatlake.sources.staging import Scratch
+from haatlake.sources.staging import Scratch, bounded
 
 LEAST, LONGEST, TOP = 100, 5, 2_000
 UNKNOWN = "und"
@@ -299,7 +299,8 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", least: i
         "lang", "phrase", "a", "k", _part(F.lit(1), k).alias("first"), _part(k + 1, F.col("words") - k).alias("rest"))
     cuts = cuts.join(known.select("lang", F.col("phrase").alias("first"), F.col("f").alias("l")), ["lang", "first"])
     cuts = cuts.join(known.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r")), ["lang", "rest"])
-    totals = table.where("words = 0").select("lang", F.col("n").alias("all_words"))
+    # A row for each language; beyond the bound the join shuffles.
+    totals = bounded(table.where("words = 0").select("lang", F.col("n").alias("all_words")))
     big = lambda c: f"cast({c} as decimal(19,0))"
     score = F.expr(f"(1000BD * {big('a')} * {big('all_words')}) div ({big('l')} * {big('r')})")
     # At most longest - 1 cuts of a phrase meet in its list.
