@@ -18,6 +18,7 @@ from ..functions import text as words
 from ..functions import vocabulary as vocab
 from ..sources.staging import bounded, fits, materialise
 from .shaping import exact_quantiles
+from .winners import first_of
 
 DUPLICATE_KEY = ("customer_id", "product_id", "order_date", "final_amount_inr")
 FLAG_COLUMNS = ("is_prime_member", "is_prime_eligible", "is_festival_sale")
@@ -213,9 +214,7 @@ def enrich_from_catalog(df: DataFrame, catalog: DataFrame, key: str = "product_i
     new = [c for c in catalog.columns if c not in df.columns]
     if not new:
         return df
-    unique = catalog.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.min(F.struct(*new)).alias("_c")
-    )
+    unique = first_of(catalog.where(F.col(key).isNotNull()).select(key, F.struct(*new).alias("_c")), [key], [F.col("_c")])
     # Unique keys cannot outnumber catalog rows, so the file's rows and bytes bound the side.
     few = fits(catalog)
     return df.join(F.broadcast(unique) if few else unique, key, "left").select(

@@ -10,6 +10,7 @@ from ..functions import vocabulary as vocab
 from ..functions.parsing import stored_flag_of
 from ..functions.text import tier_of
 from .shaping import present
+from .winners import deciding_rows, first_of, last_known
 
 PRODUCT_COLUMNS = {
     "product_id": "string", "product_name": "string", "category": "string",
@@ -82,47 +83,45 @@ def order_bounds(df: DataFrame) -> DataFrame:
     return _dated(df).agg(F.min("order_date_dt").alias("lo"), F.max("order_date_dt").alias("hi"))
 
 
-def _ordered(df: DataFrame) -> Column:
-    """Order date and transaction id as one comparable value of a fixed type."""
+def _rank(df: DataFrame) -> tuple[Column, Column]:
+    """Order date and transaction id, in fixed types."""
     date, number = (F.col(c) if c in df.columns else F.lit(None) for c in ("order_date_dt", "transaction_id"))
-    return F.struct(date.cast("date").alias("day"), number.cast("string").alias("id"))
+    return date.cast("date"), number.cast("string")
 
 
 def product_state(df: DataFrame) -> DataFrame:
-    """product_id and the last row over the columns present, with what it was ordered by.
-
-    The maximum combines on the map side, and maxima of several loads combine likewise.
-    """
+    """product_id and the last row over the columns present, with what it was ordered by: `latest` (at, tie, row)."""
     df = _dated(with_synonyms(df))
     columns = [_typed(df, c, t) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in PRODUCT_COLUMNS.items()]
+    day, number = _rank(df)
     tie = F.xxhash64(*[c for c in PRODUCT_COLUMNS if c in df.columns])
-    latest = F.struct(_ordered(df).alias("at"), tie.alias("tie"), F.struct(*columns).alias("row"))
-    return df.where(F.col("product_id").isNotNull()).groupBy("product_id").agg(F.max(latest).alias("latest"))
+    rows = df.where(F.col("product_id").isNotNull()).select(
+        "product_id", F.struct(F.struct(day.alias("day"), number.alias("id")).alias("at"), tie.alias("tie"), F.struct(*columns).alias("row")).alias("latest"))
+    return deciding_rows(rows, "product_id", F.col("latest.at.day"), [F.desc("latest")], last=True)
 
 
 def customer_state(df: DataFrame) -> DataFrame:
     """customer_id, each attribute's last known value with its order, membership and purchase span."""
     df = _dated(with_synonyms(df))
-
-    def last_known(c: str) -> Column:
-        value = (F.col(c) if c in df.columns else F.lit(None)).cast("string")
-        # The value itself settles ties, so no further column is read for them.
-        return F.max(F.when(value.isNotNull(), F.struct(_ordered(df).alias("at"), value.alias("value")))).alias(c)
-
+    day, number = _rank(df)
     member = _typed(df, "is_prime_member", "boolean") if "is_prime_member" in df.columns else F.lit(None).cast("boolean")
-    return df.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        *[last_known(c) for c in DESCRIBED], F.bool_or(member).alias("is_prime_member"),
-        F.min("order_date_dt").alias("first_purchase_date"), F.max("order_date_dt").alias("last_purchase_date"))
+    rows = df.where(F.col("customer_id").isNotNull()).select(
+        "customer_id", day.alias("order_date_dt"), number.alias("transaction_id"), member.alias("is_prime_member"),
+        *[(F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(c) for c in DESCRIBED])
+    return last_known(rows, "customer_id", F.col("order_date_dt"), F.col("transaction_id"), list(DESCRIBED), {
+        "is_prime_member": F.bool_or("is_prime_member"), "first_purchase_date": F.min("order_date_dt"), "last_purchase_date": F.max("order_date_dt")})
 
 
 def merged_products(states: DataFrame) -> DataFrame:
-    return states.groupBy("product_id").agg(F.max("latest").alias("latest"))
+    return first_of(states, ["product_id"], [F.desc("latest")])
 
 
 def merged_customers(states: DataFrame) -> DataFrame:
-    return states.groupBy("customer_id").agg(
-        *[F.max(c).alias(c) for c in DESCRIBED], F.bool_or("is_prime_member").alias("is_prime_member"),
+    """Of two states at most; their rows of a customer meet in a list."""
+    each = states.groupBy("customer_id").agg(
+        *[F.array_max(F.collect_list(c)).alias(c) for c in DESCRIBED], F.bool_or("is_prime_member").alias("is_prime_member"),
         F.min("first_purchase_date").alias("first_purchase_date"), F.max("last_purchase_date").alias("last_purchase_date"))
+    return each
 
 
 def dim_products_of(state: DataFrame) -> DataFrame:
@@ -152,16 +151,26 @@ def build_dim_customers(df: DataFrame) -> DataFrame:
     return dim_customers_of(customer_state(df))
 
 
-def misfits(df: DataFrame) -> dict[str, Column]:
-    """For each fact column in df, an aggregate that counts the values its type can't hold."""
-    return {
-        c: F.count_if(F.col(c).isNotNull() & _typed(df, c, t).isNull())
-        for c, t in FACT_COLUMNS.items() if c in df.columns and t.startswith("decimal")
-    }
+# Fact columns whose values may not fit; a bit of MISFITS for each says that a row's value didn't.
+_BOUNDED = [c for c, t in FACT_COLUMNS.items() if t.startswith("decimal")]
+MISFITS = "_misfits"
+
+
+def misfits() -> dict[str, Column]:
+    """For each bounded fact column, an aggregate that counts the rows of a marked fact whose value its type can't hold."""
+    return {c: F.count_if(F.getbit(F.col(MISFITS), F.lit(i)) == 1) for i, c in enumerate(_BOUNDED)}
+
+
+def _misfit_bits(df: DataFrame) -> Column:
+    bits = F.lit(0)
+    for i, c in enumerate(_BOUNDED):
+        if c in df.columns:
+            bits = bits + F.when(F.col(c).isNotNull() & _typed(df, c, FACT_COLUMNS[c]).isNull(), 1 << i).otherwise(0)
+    return bits.alias(MISFITS)
 
 
-def build_fact_transactions(df: DataFrame) -> DataFrame:
-    """Complete rows projected to the fact columns, first row per transaction_id.
+def build_fact_transactions(df: DataFrame, marked: bool = False) -> DataFrame:
+    """Complete rows projected to the fact columns, first row per transaction_id; marked adds which values don't fit.
 
     `row_number = 1` is applied per map task before the shuffle, so an id that
     a third of all rows share arrives as one row per task.
@@ -178,8 +187,9 @@ def build_fact_transactions(df: DataFrame) -> DataFrame:
             return _typed(df, name, type_)
         return defaults.get(name, F.lit(None)).cast(type_).alias(name)
 
-    fact = present(df, *keys).select(*[column(c, t) for c, t in FACT_COLUMNS.items()])
-    order = W.partitionBy("transaction_id").orderBy("order_date", F.xxhash64(*fact.columns))
+    mark = [_misfit_bits(df)] if marked else []
+    fact = present(df, *keys).select(*[column(c, t) for c, t in FACT_COLUMNS.items()], *mark)
+    order = W.partitionBy("transaction_id").orderBy("order_date", F.xxhash64(*FACT_COLUMNS))
     return (
         fact.withColumn("_first", F.row_number().over(order))
         .where(F.col("_first") == 1).drop("_first")

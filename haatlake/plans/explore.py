@@ -21,6 +21,7 @@ from ..operators import shaping as sh
 from ..operators.cleaning import first_order
 from ..operators.sequences import followers
 from ..operators.star import with_synonyms
+from ..operators.winners import deciding_rows, first_of
 from ..sources.staging import materialise
 from .views import is_returned, rows
 
@@ -420,11 +421,17 @@ def customer_journey(df: DataFrame) -> Panels:
 def product_lifecycle(df: DataFrame) -> Panels:
     amt, df, panels = amount_column(df), dated(df), Panels()
     if "launch_year" in df.columns:
-        keep = ["launch_year"]
-        first = F.min_by(F.struct(*keep), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(first_order(df, keep))]))["launch_year"]
-        products = df.groupBy("product_id").agg(first.alias("launch_year"))
-        panels["launches"] = sh.present(products, "launch_year").groupBy("launch_year").agg(
-            rows().alias("products"))
+        def launches() -> DataFrame:
+            """Of each product's first row."""
+            order = first_order(df, ["launch_year"])
+            day = [c for c in ("order_date_dt", "transaction_id") if c in df.columns]
+            if "order_date_dt" in df.columns:
+                products = deciding_rows(df.select("product_id", "launch_year", *day), "product_id", F.col("order_date_dt"), order, last=False)
+            else:
+                products = first_of(df.select("product_id", "launch_year", *day), ["product_id"], order)
+            return sh.present(products, "launch_year").groupBy("launch_year").agg(rows().alias("products"))
+
+        panels["launches"] = launches
     if "category" in df.columns:
         yearly = sh.present(df, "_year", "category").groupBy(F.col("_year").alias("year"), "category").agg(
             total(amt).alias("revenue"))

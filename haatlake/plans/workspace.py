@@ -58,8 +58,7 @@ class Workspace:
     def warehouse(self) -> Warehouse:
         path = self._path("warehouse")
         warehouse = Warehouse(self.spark, path)
-        # The fact is written last.
-        if not (self.out_dir and is_complete(self.spark, f"{path}/fact_transactions")):
+        if not warehouse.version:
             warehouse.load(self.cleaned)
         return warehouse
 
