@@ -50,7 +50,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], text: str, chars: int = BLOCK
     _release()
 
 
-def runs(batches: Iterator[pa.RecordBatch], key: str, max_rows: int = 4096) -> Iterator[pa.Table]:
+def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Consecutive rows of equal key as one table. The input is sorted by key; the caller bounds a key's rows."""
     held: list[pa.RecordBatch] = []
     last = None
@@ -106,7 +106,7 @@ def bit_filter(wanted: DataFrame, column: str) -> np.ndarray:
 
 def in_filter(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     """Whether the bit that each 64-bit number names is set."""
-    at = (numbers & np.uint64(FILTER - 1)).astype(np.int64)
+    at = (numbers & np.uint64(bits.size * 64 - 1)).astype(np.int64)
     return (bits[at >> 6] >> (at & 63)) & 1 != 0
 
 

@@ -1,7 +1,11 @@
 """Connected components of a table of links, by alternating large and small stars.
 
-Before each round every task contracts the links it holds, a bounded number at a time, to
-stars of their own; what is connected within a task so needs no round.
+Links are dealt to as few tasks as can hold them, CONTRACTED a task, and each task contracts its
+links to stars of their own: what is connected within a task needs no round of joins, and links that one
+task holds are done. Rounds of stars connect what several tasks hold.
+
+Edge cases: a link with a null end connects nothing and is left out, as is a link of a node with
+itself; repeated links count once; nodes without a link aren't in the result; no links give no rows.
 """
 
 from __future__ import annotations
@@ -72,7 +76,6 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 
     Each round is written to the shared folder. Links shrink to stars; equal link tables
     in two rounds end the work; links that still change after the last one are an error.
-    Nodes without a link aren't in the result.
     """
     at = stage(_contract(links.where("u <> v")), "links")
     mark = None
@@ -81,7 +84,11 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         if now == mark or not now[0]:
             break
         mark = now
-        at = stage(_star(_star(_contract(at), True), False), "links")
+        if now[0] <= CONTRACTED:  # one task sees all of them
+            at = stage(_contract(at.repartition(1)), "links")
+            break
+        dealt = at.repartition(-(-now[0] // CONTRACTED), "u")
+        at = stage(_star(stage(_star(_contract(dealt), True), "star"), False), "links")
     else:
         raise RuntimeError(f"links weren't found to stay equal within {rounds} rounds")
     return at.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(

@@ -41,10 +41,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from haatlake.llm.common import runs, stage, text_blocks
+from haatlake.llm.common import bit_filter, in_filter, runs, stage, text_blocks
 from haatlake.llm.components import components
 from haatlake.llm.hashing import LOWER, mix, word_hashes
 from haatlake.sources.staging import bounded
@@ -57,8 +58,6 @@ MEET = 8
 CLASSES = 1 << 18
 # Points that one task compares by their first shingles, and by whole sets; pivots of a larger region.
 MEETING, REGION, PIVOTS = 5_000, 1_000, 16
-# Bits of the filter by which tasks drop most sets that aren't wanted; a join drops the rest.
-FILTER = 1 << 26
 
 
 def shingle_sets(texts: list[str], words: int = WORDS, level: np.ndarray | None = None) -> list[np.ndarray]:
@@ -137,7 +136,7 @@ def _point(points: np.ndarray) -> tuple[int, int]:
 
 
 def _signatures(docs: DataFrame, level: np.ndarray, words: int, hundredths: int) -> DataFrame:
-    """doc_id, n_shingles, the point (a, b), and once in each task its first keys: of pivots, and to meet by."""
+    """doc_id, text_hash, n_shingles, the point (a, b), and once in each task its first keys: of pivots, and to meet by. Written once."""
     held, least = docs.sparkSession.sparkContext.broadcast(level), least_set(hundredths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,16 +155,41 @@ def _signatures(docs: DataFrame, level: np.ndarray, words: int, hundredths: int)
                 meet.append((first >> np.uint64(8)).astype(np.uint32).view(np.int32) if new else None)
             a, b = zip(*points)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(meet, pa.list_(pa.int32()))],
-                ["doc_id", "n_shingles", "a", "b", "keys", "meet"])
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(meet, pa.list_(pa.int32()))],
+                ["doc_id", "text_hash", "n_shingles", "a", "b", "keys", "meet"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, a long, b long, keys array<long>, meet array<int>")
+    rows = docs.select("doc_id", "text", _text_hash("text").alias("text_hash"))
+    out = stage(rows.mapInArrow(run, f"doc_id {kind}, text_hash long, n_shingles long, a long, b long, keys array<long>, meet array<int>"), "signatures")
+    held.destroy()
+    return out
+
+
+def _text_hash(text: str | F.Column) -> F.Column:
+    """What tells rows of equal id apart."""
+    return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
+
+
+def _owned(a: str, doc_id: str) -> F.Column:
+    """A number for a point and the document that stands for it."""
+    return F.col(a).bitwiseXOR(F.xxhash64(doc_id))
+
 
+def _points(signatures: DataFrame) -> DataFrame:
+    """a, b, n_shingles, keys, meet of each point that can be linked, once: of the least id among the rows that have keys.
 
-def _regions(signatures: DataFrame) -> DataFrame:
+    Copies so end before they are dealt. Only rows of one id and one set may leave several, which each region drops.
+    """
+    keyed = signatures.where("keys is not null")
+    owner = keyed.groupBy("a", "b").agg(F.min("doc_id").alias("owner")).select(F.col("a").alias("x"), F.col("b").alias("y"), "owner")
+    mine = (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")) & F.col("doc_id").eqNullSafe(F.col("owner"))
+    return keyed.join(owner, mine, "left_semi").select("a", "b", "n_shingles", "keys", "meet")
+
+
+def _regions(points: DataFrame) -> DataFrame:
     """cell (its pivot), a, b: points replicated to the regions of their pivots."""
-    postings = signatures.where("keys is not null").select(F.explode("keys").alias("key"), "a", "b")
+    postings = points.select(F.explode("keys").alias("key"), "a", "b")
     pivots = postings.groupBy("key").agg(F.min("a").alias("cell"), F.max("a").alias("most")).where("cell <> most").drop("most")
     return postings.join(pivots, "key").select("cell", "a", "b").dropDuplicates()
 
@@ -258,15 +282,15 @@ def _name(a: int, b: int) -> str:
     return f"{a & (2**64 - 1):016x}{b & (2**64 - 1):016x}"
 
 
-def _groups(regions: DataFrame, signatures: DataFrame, hundredths: int) -> DataFrame:
+def _groups(regions: DataFrame, points: DataFrame, hundredths: int) -> DataFrame:
     """u, v: points that meet, so that every link lies within a group of connected points."""
     sized = regions.join(regions.groupBy("cell").count().withColumnRenamed("count", "points"), "cell")
-    keys = signatures.where("keys is not null").select("a", "b", F.col("meet").alias("keys"), "n_shingles")
+    keys = points.select("a", "b", F.col("meet").alias("keys"), "n_shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for region in runs(batches, "cell"):
             a, b = region.column("a").to_pylist(), region.column("b").to_pylist()
-            keep = sorted({p: i for i, p in reversed(list(enumerate(zip(a, b))))}.values())  # a point may come from several tasks
+            keep = sorted({p: i for i, p in reversed(list(enumerate(zip(a, b))))}.values())  # rows of one id may repeat a point
             keys, n = _arrays(region.column("keys")), region.column("n_shingles").to_numpy()
             found = meeting([keys[i] for i in keep], n[keep], hundredths)
             if found:
@@ -291,42 +315,32 @@ def _pairs(pairs: list[tuple[str, str]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u, pa.string()), pa.array(v, pa.string())], ["u", "v"])
 
 
-def _filter(wanted: DataFrame) -> np.ndarray:
-    """FILTER bits, made by Spark: a bit is set if the lowest bits of some wanted a name it."""
-    at = F.col("a").bitwiseAND(F.lit(FILTER - 1))
-    words = (wanted.select(F.shiftright(at, 6).cast("int").alias("at"), F.expr("shiftleft(1L, cast(a & 63 as int))").alias("bit"))
-             .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow())  # at most FILTER / 64 rows
-    bits = np.zeros(FILTER // 64, np.int64)
-    bits[words["at"].to_numpy()] = words["bits"].to_numpy()
-    return bits
-
-
-def _sets(docs: DataFrame, wanted: DataFrame, level: np.ndarray, words: int, least: int) -> DataFrame:
-    """cell, points, a, b, set of the wanted points (a, b, cell, points), computed again from the texts.
+def _sets(docs: DataFrame, wanted: DataFrame, held: Broadcast, words: int, least: int) -> DataFrame:
+    """cell, points, a, b, set of the wanted points (a, b, cell, points, doc_id), computed again from the texts.
 
-    A point comes once from each task that has it.
+    Of a point's copies only the document that stands for it sends its set: tasks drop nearly all others by a filter of
+    fixed size, a join the rest. held: the levels and the filter.
     """
-    held = docs.sparkSession.sparkContext.broadcast((level, _filter(wanted)))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, bits = held.value
         seen: set[tuple[int, int]] = set()
-        for _, texts in text_blocks(batches, "text"):
-            rows = []
-            for s in shingle_sets(texts, words, levels):
+        for batch, texts in text_blocks(batches, "text"):
+            ids, rows = batch.column("id_hash").to_numpy(), []
+            for i, s in enumerate(shingle_sets(texts, words, levels)):
                 if s.size < least:
                     continue
                 p = _point(s)
-                if bits[(p[0] & (FILTER - 1)) >> 6] >> (p[0] & 63) & 1 and p not in seen:
-                    seen.add(p)
-                    rows.append((*p, s.view(np.int64)))
+                if in_filter(bits, np.array([p[0] ^ int(ids[i])], np.int64).view(np.uint64))[0] and (*p, ids[i]) not in seen:
+                    seen.add((*p, ids[i]))
+                    rows.append((*p, int(ids[i]), s.view(np.int64)))
             if rows:
-                a, b, arrays = zip(*rows)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(arrays, pa.list_(pa.int64()))], ["a", "b", "set"])
+                a, b, h, arrays = zip(*rows)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in (a, b, h)), pa.array(arrays, pa.list_(pa.int64()))], ["a", "b", "id_hash", "set"])
 
-    made = docs.select("text").mapInArrow(run, "a long, b long, set array<long>")
+    made = docs.select("text", F.xxhash64("doc_id").alias("id_hash")).mapInArrow(run, "a long, b long, id_hash long, set array<long>")
+    names = wanted.select("a", "b", F.xxhash64("doc_id").alias("id_hash"), "cell", "points")
     # Merged, not broadcast: names of points stay off the driver at every size.
-    return made.join(wanted.hint("shuffle_merge"), ["a", "b"]).select("cell", "points", "a", "b", "set")
+    return made.join(names.hint("shuffle_merge"), ["a", "b", "id_hash"]).select("cell", "points", "a", "b", "set")
 
 
 def _arrays(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
@@ -344,7 +358,7 @@ def _small_links(rows: DataFrame, hundredths: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for region in runs(batches, "cell"):
             a, b = region.column("a").to_pylist(), region.column("b").to_pylist()
-            keep = sorted({p: i for i, p in reversed(list(enumerate(zip(a, b))))}.values())  # a point may come from several tasks
+            keep = sorted({p: i for i, p in reversed(list(enumerate(zip(a, b))))}.values())  # rows of one id may repeat a point
             sets = _arrays(region.column("set"))
             found = region_links([sets[i] for i in keep], hundredths)
             if found:
@@ -440,34 +454,39 @@ def sum_or(groups: list[list[int]]) -> int:
     return out
 
 
-def links(docs: DataFrame, signatures: DataFrame, level: np.ndarray, words: int = WORDS, hundredths: int = HUNDREDTHS) -> DataFrame:
-    """u, v: links between points that connect what all links connect."""
-    groups = components(_groups(stage(_regions(signatures), "regions"), signatures, hundredths))
+def _link_parts(docs: DataFrame, points: DataFrame, owners: DataFrame, level: np.ndarray, words: int, hundredths: int) -> DataFrame:
+    """node, root of the points that links connect, by stages that are all written."""
+    groups = components(_groups(stage(_regions(points), "regions"), points, hundredths))
     counts = groups.groupBy("root").agg(F.count(F.lit(1)).alias("points"))
     number = lambda at: F.conv(F.substring("node", at, 16), 16, -10).cast("long")
-    wanted = stage(groups.join(counts, "root").select(number(1).alias("a"), number(17).alias("b"), F.xxhash64("root").alias("cell"), "points"), "wanted")
-    rows = _sets(docs, wanted, level, words, least_set(hundredths))
+    named = groups.join(counts, "root").select(number(1).alias("a"), number(17).alias("b"), F.xxhash64("root").alias("cell"), "points")
+    wanted = stage(named.join(owners.select("a", "b", F.col("least").alias("doc_id")), ["a", "b"]), "wanted")
+    held = docs.sparkSession.sparkContext.broadcast((level, bit_filter(wanted.select(_owned("a", "doc_id").alias("owned")), "owned")))
+    rows = _sets(docs, wanted, held, words, least_set(hundredths))
+    found = _small_links(rows.where(f"points <= {REGION}"), hundredths)
     if wanted.where(f"points > {REGION}").limit(1).count():
         rows = stage(rows, "sets")
-        return _small_links(rows.where(f"points <= {REGION}"), hundredths).unionByName(_large_links(rows.where(f"points > {REGION}"), hundredths))
-    return _small_links(rows, hundredths)
+        found = _small_links(rows.where(f"points <= {REGION}"), hundredths).unionByName(_large_links(rows.where(f"points > {REGION}"), hundredths))
+    out = components(found)
+    held.destroy()
+    return out
 
 
-def _solved(docs: DataFrame, words: int, hundredths: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
-    """The signatures, the component_id of each point, and the levels."""
+def _solved(docs: DataFrame, words: int, hundredths: int) -> tuple[DataFrame, DataFrame]:
+    """The signatures, and the root, the least id and the component_id of each point."""
     level = _levels(docs)
-    signatures = stage(_signatures(docs, level, words, hundredths), "signatures")
-    linked = components(links(docs, signatures, level, words, hundredths))
-    points = signatures.where("a is not null").groupBy("a", "b").agg(F.min("doc_id").alias("least")).withColumn("node", _named("a", "b"))
-    rooted = points.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    signatures = _signatures(docs, level, words, hundredths)
+    owners = signatures.where("a is not null").groupBy("a", "b").agg(F.min("doc_id").alias("least"))
+    linked = _link_parts(docs, stage(_points(signatures), "points"), owners, level, words, hundredths)
+    rooted = owners.withColumn("node", _named("a", "b")).join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return signatures, rooted.join(smallest, "root").select("a", "b", "root", "least", "component_id"), level
+    return signatures, rooted.join(smallest, "root").select("a", "b", "root", "least", "component_id")
 
 
 def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, hundredths: int = HUNDREDTHS) -> DataFrame:
     """doc_id, n_shingles and component_id (the least id linked to it, directly or not) of every row."""
     docs = df.select(df[doc_id].alias("doc_id"), df[text].alias("text"))
-    signatures, solved, _ = _solved(docs, words, hundredths)
+    signatures, solved = _solved(docs, words, hundredths)
     found = signatures.select("doc_id", "n_shingles", "a", "b").join(solved.select("a", "b", "component_id"), ["a", "b"], "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select("doc_id", "n_shingles", own.alias("component_id"))
@@ -479,32 +498,21 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words
     Rows without shingles all stay. Of rows with equal id and equal shingles one stays.
     """
     docs = df.select(df[doc_id].alias("doc_id"), df[text].alias("text"))
-    signatures, solved, level = _solved(docs, words, hundredths)
-    # A component's row is that of its least id, and with equal ids of its least point.
-    ids = signatures.where("a is not null").select("doc_id", "a", "b").groupBy("doc_id", "a", "b").agg(F.count(F.lit(1)).alias("n")).join(solved.select("a", "b", "root"), ["a", "b"])
-    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "a", "b")
-    decided = stage(ids.join(ids.groupBy("root").agg(F.min(key).alias("first")), "root")
-                    .select("doc_id", "a", "b", "n", (key == F.col("first")).alias("stays")), "decided")
-    held = df.sparkSession.sparkContext.broadcast(level)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        inside = (b.append_column("text", b.column("row").field(text)) for b in batches)
-        for batch, texts in text_blocks(inside, "text"):
-            points = [_point(s) if s.size else (None, None) for s in shingle_sets(texts, words, held.value)]
-            a, b = zip(*points)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["row", "doc_id", "a", "b"])
-
-    given = df.select(F.struct("*").alias("row"), df[doc_id].alias("doc_id"))
-    rows = given.mapInArrow(run, given.select("row", "doc_id", F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b")).schema)
-
-    def meet(names: DataFrame, how: str) -> DataFrame:
-        names = bounded(names.select(F.col("doc_id").alias("i"), F.col("a").alias("x"), F.col("b").alias("y")))
-        return rows.join(names, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), how)
-
-    out = meet(decided.where("not stays or n > 1"), "left_anti").select("row.*")
-    several = decided.where("stays and n > 1")
-    if several.limit(1).count():
-        order = Window.partitionBy("doc_id", "a", "b").orderBy(F.xxhash64("row"))
-        one = meet(several, "left_semi").withColumn("nth", F.row_number().over(order)).where("nth = 1")
+    signatures, solved = _solved(docs, words, hundredths)
+    # A component's row is that of its least id, and with equal ids of its least point and text.
+    names = ("doc_id", "a", "b", "text_hash")
+    ids = signatures.where("a is not null").groupBy(*names).agg(F.count(F.lit(1)).alias("n")).join(solved.select("a", "b", "root"), ["a", "b"])
+    key = F.struct(F.col("doc_id").isNull().alias("none"), *names)
+    # Of the text of a whole row, only rows that are equal in id and text may leave several here.
+    first = ids.groupBy("root").agg(F.min(key).alias("first"))
+    decided = ids.join(first, "root").select("doc_id", "text_hash", "n", (key == F.col("first")).alias("stays"))
+    judged = stage(decided.where("not stays or n > 1").select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_t"), F.col("stays").alias("_stays")), "judged")
+    # Merged at every size: ids of documents don't pass through the driver. The text is shingled no more.
+    rows = df.select(F.struct("*").alias("row"), df[doc_id].alias("doc_id"), _text_hash(df[text]).alias("text_hash"))
+    met = rows.join(judged.hint("shuffle_merge"), F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("text_hash") == F.col("_t")), "left")
+    out = met.where("_stays is null").select("row.*")
+    if judged.where("_stays").limit(1).count():
+        order = Window.partitionBy("doc_id", "text_hash").orderBy(F.xxhash64("row"))
+        one = met.where("_stays").withColumn("nth", F.row_number().over(order)).where("nth = 1")
         out = out.unionByName(one.select("row.*"))
     return out

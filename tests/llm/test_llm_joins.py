@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from haatlake.llm import ann, jaccard, rollups, sharding
+from haatlake.llm import ann, common, jaccard, rollups, sharding
 from haatlake.llm.components import components
 from haatlake.sources.staging import new_path
 
@@ -117,17 +117,46 @@ def test_wanted_sets_are_joined_and_not_collected(spark, monkeypatch):
     rows = [(i, t) for i, t in enumerate(texts(5), 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     level = jaccard._levels(docs)
-    points = {jaccard._point(s): s for s in jaccard.shingle_sets([t or "" for _, t in rows], 3, level) if s.size >= 9}
-    chosen = [(a, b, k, 2) for k, (a, b) in enumerate(points) if k % 3 == 0]
-    wanted = spark.createDataFrame(chosen, "a long, b long, cell long, points long")
-    for bits in (jaccard.FILTER, 64):
-        monkeypatch.setattr(jaccard, "FILTER", bits)
-        got = jaccard._sets(docs, wanted, level, 3, 9).collect()
-        assert {(r.a, r.b, r.cell, r.points) for r in got} == set(chosen)
+    points, owner = {}, {}
+    for (i, _), s in zip(rows, jaccard.shingle_sets([t or "" for _, t in rows], 3, level)):
+        if s.size >= 9:
+            points[jaccard._point(s)] = s
+            owner.setdefault(jaccard._point(s), i)  # ids ascend
+    chosen = [(a, b, k, 2, owner[a, b]) for k, (a, b) in enumerate(points) if k % 3 == 0]
+    wanted = spark.createDataFrame(chosen, "a long, b long, cell long, points long, doc_id long")
+    for bits in (common.FILTER, 64):
+        monkeypatch.setattr(common, "FILTER", bits)
+        owned = common.bit_filter(wanted.select(jaccard._owned("a", "doc_id").alias("owned")), "owned")
+        assert owned.size == bits // 64
+        got = jaccard._sets(docs, wanted, spark.sparkContext.broadcast((level, owned)), 3, 9).collect()
+        assert sorted((r.a, r.b, r.cell, r.points) for r in got) == sorted(c[:4] for c in chosen)
         assert all(r.set == points[r.a, r.b].view(np.int64).tolist() for r in got)
     assert told and not any({"a", "b"} & set(c) for c in told)
 
 
+def test_copies_reach_a_region_once(spark):
+    """Four hundred copies of two texts in two hundred partitions: two points with keys, and two sets, are dealt."""
+    base = [f"c{k}" for k in range(60)]
+    two = " ".join(base), " ".join(base[:-1] + ["z"])
+    docs = spark.createDataFrame([(i, two[i % 2]) for i in range(400)], "doc_id long, text string").repartition(200)
+    level = jaccard._levels(docs)
+    signatures = jaccard._signatures(docs, level, 3, 90)
+    points = jaccard._points(signatures)
+    assert signatures.where("keys is not null").count() > 100 and points.count() == 2
+    wanted = signatures.where("a is not null").groupBy("a", "b").agg(F.min("doc_id").alias("doc_id")).withColumns({"cell": F.lit(1).cast("long"), "points": F.lit(2).cast("long")})
+    held = spark.sparkContext.broadcast((level, common.bit_filter(wanted.select(jaccard._owned("a", "doc_id").alias("owned")), "owned")))
+    assert jaccard._sets(docs, wanted, held, 3, 9).count() == 2
+    got = jaccard.jaccard_components(docs).select("component_id").distinct().collect()
+    assert [r.component_id for r in got] == [0]
+
+
+def test_one_of_each_of_rows_that_repeat_an_id(spark):
+    """Equal id and shingles, with equal and with other text: one row stays."""
+    rows = [(1, "a b c d e f"), (1, "a  b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "A b c d e f"), (3, ""), (3, "")]
+    got = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got) == [1, 3, 3]
+
+
 def test_jaccard_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.jaccard_components(df).count() == 0 and jaccard.one_of_each(df).count() == 0
@@ -240,7 +269,9 @@ def test_shards_fit(spark):
 def test_written_shards(spark):
     df = spark.createDataFrame([(i, "t" * 40) for i in range(200)], "doc_id long, text string")
     back = sharding.write_shards(df, new_path(spark, "shards"), limit=1000)
-    assert back.count() == 200 and back.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("b"), F.count_distinct(F.input_file_name()).alias("f")).where("b > 1000 or f > 1").count() == 0
+    named = back.select("shard", "text", F.input_file_name().alias("file"))
+    shards = named.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("b"), F.count_distinct("file").alias("f"))
+    assert back.count() == 200 and shards.count() > 5 and shards.where("b > 1000 or f > 1").count() == 0
 
 
 def test_rollups(spark):

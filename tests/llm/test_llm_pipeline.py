@@ -36,8 +36,7 @@ def test_pipeline_equals_its_stages(spark):
     good = docs.where(docs.doc_id.isin([r.doc_id for r in scores if r.score >= 0.3]))
     langs = langid.predict(good, langid.train(good, ~in_bucket("doc_id", 4, 2))).collect()
     known = sorted(r.doc_id for r in langs if not r.rejected)
-    parts = joins.brute_components([(i, rows[i].text) for i in known])
-    want = {i for i, n, c in parts if n == 0 or i == c}
+    want = set(joins.five([(i, rows[i].text) for i in known]))
     got = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in got} == want
     assert all(sum(p.length for p in got if p.doc_id == i) == next(p.doc_tokens for p in got if p.doc_id == i) for i in want)
