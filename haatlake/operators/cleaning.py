@@ -21,6 +21,8 @@ from .shaping import exact_quantiles
 from .winners import first_of
 
 DUPLICATE_KEY = ("customer_id", "product_id", "order_date", "final_amount_inr")
+# Rows of a filter of keys, 64 bits each: 16 MB when full.
+FILTER_WORDS = 1 << 20
 FLAG_COLUMNS = ("is_prime_member", "is_prime_eligible", "is_festival_sale")
 
 
@@ -111,12 +113,17 @@ def handle_duplicates(
 ) -> DataFrame:
     """Tag repeated purchases as bulk; reduce groups above the threshold to their first row.
 
+    Most rows have no second one. A first pass counts hashes of the keys, and hashes that occur again
+    set bits of a filter: at most FILTER_WORDS rows, which are broadcast. Rows it doesn't name are done
+    where they are; only the others are shuffled whole, and have their content hashed for ties.
+    A false hit costs the shuffle of a row, no more.
+
     No group is ever gathered whole. Sizes are counted with map-side
     combination, and because a group keeps all of at most `bulk_threshold`
     rows or only its first one, `row_number <= bulk_threshold` lets each map
     task drop the rest before the shuffle. Both sides hash on the same key, so
     the join adds no exchange. Rows without a first key count as size zero:
-    they are never grouped.
+    they are never grouped. df is read several times; stage it if it is dear.
     """
     have = [c for c in (key_cols or DUPLICATE_KEY) if c in df.columns]
     if not have:
@@ -127,14 +134,15 @@ def handle_duplicates(
     # floats, and the join would no longer find both sides partitioned alike.
     text = lambda c: (F.col(c) + F.lit(0.0)).cast("string").alias(c)
     parts = [text(c) if _is(df, c, "float", "double") else F.col(c) for c in have]
-    keyed = df.where(first.isNotNull()).withColumns(
-        {"_h": F.xxhash64(*parts), "_k": F.struct(*parts)}
-    )
-    sizes = keyed.groupBy("_h", "_k").agg(F.count(F.lit(1)).alias("_size"))
+    keyed = df.where(first.isNotNull()).withColumn("_h", F.xxhash64(*parts))
+    again = routed(keyed, keyed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "_h")
+    alone = again.where(~F.col("_again"))
+    several = again.where(F.col("_again")).drop("_again").withColumn("_k", F.struct(*parts))
+    sizes = several.groupBy("_h", "_k").agg(F.count(F.lit(1)).alias("_size"))
     position = F.row_number().over(
         W.partitionBy("_h", "_k").orderBy(*first_order(df, df.columns))
     )
-    kept = keyed.withColumn("_pos", position).where(F.col("_pos") <= bulk_threshold)
+    kept = several.withColumn("_pos", position).where(F.col("_pos") <= bulk_threshold)
     tagged = (
         kept.join(sizes, ["_h", "_k"])
         .where((F.col("_size") <= bulk_threshold) | (F.col("_pos") == 1))
@@ -144,7 +152,7 @@ def handle_duplicates(
             F.col("_size").alias("bulk_qty"),
         )
     )
-    ungrouped = df.where(first.isNull()).select(
+    ungrouped = alone.drop("_h", "_again").unionByName(df.where(first.isNull())).select(
         *df.columns,
         F.lit(False).alias("is_bulk_order"),
         F.lit(1).cast("bigint").alias("bulk_qty"),
@@ -152,6 +160,18 @@ def handle_duplicates(
     return tagged.unionByName(ungrouped)
 
 
+def routed(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """rows with `_again`: false only for rows whose 64-bit key isn't among the wanted ones.
+
+    The wanted keys become bits, 64 in a row, of at most FILTER_WORDS rows; that bounds the broadcast.
+    """
+    bit = F.expr(f"cast({key} & 63 as int)")
+    word = F.expr(f"shiftright({key}, 6) & {FILTER_WORDS - 1}").alias("_word")
+    words = wanted.groupBy(word).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({key} & 63 as int))")).alias("_bits"))
+    met = rows.withColumn("_word", word).join(F.broadcast(words), "_word", "left")
+    return met.withColumn("_again", F.coalesce(F.getbit(F.col("_bits"), bit) == 1, F.lit(False))).drop("_word", "_bits")
+
+
 def fix_price_outliers(
     df: DataFrame,
     price_col: str = "original_price_inr",

@@ -17,17 +17,17 @@ from ..sources.staging import fits, materialise
 HOT_ROWS = 1_000_000
 
 
-def met(rows: DataFrame, top: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def met(rows: DataFrame, top: DataFrame, key: str, hot_rows: int = HOT_ROWS, whole: bool = True) -> DataFrame:
     """rows with the columns of top, which is staged and has one row for each key (null is one), and its number of rows as `_n`.
 
-    A top that fits is broadcast. Beyond, the join shuffles, but for keys of many rows: at most
+    A top that fits is broadcast, if it may be broadcast whole. Beyond, the join shuffles, but for keys of many rows: at most
     one in hot_rows of all rows is such a key.
     """
     def join(left: DataFrame, right: DataFrame) -> DataFrame:
         named = right.withColumnRenamed(key, "_met")
         return left.join(named, F.col(key).eqNullSafe(F.col("_met"))).drop("_met", "_n")
 
-    if fits(top):
+    if whole and fits(top):
         return join(rows, F.broadcast(top))
     hot = top.where(F.col("_n") > hot_rows)
     if hot.isEmpty() or not fits(hot):

@@ -264,29 +264,34 @@ def deterministic_sample(df: DataFrame, columns: list[str], size: int, seed: int
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson coefficients of all pairs, pairwise complete, from a single pass.
+    """Pearson coefficients of all pairs, pairwise complete, from sums of products in a single pass.
 
-    Each row yields one (pair, x, y) per column pair, so the aggregate holds a
-    single coefficient and compiles to a tight loop; with one coefficient per
-    pair side by side its code would be too large for the JVM to compile.
+    Rows are summed by which of the columns they lack, at most one group for each set of missing columns; a pair's
+    sums are those of the groups that have both. Values are taken as differences from a
+    row's of each column, so that a large common offset doesn't drown what differs; differences from the
+    column's mean follow from the sums. Sums are plain ones that combine on the map side.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    values = {c: F.col(c).cast("double") for c in columns}
-    points = F.array(*[
-        F.struct(F.lit(i).alias("pair"), values[a].alias("x"), values[b].alias("y"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    coefficients = (
-        df.select(F.explode(points).alias("p")).select("p.*")
-        .groupBy("pair").agg(halfup(F.corr("x", "y"), 4).alias("r"))
-    )
-    both_ways = F.array(*[
-        F.array(*[F.struct(F.lit(x).alias("var_x"), F.lit(y).alias("var_y"))
-                  for x, y in dict.fromkeys([(a, b), (b, a)])])
-        for a, b in pairs
-    ])
-    named = coefficients.select("r", F.explode(both_ways[F.col("pair")]).alias("names"))
-    return named.select("names.*", "r")
+    k = len(columns)
+    values = [F.col(c).cast("double") for c in columns]
+    numbers = df.select(*[F.when(~F.isnan(v), v).alias(f"x{i}") for i, v in enumerate(values)])
+    near = numbers.agg(F.struct(*[F.avg(f"x{i}").alias(f"x{i}") for i in range(k)])).scalar()
+    moved = numbers.select(*[(F.col(f"x{i}") - near[f"x{i}"]).alias(f"d{i}") for i in range(k)])
+    lacks = sum((F.when(F.col(f"d{i}").isNull(), 1 << i).otherwise(0) for i in range(k)), F.lit(0)).alias("lacks")
+    sums = moved.groupBy(lacks).agg(
+        rows().alias("n"), *[F.sum(f"d{i}").alias(f"s{i}") for i in range(k)],
+        *[F.sum(F.col(f"d{i}") * F.col(f"d{j}")).alias(f"p{i}_{j}") for i in range(k) for j in range(i, k)])
+    # From here on there is a row for each set of missing columns.
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+
+    def coefficient(i: int, j: int) -> Column:
+        both = F.expr(f"lacks & {1 << i | 1 << j} = 0")
+        n, a, b, aa, bb, ab = (F.sum(F.when(both, F.col(c))) for c in ("n", f"s{i}", f"s{j}", f"p{i}_{i}", f"p{j}_{j}", f"p{i}_{j}"))
+        spread = F.greatest(aa - a * a / n, F.lit(0.0)) * F.greatest(bb - b * b / n, F.lit(0.0))
+        return F.when(spread > 0, (ab - a * b / n) / F.sqrt(spread))
+
+    found = sums.agg(F.array(*[halfup(coefficient(i, j), 4) for i, j in pairs]).alias("r")).scalar()
+    names = [(columns[x], columns[y], at) for at, (i, j) in enumerate(pairs) for x, y in dict.fromkeys([(i, j), (j, i)])]
+    return df.sparkSession.createDataFrame(names, "var_x string, var_y string, at int").select("var_x", "var_y", found[F.col("at")].alias("r"))
 
 
 def price_vs_demand(df: DataFrame, sample_size: int = 20_000, seed: int = 42) -> Panels:

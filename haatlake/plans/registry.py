@@ -202,14 +202,14 @@ _cleaned_column("c10_payment_methods", cleaning.fix_payment_methods, "payment_me
 
 @query("c08_duplicates")
 def _(ws):
-    return cleaning.handle_duplicates(cleaning.clean_rows(ws.raw)).select(
+    return cleaning.handle_duplicates(materialise(cleaning.clean_rows(ws.raw), "rows")).select(
         "transaction_id", *cleaning.DUPLICATE_KEY, "is_bulk_order", "bulk_qty")
 
 
 @query("c09_price_repair")
 def _(ws):
-    rows_ = cleaning.handle_duplicates(cleaning.clean_rows(ws.raw))
-    return cleaning.fix_price_outliers(rows_).select(
+    rows_ = cleaning.handle_duplicates(materialise(cleaning.clean_rows(ws.raw), "rows"))
+    return cleaning.fix_price_outliers(materialise(rows_, "unique")).select(
         "transaction_id", "category", explore.halfup(F.col("original_price_inr"), 4)
         .alias("original_price_inr"), "price_was_corrected")
 

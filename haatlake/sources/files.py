@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import vocabulary as vocab
+from .inventory import Source, inventory
 
 # Columns of the raw files that are numbers already; everything else stays text.
 MEASURES = {
@@ -40,12 +41,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def encoding_of(spark: SparkSession, path: str) -> str:
-    """UTF-8, or latin-1 when some line is not valid UTF-8 (one pass over the text)."""
-    broken = spark.read.text(path).where(~F.is_valid_utf8("value"))
-    return "UTF-8" if broken.isEmpty() else "ISO-8859-1"
-
-
 def _reader(spark: SparkSession, encoding: str, multi_line: bool = False) -> DataFrameReader:
     """Quotes inside quoted fields are doubled, as CSV files have them.
 
@@ -58,10 +53,6 @@ def _reader(spark: SparkSession, encoding: str, multi_line: bool = False) -> Dat
     )
 
 
-def _header(spark: SparkSession, path: str, encoding: str) -> list[str]:
-    return _reader(spark, encoding).csv(path).columns
-
-
 def _scan(
     spark: SparkSession, paths: list[str], encoding: str, columns: list[str],
     multi_line: bool = False,
@@ -90,8 +81,8 @@ def load_year_files(
 
     Columns absent from a file are NULL. Files with the same header form one
     scan, so the plan has as many branches as there are distinct headers.
-    encoding="auto" falls back to latin-1 per file, at the price of a pass over the text;
-    a named encoding saves it where the files are known to have it.
+    Headers and encodings of all files are found by two jobs. encoding="auto" falls back to latin-1
+    for files that aren't valid UTF-8; a named encoding is taken as it is.
     multi_line=True admits line breaks inside quoted fields, at the price that
     a file can no longer be split between tasks.
     """
@@ -100,10 +91,10 @@ def load_year_files(
     if not paths:
         raise FileNotFoundError(f"no {prefix}*.csv in {raw_dir}")
     scans: dict[tuple[str, ...], list[str]] = {}
-    for p in paths:
-        enc = encoding_of(spark, p) if encoding == "auto" else encoding
-        header = _header(spark, p, enc)
-        scans.setdefault((enc, *header), []).append(p)
+    for source in inventory(spark, paths, encoding):
+        scans.setdefault((source.encoding, *source.header), []).append(source.path)
+    if not scans:
+        raise ValueError(f"all {prefix}*.csv in {raw_dir} are empty")
     year = F.regexp_extract(
         F.col("_metadata.file_path"), re.escape(prefix) + r"([^/]*)\.csv(?:/[^/]*)?$", 1
     )
@@ -115,6 +106,13 @@ def load_year_files(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _one(spark: SparkSession, path: str, encoding: str) -> Source:
+    found = inventory(spark, [path], encoding)
+    if not found:
+        raise ValueError(f"{path} is empty")
+    return found[0]
+
+
 def load_catalog(
     spark: SparkSession, raw_dir: str, prefix: str = "sales_", encoding: str = "auto"
 ) -> DataFrame:
@@ -125,9 +123,9 @@ def load_catalog(
         if not found:
             raise FileNotFoundError(f"no product catalog in {raw_dir}")
         exact = found[0]
-    enc = encoding_of(spark, exact) if encoding == "auto" else encoding
-    header = _header(spark, exact, enc)
-    return typed(_missing_as_null(_scan(spark, [exact], enc, header), header))
+    source = _one(spark, exact, encoding)
+    header = list(source.header)
+    return typed(_missing_as_null(_scan(spark, [exact], source.encoding, header), header))
 
 
 def load_raw_data(
@@ -166,7 +164,7 @@ def read_clean(spark: SparkSession, path: str, csv_path: str | None = None) -> D
     if is_complete(spark, path):
         return spark.read.parquet(path)
     if csv_path and _exists(spark, csv_path):
-        header = _header(spark, csv_path, "UTF-8")
+        header = list(_one(spark, csv_path, "UTF-8").header)
         flags = ("is_prime_member", "is_prime_eligible", "is_festival_sale", "is_bulk_order",
                  "price_was_corrected")
         numbers = {"original_price_inr": "double", "customer_rating": "double",

@@ -30,7 +30,7 @@ def least(*values):
 def test_customers(spark, monkeypatch, few):
     if not few:  # nothing is broadcast whole; keys of more than 20 rows are hot
         monkeypatch.setattr(winners, "fits", lambda df: df.count() < 12)
-        monkeypatch.setattr(winners.met, "__defaults__", (20,))
+        monkeypatch.setattr(winners.met, "__defaults__", (20, True))
     rows, schema = sales()
     got = {r.customer_id: (r.customer_city, r.age_group, r.is_prime_member, r.first_purchase_date, r.last_purchase_date)
            for r in star.build_dim_customers(spark.createDataFrame(rows, schema).repartition(5)).collect()}
@@ -47,7 +47,7 @@ def test_customers(spark, monkeypatch, few):
 def test_products_and_launches(spark, monkeypatch, few):
     if not few:
         monkeypatch.setattr(winners, "fits", lambda df: df.count() < 4)
-        monkeypatch.setattr(winners.met, "__defaults__", (60,))
+        monkeypatch.setattr(winners.met, "__defaults__", (60, True))
     rows, schema = sales(7)
     df = spark.createDataFrame(rows, schema).repartition(5)
     state = {r.product_id: (r.latest["at"]["day"], r.latest["at"]["id"]) for r in star.product_state(df).collect()}
