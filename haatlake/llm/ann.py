@@ -4,7 +4,7 @@ A vector x gets one more component, sqrt(M**2 - |x|**2) with M the largest norm,
 zero; the smallest distance is then the largest inner product. A random rotation spreads a
 distance evenly over the dimensions. k-means on a bounded sample gives the lists, every
 vector goes to its nearest one, and each query probes so many lists that on the sample the
-share TARGET of true neighbours lies in them. Within a list the rotated vectors are scanned in
+share TARGET of true neighbours lies in them, and half of them for the share WORST of queries. Within a list the rotated vectors are scanned in
 blocks of columns: after d of D dimensions the distance so far, scaled by D / d, is tested
 against the query's 20th best, and a candidate that exceeds it by more than chance explains
 (a factor 1 + EPSILON / sqrt(d)) is abandoned. What survives all columns is scored in double
@@ -15,8 +15,9 @@ A list is dealt in blocks of at most about BLOCK vectors and BLOCK queries, so t
 holds a list, however large.
 
 Edge cases: vectors that are null, empty, zero or hold null, NaN or infinite components take
-no part, as queries or as candidates, nor do those of another length than the commonest.
-Ties go to the smaller id; repeated rows and ids are candidates one by one, and only a
+no part, as queries or as candidates. Vectors of one length are searched among themselves: products of
+unequal lengths aren't defined. Components keep their type, so scores of doubles are exact; the scan
+sees them scaled by the largest norm, in single precision. Ties go to the smaller id; repeated rows and ids are candidates one by one, and only a
 query's own row is left out; a null id is never a query and comes last among ties. With
 fewer than k candidates a query gets all. An empty table gives an empty table.
 """
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +38,17 @@ from haatlake.llm.common import runs, stage
 
 SAMPLE, SAMPLE_QUERIES, MOST_LISTS, ROUNDS = 20_000, 300, 2_048, 8
 TARGET, EPSILON, COLUMNS = 0.97, 2.1, 16
+# Share of the sample's queries that find at least half of their neighbours.
+WORST = 0.995
 # Vectors and queries of a block; candidates and queries scanned at a time.
 BLOCK, SCAN, BATCH = 8_192, 2_048, 256
+RADIUS = 1 + 1e-9
 
 
 @dataclass
 class Index:
     dim: int
-    radius: float  # the largest norm
+    scale: float  # one by the largest norm: scaled vectors have norms of at most RADIUS
     rotation: np.ndarray
     centroids: np.ndarray
     probes: int
@@ -51,7 +56,8 @@ class Index:
 
     def lifted(self, x: np.ndarray, query: bool) -> np.ndarray:
         """With the extra component, not rotated."""
-        last = np.zeros(len(x)) if query else np.sqrt(np.maximum(0, self.radius**2 - (x.astype(np.float64) ** 2).sum(1)))
+        x = x.astype(np.float64) * self.scale
+        last = np.zeros(len(x)) if query else np.sqrt(np.maximum(0, RADIUS**2 - (x**2).sum(1)))
         return np.concatenate([x, last[:, None]], 1).astype(np.float32)
 
     def order(self, x: np.ndarray, query: bool) -> np.ndarray:
@@ -65,12 +71,12 @@ class Index:
         return (self.centroids**2).sum(1) - 2 * self.lifted(x, query) @ self.centroids.T
 
 
-def build(sample: np.ndarray, total: int, radius: float, k: int, seed: int = 1) -> Index:
+def build(sample: np.ndarray, total: int, largest: float, k: int, seed: int = 1) -> Index:
     """Lists, rotation and number of probes, from a sample of the vectors."""
     dim, rng = sample.shape[1], np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.normal(size=(dim + 1, dim + 1)))[0].astype(np.float32)
     lists = int(min(MOST_LISTS, max(1, round(total**0.5 / 4)), max(1, len(sample) // 4)))
-    index = Index(dim, radius, rotation, np.zeros((1, dim + 1), np.float32), 1, k)
+    index = Index(dim, 1 / largest, rotation, np.zeros((1, dim + 1), np.float32), 1, k)
     points = index.lifted(sample, False)
     index.centroids = points[rng.permutation(len(points))[:lists]].copy()
     for _ in range(ROUNDS):
@@ -87,7 +93,11 @@ def build(sample: np.ndarray, total: int, radius: float, k: int, seed: int = 1)
     best = np.argsort(-near, axis=1)[:, : min(k, len(sample) - 1)]
     rank = np.take_along_axis(places, own[best], 1)
     share = np.cumsum(np.bincount(rank.ravel(), minlength=lists)) / max(1, rank.size)
-    index.probes = int(np.argmax(share >= TARGET)) + 1 if rank.size else lists
+    if rank.size:
+        half = np.sort(rank, axis=1)[:, (rank.shape[1] - 1) // 2]  # lists that hold half of a query's neighbours
+        index.probes = 1 + max(int(np.argmax(share >= TARGET)), int(np.quantile(half, WORST, method="higher")))
+    else:
+        index.probes = lists
     return index
 
 
@@ -103,7 +113,7 @@ def scan(index: Index, x: np.ndarray, ids: np.ndarray, rows: np.ndarray, q: np.n
          ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Query, candidate and score of each query's k best in a block, at or above its bound."""
     size, k = index.dim + 1, index.k
-    xr, norms = index.lifted(x, False) @ index.rotation, (q.astype(np.float64) ** 2).sum(1)
+    xr, norms = index.lifted(x, False) @ index.rotation, ((q.astype(np.float64) * index.scale) ** 2).sum(1)
     found: list[tuple[np.ndarray, ...]] = []
     for q0 in range(0, len(q), BATCH):
         batch = slice(q0, q0 + BATCH)
@@ -113,7 +123,7 @@ def scan(index: Index, x: np.ndarray, ids: np.ndarray, rows: np.ndarray, q: np.n
         for x0 in range(0, len(x), SCAN):
             xs = xr[x0 : x0 + SCAN]
             # The squared distance at which a candidate would tie with the bound.
-            limit = np.maximum(0, norms[batch] + index.radius**2 - 2 * least) * (1 + 1e-5) + 1e-6
+            limit = np.maximum(0, norms[batch] + RADIUS**2 - 2 * least * index.scale**2) * (1 + 1e-5) + 1e-6
             part = np.maximum(0, (qr[:, :COLUMNS] ** 2).sum(1)[:, None] + (xs[:, :COLUMNS] ** 2).sum(1) - 2 * qr[:, :COLUMNS] @ xs[:, :COLUMNS].T)
             d = min(COLUMNS, size)
             a, b = np.nonzero(part * (size / d) <= (limit * (1 + EPSILON / d**0.5 * (d < size)) ** 2)[:, None])
@@ -145,7 +155,11 @@ LAST = 2**63 - 1
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dim)
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
+def _kind(vectors: DataFrame) -> str:
+    return vectors.schema["x"].dataType.simpleString()
 
 
 def _placed(vectors: DataFrame, index: Index) -> DataFrame:
@@ -162,7 +176,7 @@ def _placed(vectors: DataFrame, index: Index) -> DataFrame:
                                                  ["id", "row", "list", "x", "asks"])
                 row += len(x)
 
-    return vectors.mapInArrow(run, "id long, row long, list int, x array<float>, asks boolean")
+    return vectors.mapInArrow(run, f"id long, row long, list int, x {_kind(vectors)}, asks boolean")
 
 
 def _asked(queries: DataFrame, index: Index, sizes: np.ndarray) -> DataFrame:
@@ -184,7 +198,7 @@ def _asked(queries: DataFrame, index: Index, sizes: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("id").take(take), batch.column("row").take(take), batch.column("x").take(take),
                                               pa.array(order[who, place].astype(np.int32)), pa.array((~turn).astype(np.int32))], ["id", "row", "x", "list", "turn"])
 
-    return queries.select("id", "row", "x").mapInArrow(run, "id long, row long, x array<float>, list int, turn int")
+    return queries.select("id", "row", "x").mapInArrow(run, f"id long, row long, x {_kind(queries)}, list int, turn int")
 
 
 FOUND = "query long, query_id long, id long, row long, score double"
@@ -227,21 +241,26 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 def search(df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "embedding", k: int = 20) -> DataFrame:
     """query_id, rank, vec_id and score of the k rows of largest inner product to each query row."""
-    x = F.transform(df[vector], lambda v: v.cast("float"))
+    given = df.schema[vector].dataType.elementType.simpleString()
+    kind = "float" if given == "float" else "double"
+    x = F.transform(df[vector], lambda v: v.cast(kind))
     rows = df.select(df[vec_id].cast("long").alias("id"), x.alias("x"), F.coalesce(is_query & df[vec_id].isNotNull(), F.lit(False)).alias("asks"))
     valid = rows.where("x is not null and size(x) > 0").where(
         F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))) & F.exists("x", lambda v: v != 0))
     norm = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double")))
-    shapes = sorted(((r[1], r[0], r[2]) for r in valid.groupBy(F.size("x").alias("dim")).agg(F.count(F.lit(1)), F.max(norm)).collect()), reverse=True)
+    # A row for each length; lengths without a query aren't searched.
+    shapes = valid.groupBy(F.size("x").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("largest"), F.bool_or("asks").alias("asked")).collect()
+    found = [_search(valid.where(F.size("x") == r.dim), r.n, r.largest, k) for r in sorted(shapes) if r.asked]
     empty = df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if not shapes:
-        return empty
-    total, dim, radius = shapes[0]
-    valid = valid.where(F.size("x") == dim)
+    return reduce(DataFrame.unionByName, found) if found else empty
+
+
+def _search(valid: DataFrame, total: int, largest: float, k: int) -> DataFrame:
+    """search() of rows (id, x, asks) whose vectors have one length."""
     share = min(1.0, SAMPLE / total)
     drawn = valid.where(F.pmod(F.xxhash64("id", "x"), F.lit(1_000_000)) < share * 1_000_000).select("id", "x").collect() or valid.select("id", "x").limit(SAMPLE).collect()
-    sample = np.array([r[1] for r in sorted(drawn, key=lambda r: (r[0] is None, r[0] or 0, r[1]))], np.float32)
-    index = build(sample, total, radius * (1 + 1e-9), k)
+    sample = np.array([r[1] for r in sorted(drawn, key=lambda r: (r[0] is None, r[0] or 0, r[1]))])
+    index = build(sample, total, largest, k)
 
     placed = stage(_placed(valid, index), "placed")
     sizes = np.zeros(len(index.centroids), np.int64)

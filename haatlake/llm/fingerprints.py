@@ -13,7 +13,7 @@ chosen by their own hash, hence an edit changes only the runs around it.
 Edge cases: a null or empty text has no paragraph and the zero vector; empty lines
 are paragraphs; two zero vectors are alike (1), a zero and another vector are not
 (0). Texts of any length are handled in blocks. Documents with equal ids are
-ordered by their texts, a null id comes last, and an only document follows itself.
+ordered by their texts, a null id or one that is no whole number comes last, and an only document follows itself.
 An empty table gives an empty table; other columns aren't read.
 """
 
@@ -35,8 +35,11 @@ from haatlake.llm.hashing import mix, word_hashes
 EXACT, LIKE = 8, 256
 # A word ends its run with a chance of one in RUN.
 RUN = 4
-# Bytes of stored input for a range of documents that one task pairs with their neighbours.
-RANGE_BYTES = 8 << 20
+# Paragraphs hashed at a time.
+PARAGRAPHS = 100_000
+# Bytes of stored input for a range of documents that one task pairs with their neighbours; smaller
+# ranges, of at least so many bytes, where that gives each core some.
+RANGE_BYTES, LEAST_BYTES = 128 << 20, 8 << 20
 LOWEST = -(2**63)
 
 
@@ -45,9 +48,12 @@ def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     exact, like = np.zeros((len(texts), EXACT), np.uint64), np.zeros((len(texts), LIKE), np.int32)
     raws = [t.encode("utf-8", "surrogatepass") for t in texts]
     for i, raw in enumerate(raws):
-        if raw:
-            digests = b"".join([hashlib.blake2b(p).digest() for p in raw.split(b"\n")])
-            exact[i] = np.frombuffer(digests, "<u8").reshape(-1, EXACT).sum(0, dtype=np.uint64)
+        at = 0
+        while raw and at >= 0:  # some paragraphs at a time
+            parts = raw[at:].split(b"\n", PARAGRAPHS) if at or len(raw) > PARAGRAPHS else raw.split(b"\n")
+            at = len(raw) - len(parts.pop()) if len(parts) > PARAGRAPHS else -1
+            digests = b"".join([hashlib.blake2b(p).digest() for p in parts])
+            exact[i] += np.frombuffer(digests, "<u8").reshape(-1, EXACT).sum(0, dtype=np.uint64)
     joined = np.frombuffer(b"\n".join(raws), np.uint8)
     starts, _, words = word_hashes(joined)
     if not words.size:
@@ -114,19 +120,23 @@ def fingerprint(df: DataFrame, text: str = "text", out: str = "fingerprint") ->
 
 
 def _ranges(ids: DataFrame, n: int) -> tuple[np.ndarray, dict[int, list[int]]]:
-    """Upper ends of n ranges of ids, and for each range's highest id the range that needs it as a neighbour."""
-    ends = np.unique(np.array(ids.approxQuantile("id", [k / n for k in range(1, n)], 0.2 / n) if n > 1 else [], np.int64))
+    """Upper ends of at most n ranges of ids, and for each range's highest id the range that needs it as a neighbour.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.searchsorted(ends, batch.column("id").to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(found), batch.column("id")], ["range", "id"])
-
-    highest = sorted(ids.mapInArrow(run, "range long, id long").groupBy("range").agg(F.max("id")).collect())
+    Spark deals the ids alone by ranges; a row for each range comes to the driver, and with each task.
+    """
+    ranged = ids.repartitionByRange(n, "id").groupBy(F.spark_partition_id().alias("range")).agg(F.max("id").alias("top"))
+    tops = np.unique(np.array([r.top for r in ranged.collect()], np.int64))  # ids that are equal lie in one range
     needed: dict[int, list[int]] = {}
-    for k, (_, top) in enumerate(highest):  # the range above, or the last one for the first document
-        needed.setdefault(top, []).append(highest[(k + 1) % len(highest)][0])
-    return ends, needed
+    for k, top in enumerate(tops.tolist()):  # the range above, or the first document's follower: that of the last one
+        needed.setdefault(top, []).append((k + 1) % len(tops))
+    return tops[:-1], needed
+
+
+def _range_count(df: DataFrame) -> int:
+    from haatlake.plans.session import input_bytes
+
+    size, cores = input_bytes(df), df.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-size // RANGE_BYTES), min(-(-size // LEAST_BYTES), 4 * cores))
 
 
 def compare_edited(df: DataFrame, doc_id: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
@@ -135,10 +145,8 @@ def compare_edited(df: DataFrame, doc_id: str = "doc_id", text: str = "text", ra
     The edited text's last third is the next document's beginning. Documents are dealt
     by ranges of ids, each with a copy of the first document of the range below.
     """
-    from haatlake.plans.session import input_bytes
-
-    n = ranges or max(1, -(-input_bytes(df) // RANGE_BYTES))
-    docs = df.select(F.coalesce(df[doc_id].cast("long"), F.lit(LOWEST)).alias("id"), df[doc_id].alias("doc_id"), df[text].alias("text"))
+    n = ranges or _range_count(df)
+    docs = df.select(F.coalesce(df[doc_id].try_cast("long"), F.lit(LOWEST)).alias("id"), df[doc_id].alias("doc_id"), df[text].alias("text"))
     ends, needed = _ranges(docs.select("id"), n)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -48,6 +48,7 @@ from pyspark.sql import functions as F
 from haatlake.llm.common import bit_filter, in_filter, runs, stage, text_blocks
 from haatlake.llm.components import components
 from haatlake.llm.hashing import LOWER, mix, word_hashes
+from haatlake.operators.winners import met
 from haatlake.sources.staging import bounded
 
 # Of op10's contract: words of a shingle; linked with HUNDREDTHS / 100 of the union in common.
@@ -478,9 +479,14 @@ def _solved(docs: DataFrame, words: int, hundredths: int) -> tuple[DataFrame, Da
     signatures = _signatures(docs, level, words, hundredths)
     owners = signatures.where("a is not null").groupBy("a", "b").agg(F.min("doc_id").alias("least"))
     linked = _link_parts(docs, stage(_points(signatures), "points"), owners, level, words, hundredths)
-    rooted = owners.withColumn("node", _named("a", "b")).join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return signatures, rooted.join(smallest, "root").select("a", "b", "root", "least", "component_id")
+    rooted = stage(owners.withColumn("node", _named("a", "b")).join(linked, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("node"), "rooted")
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("_n"))
+    return signatures, _of_root(rooted, smallest).select("a", "b", "root", "least", "component_id")
+
+
+def _of_root(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows, staged, with what was found for their root and its number of rows _n. A large component's rows stay in their tasks."""
+    return met(rows, stage(found, "roots"), "root", hot_rows=max(1_000, rows.count() // 100_000), whole=False)
 
 
 def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, hundredths: int = HUNDREDTHS) -> DataFrame:
@@ -501,11 +507,11 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words
     signatures, solved = _solved(docs, words, hundredths)
     # A component's row is that of its least id, and with equal ids of its least point and text.
     names = ("doc_id", "a", "b", "text_hash")
-    ids = signatures.where("a is not null").groupBy(*names).agg(F.count(F.lit(1)).alias("n")).join(solved.select("a", "b", "root"), ["a", "b"])
+    ids = stage(signatures.where("a is not null").groupBy(*names).agg(F.count(F.lit(1)).alias("n")).join(solved.select("a", "b", "root"), ["a", "b"]), "ids")
     key = F.struct(F.col("doc_id").isNull().alias("none"), *names)
     # Of the text of a whole row, only rows that are equal in id and text may leave several here.
-    first = ids.groupBy("root").agg(F.min(key).alias("first"))
-    decided = ids.join(first, "root").select("doc_id", "text_hash", "n", (key == F.col("first")).alias("stays"))
+    first = ids.groupBy("root").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("_n"))
+    decided = _of_root(ids, first).select("doc_id", "text_hash", "n", (key == F.col("first")).alias("stays"))
     judged = stage(decided.where("not stays or n > 1").select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_t"), F.col("stays").alias("_stays")), "judged")
     # Merged at every size: ids of documents don't pass through the driver. The text is shingled no more.
     rows = df.select(F.struct("*").alias("row"), df[doc_id].alias("doc_id"), _text_hash(df[text]).alias("text_hash"))

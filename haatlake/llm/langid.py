@@ -4,10 +4,14 @@ Subwords are the byte n-grams of the lower-case text, hashed into BUCKETS rows o
 embedding table. A text is the mean of its subwords' rows; a linear layer and softmax
 give the languages. Training is mini-batch gradient descent in numpy on pieces of a
 bounded sample of labelled texts. Part of the sample is held apart to fit a temperature,
-so that the score is a probability, and the score below which a prediction is rejected:
-of the texts and pieces held apart that were recognised, the share ALPHA lies below
-it, and it is at most MOST. For
+so that the score is a probability, and for each range of lengths the score below which a prediction
+is rejected. Pieces of such a length are scored: recognised ones, the same ones with their own language taken
+from the choice (a language that wasn't learnt), and random letters. The threshold is what turns
+nearly all of the latter away, but at most what keeps all but the share ALPHA of the former. Likewise
+a prediction is rejected if fewer of the text's triples of bytes occur in what was learnt than in
+nearly all recognised pieces of its length: other alphabets and junk have next to none. For
 prediction the table and the layer are one table of a number for each bucket and language.
+A text's score doesn't depend on the texts beside it.
 
 Edge cases: a null text or one without a letter is `und` with score 0 and counts as
 rejected. Rows without id, text or language aren't learnt from. Without any example the
@@ -34,8 +38,12 @@ BUCKETS, DIM, ORDERS = 1 << 16, 16, (1, 2, 3, 4)
 SAMPLE = 6_000
 # Bytes of a piece of a text in training; pieces drawn from one text in an epoch.
 PIECE, PIECES, EPOCHS, RATE = 160, 4, 3, 0.5
-# Share of recognised texts that may fall below the threshold, which is at most MOST.
-ALPHA, MOST = 0.001, 0.5
+# Lengths in bytes from which a threshold of its own holds; pieces to fit it on.
+LENGTHS, FITTED = (0, 8, 16, 32, 64, 128, 256, 512), 400
+# Share of recognised texts that may fall below the threshold, give or take SLACK in log-odds; share of others that should.
+ALPHA, SLACK, TURNED = 0.001, 1.0, 0.99
+# Of the least share of triples seen in recognised pieces, what is enough.
+FAMILIAR = 0.8
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -54,33 +62,61 @@ def subwords(raw: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def triples(raw: np.ndarray) -> np.ndarray:
+    """The number of the three bytes from each position on."""
+    wide = raw.astype(np.int32)
+    return wide[:-2] | wide[1:-1] << 8 | wide[2:] << 16
+
+
 @dataclass
 class Model:
     langs: list[str]
     table: np.ndarray  # a row of logits for each bucket, to be averaged
     bias: np.ndarray
     temperature: float
-    threshold: float
+    thresholds: np.ndarray  # one for each of LENGTHS
+    familiar: np.ndarray  # for each of LENGTHS, the least share of triples that were seen
+    seen: np.ndarray  # a bit for each triple of bytes
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, score and whether the prediction is rejected."""
+    def shares_seen(self, texts: list[str]) -> np.ndarray:
+        """The share of each text's triples of bytes that were learnt from; 1 for texts of fewer bytes."""
+        raws = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
+        sizes = np.maximum(np.fromiter(map(len, raws), np.int64, len(raws)) - 2, 0)
+        raw = np.frombuffer(b"".join(raws) + b"\0\0", np.uint8)
+        at = triples(raw)
+        known = np.r_[0, np.cumsum(self.seen[at >> 3] >> (at & 7).astype(np.uint8) & 1)]
+        begin = np.cumsum(np.fromiter(map(len, raws), np.int64, len(raws))) - np.fromiter(map(len, raws), np.int64, len(raws))
+        return np.where(sizes > 0, (known[begin + sizes] - known[begin]) / np.maximum(sizes, 1), 1.0)
+
+    def logits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A row of logits for each text, and its bytes."""
         n = len(texts)
-        if not self.langs or not n:
-            return [UNKNOWN] * n, np.zeros(n), np.ones(n, bool)
         raws = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
-        ends = np.cumsum(np.fromiter(map(len, raws), np.int64, n) + 1)
+        sizes = np.fromiter(map(len, raws), np.int64, n)
+        gap = b"\0" * max(ORDERS)  # grams at a text's end reach into it, as in training
+        raw = np.frombuffer(gap.join(raws) + gap, np.uint8)
+        begin = np.cumsum(sizes + len(gap)) - sizes - len(gap)
+        cuts = np.stack([begin, begin + sizes], 1).ravel()
         sums = np.zeros((n, len(self.langs)))
-        raw = np.frombuffer(b"\n".join(raws) + b"\n", np.uint8)
-        begin = np.r_[0, ends[:-1]]
         for grams in subwords(raw):
             for k in range(len(self.langs)):
-                sums[:, k] += np.add.reduceat(self.table[:, k][grams], begin, dtype=np.float64)
-        logits = sums / (ends - begin)[:, None] / len(ORDERS) + self.bias
+                sums[:, k] += np.add.reduceat(self.table[:, k][grams], cuts, dtype=np.float64)[::2]
+        sums[sizes == 0] = 0
+        return sums / np.maximum(sizes, 1)[:, None] / len(ORDERS) + self.bias, sizes
+
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and whether the prediction is rejected."""
+        n = len(texts)
+        if not self.langs or not n:
+            return [UNKNOWN] * n, np.zeros(n), np.ones(n, bool)
+        logits, sizes = self.logits(texts)
         share = softmax(logits / self.temperature)
         best = share.argmax(1)
         lettered = np.array([LETTER.search(t) is not None for t in texts])
         score = np.where(lettered, share[np.arange(n), best], 0.0)
-        return [self.langs[b] if x else UNKNOWN for b, x in zip(best, lettered)], score, score < self.threshold
+        length = np.searchsorted(LENGTHS, sizes, "right") - 1
+        strange = (score < self.thresholds[length]) | (self.shares_seen(texts) < self.familiar[length])
+        return [self.langs[b] if x else UNKNOWN for b, x in zip(best, lettered)], score, ~lettered | strange
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -106,7 +142,7 @@ def fit(examples: list[tuple[str, str]], seed: int = 1) -> Model:
     examples = sorted(examples)
     langs = sorted({lang for _, lang in examples})
     if not langs:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 0.0)
+        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, np.zeros(len(LENGTHS)), np.zeros(len(LENGTHS)), np.zeros(1 << 21, np.uint8))
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(examples))
     apart = order[: len(order) // 8] if len(order) >= 80 else order
@@ -136,30 +172,63 @@ def fit(examples: list[tuple[str, str]], seed: int = 1) -> Model:
             where = used.ravel()
             moved = np.repeat(back, grams.shape[1], axis=0)[where]
             np.add.at(table, grams.ravel()[where], -rate * len(y) * 10 * moved.astype(np.float32))
-    model = Model(langs, table @ layer, bias.astype(np.float64), 1.0, 0.0)
+    seen = np.zeros(1 << 24, bool)
+    for raw in raws:
+        if len(raw) > 2:
+            seen[triples(np.frombuffer(raw, np.uint8))] = True
+    model = Model(langs, table @ layer, bias.astype(np.float64), 1.0, np.zeros(len(LENGTHS)), np.zeros(len(LENGTHS)), np.packbits(seen, bitorder="little"))
     _calibrate(model, [examples[i] for i in apart], rng)
     return model
 
 
 def _calibrate(model: Model, held: list[tuple[str, str]], rng: np.random.Generator) -> None:
-    """The temperature of least log loss, and the threshold, on texts held apart and as many short pieces of them."""
-    held = held + [(t[at : at + int(rng.integers(3, 60))], lang) for t, lang in held for at in (int(rng.integers(0, max(1, len(t) - 20))),)]
-    held = [(t, lang) for t, lang in held if LETTER.search(t)]
-    if not held:
+    """The temperature of least log loss, and the thresholds, on texts held apart and as many short pieces of them."""
+    pieces = held + [(t[at : at + int(rng.integers(3, 60))], lang) for t, lang in held for at in (int(rng.integers(0, max(1, len(t) - 20))),)]
+    pieces = [(t, lang) for t, lang in pieces if LETTER.search(t)]
+    if not pieces:
         return
-    texts, target = [t for t, _ in held], np.array([model.langs.index(x) for _, x in held])
+    logits, _ = model.logits([t for t, _ in pieces])
+    target = np.array([model.langs.index(x) for _, x in pieces])
     losses = []
     for temperature in np.geomspace(0.05, 5, 30):
-        model.temperature = float(temperature)
-        found, score, _ = model.predict(texts)
-        right = np.array([f == model.langs[y] for f, y in zip(found, target)])
-        rest = (1 - score) / max(1, len(model.langs) - 1)
-        losses.append((-np.log(np.clip(np.where(right, score, rest), 1e-6, 1)).mean(), float(temperature)))
+        share = softmax(logits / temperature)[np.arange(target.size), target]
+        losses.append((-np.log(np.clip(share, 1e-6, 1)).mean(), float(temperature)))
     model.temperature = min(losses)[1]
-    found, score, _ = model.predict(texts)
-    right = np.array([f == model.langs[y] for f, y in zip(found, target)])
-    if right.any():
-        model.threshold = min(MOST, float(np.quantile(score[right], ALPHA, method="lower")))
+    for k, least in enumerate(LENGTHS):
+        shorter = (model.thresholds[k - 1], model.familiar[k - 1]) if k else (0.0, 0.0)
+        model.thresholds[k], model.familiar[k] = _threshold(model, held, least, LENGTHS[k + 1] if k + 1 < len(LENGTHS) else None, rng, shorter)
+
+
+def _threshold(model: Model, held: list[tuple[str, str]], least: int, below: int | None, rng: np.random.Generator, shorter: tuple[float, float]) -> tuple[float, float]:
+    """Below which score, and share of triples seen, texts of at least so many bytes are rejected; those of shorter ones where there are few to fit on."""
+    known = []
+    for t, lang in (held[int(i)] for i in rng.permutation(len(held))):
+        if len(t) >= least and len(known) < FITTED:
+            size = len(t) if below is None else min(len(t), int(rng.integers(max(least, 3), below)))
+            at = int(rng.integers(0, len(t) - size + 1))
+            if LETTER.search(piece := t[at : at + size]):
+                known.append((piece, model.langs.index(lang)))
+    if len(known) < 20:
+        return shorter
+    logits, _ = model.logits([t for t, _ in known])
+    target = np.array([y for _, y in known])
+    right = logits.argmax(1) == target
+    if not right.any():
+        return shorter
+    score = softmax(logits / model.temperature).max(1)[right]
+    kept = float(np.quantile(score, ALPHA, method="lower"))
+    odds = np.log(max(kept, 1e-9) / max(1 - kept, 1e-9)) - SLACK
+    letters = "abcdefghijklmnopqrstuvwxyz  абвгдежзийклмнопрстуфхцчшщъыьэюя"  # of no language in particular
+    noise = ["".join(letters[int(i)] for i in rng.integers(0, len(letters), max(4, len(t)))) for t, _ in known]
+    noise += [str(letters[int(i)]) * max(4, len(t)) for (t, _), i in zip(known, rng.integers(0, len(letters), len(known)))]
+    others = [softmax(model.logits(noise)[0] / model.temperature).max(1)]
+    if len(model.langs) > 2:  # without the text's own language
+        left = logits.copy()
+        left[np.arange(target.size), target] = -np.inf
+        others.append(softmax(left / model.temperature).max(1))
+    turned = float(np.quantile(np.concatenate(others), TURNED))
+    familiar = float(np.quantile(model.shares_seen([t for t, _ in known])[right], ALPHA, method="lower"))
+    return min(1 / (1 + np.exp(-odds)), turned), familiar * FAMILIAR
 
 
 def train(df: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:

@@ -1,11 +1,14 @@
 """Main text of web pages by consensus host paths.
 
 Each page is parsed to containers and text blocks. Menus, adverts, forms and the like are
-set aside by their tags, roles and class words. The page's best container is found by
-descending from the body while one child holds most of the text that isn't links; that
-container's path of tags and classes, with numbers generalised, is the page's vote. Spark
-counts the votes by host, and each page is extracted again from the containers on the
-best-voted path of its host that it has; a page without any keeps its own choice.
+set aside by their tags and roles, and by class names that say nothing else (`ad-box`, `sidebar`).
+A name with other words in it (`header-text`, `form-of-government`) only counts against a container
+that lacks prose of its own. The page's best container is found by descending from the body as
+long as what a step leaves behind is next to nothing beside the rest; that container's path of tags and
+classes, with numbers generalised, is the page's vote, and containers with text beside it are
+voted down. Spark counts the votes by host, and each page is extracted again from the containers on
+the best-voted path of its host that holds nearly all of the page's own choice but for what the host
+votes down; a page without any keeps its own choice, so a host may have several templates.
 
 Edge cases: null and empty html give an empty text; a null url or one without host votes
 in a group of its own. Unclosed tags, comments and scripts end where browsers end them or
@@ -17,8 +20,10 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,6 +52,10 @@ OUTSIDE = ASIDE | {"nav", "navbar", "navigation", "menu", "menus", "breadcrumb",
                    "cookies", "consent", "gdpr", "notice", "notices", "notification", "banner", "alert", "popup", "modal", "overlay",
                    "paywall", "newsletter", "subscribe", "subscription", "signup", "login", "search", "form", "share", "sharing",
                    "social", "skip", "hidden", "legal", "disclaimer"}
+# Words that may stand beside one of these in a name without changing what it says.
+PLAIN = {"top", "bottom", "left", "right", "upper", "lower", "inner", "outer", "main", "site", "page", "global", "local", "primary", "secondary", "mobile", "desktop",
+         "box", "block", "bar", "panel", "module", "unit", "slot", "area", "zone", "section", "container", "wrapper", "wrap", "holder", "list", "item", "items", "links",
+         "link", "row", "col", "column", "inline", "sticky", "fixed", "small", "large", "big", "first", "last", "new", "view", "region", "group", "js", "is", "the", "my"}
 # Words before one of these that say it is elsewhere: with-sidebar, has-comments.
 ABOUT = {"with", "has", "no", "without", "is", "not", "below", "before", "after"}
 
@@ -55,17 +64,21 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 NUMBER = re.compile(r"\d+")
 COMMENT_END = re.compile(r"--!?>")
-# A child with this share of the text is descended into.
-MOST = 0.6
+# A child with this share of the text is descended into, or one beside which no block has so many characters of prose.
+MOST, REMARK = 0.9, 40
 # A voted path must hold this share of what the page's own choice holds.
-LEAST = 0.2
+LEAST = 0.8
+# Outside an article, a container with a doubtful name must hold this share of the page's prose.
+SHARE = 0.25
+# Paths of a host that pages may follow: all with more than one vote in a hundred.
+PATHS = 99
 
 
 class Page:
     """Containers (parent, path, tag, dropped) and blocks (container, heading level, text, characters in links)."""
 
     def __init__(self, source: str):
-        self.parent, self.path, self.tag, self.dropped = [-1], [""], ["#"], [False]
+        self.parent, self.path, self.tag, self.dropped, self.doubtful = [-1], [""], ["#"], [False], [False]
         self.blocks: list[tuple[int, str, str, int]] = []
         self._parse(source)
         self._settle()
@@ -134,23 +147,29 @@ class Page:
         self.parent.append(here)
         self.tag.append(name)
         self.path.append(f"{self.path[here]}/{step}")
-        self.dropped.append(self._boilerplate(name, classes + [found.get("id", "")], found))
+        said = self._boilerplate(name, classes + [found.get("id", "")], found)
+        self.dropped.append(said == "dropped")
+        self.doubtful.append(said == "doubtful")
         return len(self.tag) - 1
 
     @staticmethod
-    def _boilerplate(name: str, names: list[str], found: dict[str, str]) -> bool:
+    def _boilerplate(name: str, names: list[str], found: dict[str, str]) -> str | None:
+        """Whether tag, role and names say that a container isn't part of the article: dropped, or doubtful."""
         if name in ("html", "body", "main"):
-            return False
-        if name in DROPPED or found.get("role", "").lower() in ROLES or found.get("aria-hidden") == "true":
-            return True
-        marks = ASIDE if name == "article" else OUTSIDE
+            return None
+        if name in DROPPED or found.get("role", "").lower() in ROLES or found.get("aria-hidden") == "true" or "hidden" in found:
+            return "dropped"
+        marks, said = ASIDE if name == "article" else OUTSIDE, None
         for words in ([w.lower() for w in WORD.findall(n)] for n in names):
             if any(w in marks and not (k and words[k - 1] in ABOUT) for k, w in enumerate(words)):
-                return True
-        return "hidden" in found
+                if all(w in marks or w in PLAIN or w.isdigit() for w in words):
+                    return "dropped"
+                said = "doubtful"
+        return said
 
     def _settle(self) -> None:
         """What holds an article or main isn't dropped for its class; what lies in something dropped is."""
+        self._weigh_doubtful()
         self.inside = [False] * len(self.tag)
         holds = [False] * len(self.tag)
         for k in range(len(self.tag) - 1, 0, -1):
@@ -166,6 +185,23 @@ class Page:
             if block in HEADINGS and self.dropped[k] and self.tag[k] == "header" and self.inside[k] and not self.dropped[self.parent[k]]:
                 self.title.add(i)
 
+    def _weigh_doubtful(self) -> None:
+        """A container with a doubtful name goes if links are half of its text, or if it lies outside an article and has little of the page's prose."""
+        if not any(self.doubtful):
+            return
+        prose, links = [0] * len(self.tag), [0] * len(self.tag)
+        for k, _, words, link in self.blocks:
+            while k >= 0:
+                prose[k] += len(words) - link
+                links[k] += link
+                k = self.parent[k]
+        for k in range(1, len(self.tag)):
+            if self.doubtful[k]:
+                up = k
+                while up > 0 and self.tag[up] not in ("article", "main"):
+                    up = self.parent[up]
+                self.dropped[k] = links[k] >= prose[k] or up <= 0 and prose[k] < SHARE * prose[0]
+
     def kept(self) -> list[tuple[int, str, str, int]]:
         return [b for i, b in enumerate(self.blocks) if not self.dropped[b[0]] or i in self.title]
 
@@ -185,24 +221,53 @@ class Page:
         here = 0
         while self.tag[here] != "article":
             inner = max((k for k in children.get(here, ()) if not self.dropped[k] and self.tag[k] not in ("ul", "ol", "dl", "blockquote", "figure", "table", "tr", "tbody")), key=lambda k: (weight[k], -k), default=None)
-            if inner is None or not weight[inner] or weight[inner] < MOST * weight[here] or heading[here] > heading[inner] and self.tag[here] not in ("#", "html", "body"):
+            if inner is None or not weight[inner] or heading[here] > heading[inner] and self.tag[here] not in ("#", "html", "body"):
+                break
+            if weight[inner] < MOST * weight[here] and self._leaves_prose(only, here, inner):
                 break
             here = inner
         return here
 
-    def texts(self, chosen: set[int]) -> list[str]:
-        """Blocks in or below the chosen containers, in page order."""
+    def _leaves_prose(self, only: list[tuple[int, str, str, int]], here: int, inner: int) -> bool:
+        """Whether a block below here, but not below inner, is more than a remark."""
+        for k, _, words, link in only:
+            if len(words) - 2 * link > REMARK:
+                while k > here and k != inner:
+                    k = self.parent[k]
+                if k == here:
+                    return True
+        return False
+
+    def texts(self, chosen: set[int], but: set[int] = frozenset()) -> list[str]:
+        """Blocks in or below the chosen containers, but not in or below others, in page order."""
         below = [False] * len(self.tag)
         for k in range(len(self.tag)):
-            below[k] = k in chosen or k > 0 and below[self.parent[k]]
+            below[k] = k not in but and (k in chosen or k > 0 and below[self.parent[k]])
         return [words for k, _, words, _ in self.kept() if below[k]]
 
-    def extract(self, ranked: list[str]) -> str:
-        own = self.texts({self.best()})
-        size = sum(map(len, own))
+    def beside(self, chosen: int) -> set[str]:
+        """Paths of the containers with text that lie beside the chosen one or beside one around it."""
+        filled = {0}
+        for k, _, _, _ in self.kept():
+            while k not in filled:
+                filled.add(k)
+                k = self.parent[k]
+        around, inmost = {chosen}, chosen
+        while chosen > 0:
+            chosen = self.parent[chosen]
+            around.add(chosen)
+        return {self.path[k] for k in filled - around if self.parent[k] in around and self.parent[k] != inmost}
+
+    def extract(self, ranked: list[str], down: list[str] = ()) -> str:
+        """The text below the best of the ranked paths that holds the page's own choice but for what is voted down, else below that choice."""
+        choice = self.best()
+        own = self.texts({choice})
         for path in ranked:
             on = {k for k, p in enumerate(self.path) if p == path and not self.dropped[k]}
-            if on and sum(map(len, got := self.texts(on))) >= max(1, LEAST * size):
+            if not on:
+                continue
+            got, beside = self.texts(on), {k for k, p in enumerate(self.path) if p in down and not path.startswith(p)}
+            if sum(map(len, got)) >= max(1, LEAST * sum(map(len, self.texts({choice}, beside)))):
                 return " ".join(got)
         return " ".join(own)
 
@@ -213,32 +278,54 @@ def _named(pages: DataFrame, page_id: str, url: str, source: str) -> DataFrame:
 
 
 def votes(named: DataFrame) -> DataFrame:
-    """Votes of pages for container paths: host, path, votes."""
+    """Votes of pages for container paths and against those beside them: host, path, votes, downs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sources in text_blocks(batches, "html"):
-            found = [(p := Page(s)).path[p.best()] if s else None for s in sources]
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(found, pa.string())], ["host", "path"])
+            found: Counter = Counter()
+            for host, source in zip(batch.column("host").to_pylist(), sources):
+                if source:
+                    page = Page(source)
+                    choice = page.best()
+                    if page.path[choice]:
+                        found[host, page.path[choice], True] += 1
+                        found.update((host, path, False) for path in page.beside(choice))
+            if found:
+                host, path, up = zip(*found)
+                n = np.fromiter(found.values(), np.int64, len(found))
+                up = np.array(up)
+                yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(n * up), pa.array(n * ~up)], ["host", "path", "votes", "downs"])
+
+    cast = named.select("host", "html").mapInArrow(run, "host string, path string, votes long, downs long")
+    return cast.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("downs").alias("downs"))
+
+
+def _ranked(cast: DataFrame) -> DataFrame:
+    """host, paths: those with more than one vote in a hundred, best first; and down: those voted down by more than vote for them.
 
-    cast = named.select("host", "html").mapInArrow(run, "host string, path string").where("path is not null and path != ''")
-    return cast.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"))
+    They are among a host's first PATHS ones of either kind, and each task passes on no more of a host, however many paths it has.
+    """
+    first = lambda by: Window.partitionBy("host").orderBy(F.desc(by), "path")
+    up = cast.where("votes > 0").withColumn("rank", F.row_number().over(first("votes"))).where(F.col("rank") <= PATHS)
+    down = cast.where("downs > votes").withColumn("rank", F.row_number().over(first("downs"))).where(F.col("rank") <= PATHS)
+    all_votes = cast.groupBy("host").agg(F.sum("votes").alias("all"))
+    both = up.select("host", "path", "rank", F.col("votes").alias("n"), F.lit(True).alias("up")).unionByName(
+        down.select("host", "path", "rank", F.col("downs").alias("n"), F.lit(False).alias("up")))
+    listed = lambda up: F.transform(F.array_sort(F.collect_list(F.when(F.col("up") == up, F.struct("rank", "path")))), lambda x: x["path"])
+    return both.join(all_votes, "host").where("n * 100 > all").groupBy("host").agg(listed(True).alias("paths"), listed(False).alias("down"))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """page_id, url, text and n_chars of every page."""
     named = _named(pages, page_id, url, source)
-    order = Window.partitionBy("host").orderBy(F.desc("votes"), "path")
-    # A path needs more than one page in a hundred of its host's to be followed elsewhere.
-    ranked = (votes(named).withColumn("rank", F.row_number().over(order)).withColumn("all", F.sum("votes").over(Window.partitionBy("host")))
-              .where("votes * 100 > all").groupBy("host")
-              .agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "path"))), lambda x: x["path"]).alias("paths")))
-    joined = named.join(bounded(stage(ranked, "paths")), "host", "left")
+    ranked = stage(_ranked(stage(votes(named), "votes")), "paths")
+    joined = named.join(bounded(ranked), "host", "left")
     kind = pages.schema[page_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sources in text_blocks(batches, "html"):
-            paths = batch.column("paths").to_pylist()
-            texts = [Page(s).extract(p or []) if s else "" for s, p in zip(sources, paths)]
+            paths, down = batch.column("paths").to_pylist(), batch.column("down").to_pylist()
+            texts = [Page(s).extract(p or [], d or []) if s else "" for s, p, d in zip(sources, paths, down)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                                              ["page_id", "url", "text", "n_chars"])
 
-    return joined.select("page_id", "url", "html", "paths").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "paths", "down").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")

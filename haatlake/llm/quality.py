@@ -10,8 +10,11 @@ them and minimises the non-negative unbiased risk
 with the logistic loss, by mini-batch gradient descent: trusted positives, a sample of web
 text whose labels aren't looked at, and the share of positives in it. Where a batch makes
 the second term negative, its gradient is followed the other way round, which undoes
-overfitting. The prior is the share of label 1 among trusted labels if both labels occur,
-else the parameter. A Platt scaling on the trusted labels makes the score a probability.
+overfitting. The prior is estimated from the mixture: a first model orders positives and web text,
+and where positives are dense and others rare, the web text's share over the positives' share
+is least, and bounds the prior from above. With few rows it is the parameter. Where
+trusted negatives occur too, a Platt scaling makes the score a probability; it is optional, without it the
+score is the model's own.
 
 Edge cases: a null or empty text has the features of no words and gets a score like any
 other. Rows without id or label aren't learnt from; a document with conflicting labels
@@ -38,6 +41,8 @@ PAIRS = 128
 POSITIVES, NEGATIVES, UNLABELLED = 6_000, 2_000, 8_000
 PRIOR, EPOCHS, BATCH, RATE, DECAY = 0.7, 40, 256, 0.05, 1e-4
 ACCEPT = 0.3
+# Positives, and unlabelled rows, from which the prior is estimated.
+ENOUGH = 200
 
 MARKS = b".,;:!?|#$%&*()<>[]{}/\\\"'-_=+@~^`"
 KIND = np.zeros(256, np.int32)  # 0: other control bytes
@@ -62,7 +67,8 @@ def features(texts: list[str]) -> np.ndarray:
     out[:, :KINDS] = np.sqrt(kinds / size)
     out[:, KINDS : 2 * KINDS] = kinds > 0
     pair = (KIND[raw[:-1]] * KINDS + KIND[raw[1:]]) % PAIRS
-    pairs = np.bincount(owner[:-1] * PAIRS + pair, minlength=n * PAIRS).reshape(n, PAIRS)
+    within = owner[:-1] == owner[1:]  # none with the next text's first byte
+    pairs = np.bincount((owner[:-1] * PAIRS + pair)[within], minlength=n * PAIRS).reshape(n, PAIRS)
     out[:, 2 * KINDS : 2 * KINDS + PAIRS] = np.sqrt(pairs / size)
     starts, stops, words = word_hashes(raw)
     mine = owner[starts]
@@ -125,6 +131,19 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
     return Model(mean, spread, weight, float(bias), (1.0, 0.0))
 
 
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray, least: float = 0.2) -> float:
+    """The share of positives in unlabelled rows, from margins: the least ratio of upper tails that hold `least` of the positives.
+
+    A tail of the unlabelled rows holds at least the prior times the positives' tail, and hardly more where
+    others are rare. The ratio's own error at a tail's size is added before the least is taken.
+    """
+    cuts = np.quantile(positive, np.linspace(0, 1 - least, 60))
+    p, u = ((x[:, None] >= cuts).mean(0) for x in (positive, unlabelled))
+    error = u / p * np.sqrt((1 - u) / np.maximum(u, 1e-9) / unlabelled.size + (1 - p) / p / positive.size)
+    at = int((u / p + error).argmin())
+    return float(np.clip(u[at] / p[at], 0.01, 0.99))
+
+
 def platt(margin: np.ndarray, label: np.ndarray, steps: int = 60) -> tuple[float, float]:
     """Slope and offset of least log loss, by Newton's method with a little shrinkage."""
     a, b = 1.0, 0.0
@@ -170,15 +189,19 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str = "doc
     drawn = rows.join(F.broadcast(chosen), "doc_id", "left").withColumn("web", draw(UNLABELLED, total)).where("label is not null or web")
     got = feature_rows(drawn, "text", ["label", "web"]).collect()
     x, label, web = np.array([r[2] for r in got], np.float32).reshape(-1, WIDTH), np.array([-1 if r[0] is None else r[0] for r in got]), np.array([r[1] for r in got], bool)
-    if ones and zeros:
-        prior = ones / (ones + zeros)
     if not (label == 1).any() or not web.any():
         zero = np.zeros(WIDTH)
         return Model(zero, zero + 1, zero, float(np.log(prior / (1 - prior))), (1.0, 0.0))
     order = np.lexsort(x.T)  # the same model whatever the order of arrival
     x, label, web = x[order], label[order], web[order]
-    model = fit(x[label == 1].astype(np.float64), x[web].astype(np.float64), prior)
+    positive, unlabelled = x[label == 1].astype(np.float64), x[web].astype(np.float64)
+    if len(positive) >= ENOUGH and len(unlabelled) >= ENOUGH:
+        # Ordered by a model of one half of either, judged on the other half.
+        first = fit(positive[::2], unlabelled[::2], 0.5)
+        prior = estimated_prior(first.margin(positive[1::2]), first.margin(unlabelled[1::2]))
+    model = fit(positive, unlabelled, prior)
     if (label == 0).any():
+        prior = ones / (ones + zeros)  # of trusted labels, where there are both
         # Negatives and positives were drawn at different rates: the offset follows the prior.
         margin = model.margin(x[label >= 0].astype(np.float64))
         a, b = platt(margin, label[label >= 0])

@@ -12,6 +12,7 @@ from haatlake.llm.bpe import encode
 from haatlake.llm.common import in_bucket, stage, table
 from haatlake.llm.jaccard import jaccard_components
 from haatlake.llm.packing import pack
+from haatlake.operators.winners import met
 from haatlake.sources.staging import new_path
 
 
@@ -55,22 +56,24 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after all documents were inserted, counted anew by a second tokenizer version, and copies deleted.
 
-    Version 1 counts words between white space, version 2 words and marks. Copies are the documents
-    whose text occurs with a smaller id. Every batch is committed twice, the second in another order.
+    Version 1 counts words between white space, version 2 words and marks, which SQL can count too; any other count,
+    such as `bpe.encode`'s, goes the same way. Copies are the documents whose text occurs with a smaller id. Every batch is
+    committed twice, the second time in another order.
     """
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit(""))
     slim = stage(docs.select("doc_id", "source", "lang", F.sha2(text, 256).alias("digest"), F.regexp_count(text, F.lit(WORD)).alias("v1"),
                              F.regexp_count(text, F.lit(WORD_OR_MARK)).alias("v2")), "counts")
-    first = slim.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    copies = slim.join(first, "digest").where("doc_id > first")
+    # Only texts with a second copy are joined, and the rows of the most frequent ones stay where they are.
+    first = stage(slim.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1"), "copied")
+    copies = met(slim, first, "digest", hot_rows=max(1_000, slim.count() // 100_000), whole=False).where("doc_id > first")
     batches = {
         "insert": (rollups.inserts(slim, "v1", slim["v1"]),),
         "recount": (rollups.revisions(slim, "v1", slim["v1"], "v2", slim["v2"]),),
         "copies": (rollups.deletes(copies, "v2", F.col("v2")),),
     }
     store = rollups.Rollup(spark, new_path(spark, "rollup"))
-    for name in (*batches, "copies", "insert"):
+    for name in (*batches, "copies", "recount", "insert"):
         store.commit(name, *batches[name])
     return store.totals()
 

@@ -21,6 +21,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from haatlake.llm.common import stage
+from haatlake.sources.staging import bounded
+
 GROUP = ["source", "lang", "version"]
 DELTAS = T.StructType([T.StructField(c, T.StringType()) for c in GROUP] + [
     T.StructField("docs", T.LongType()), T.StructField("tokens", T.LongType()), T.StructField("batch", T.StringType())])
@@ -55,14 +58,15 @@ class Rollup:
         """Sum the signed rows and write them as this batch's partition; the same batch again counts once."""
         if not re.fullmatch(r"[A-Za-z0-9_-]+", batch):
             raise ValueError(f"a batch name of letters, digits, _ and - is needed: {batch!r}")
-        if batch in self._merged():
+        base = self._base()
+        if base is not None and base.where(F.array_contains("batches", batch)).limit(1).count():
             return
         rows = changes[0]
         for more in changes[1:]:
             rows = rows.unionByName(more)
         sums = rows.groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-        # Few rows, one for each group: one file, replaced as a whole.
-        sums.coalesce(1).withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{self.path}/deltas/batch={batch}")
+        # The batch's folder is replaced as a whole, whatever its files.
+        sums.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{self.path}/deltas/batch={batch}")
 
     def _exists(self, folder: str) -> bool:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
@@ -85,8 +89,8 @@ class Rollup:
         """Documents and tokens by source, language and tokenizer version."""
         rows, base = self._deltas(), self._base()
         if base is not None:
-            merged = base.select(F.explode("batches").alias("batch")).distinct()
-            rows = rows.join(F.broadcast(merged), "batch", "left_anti").select(*GROUP, "docs", "tokens")
+            merged = bounded(base.select(F.explode("batches").alias("batch")).distinct())
+            rows = rows.join(merged, "batch", "left_anti").select(*GROUP, "docs", "tokens")
             rows = rows.unionByName(base.where("docs <> 0 or tokens <> 0").select(*GROUP, "docs", "tokens"))
         sums = rows.groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return sums.where("docs <> 0 or tokens <> 0")
@@ -94,8 +98,6 @@ class Rollup:
     def compact(self) -> None:
         """Merge all committed batches into the base. Only the first compaction of a store is kept in place; later ones extend it."""
         names = sorted(self._merged() | {r[0] for r in self._deltas().select("batch").distinct().collect()})
-        from haatlake.llm.common import stage
-
         sums = stage(self.totals(), "totals")
         marker = self.spark.createDataFrame([(None, None, None, 0, 0, names)], "source string, lang string, version string, docs long, tokens long, batches array<string>")
-        sums.withColumn("batches", F.array().cast("array<string>")).unionByName(marker).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/base")
+        sums.withColumn("batches", F.array().cast("array<string>")).unionByName(marker).write.mode("overwrite").parquet(f"{self.path}/base")

@@ -250,6 +250,41 @@ def test_nearest_neighbours_edge_cases(spark):
     assert ann.search(df.where("vec_id = 0"), df["vec_id"] % 20 == 0).count() == 0
 
 
+def test_vectors_of_several_lengths_and_doubles(spark):
+    """Each length is searched among its own; scores of doubles are exact, whatever their size."""
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=(2, 5, 9)[i % 3]) * 10.0 ** (40 * (i % 2))).tolist()) for i in range(600)] + [(600, [1.0]), (620, [1.0, 2.0, 3.0, 4.0]), (7, [0.1, 0.1, 0.1, 0.1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(df, df["vec_id"] % 20 == 0, k=5).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    right = total = 0
+    for q, x in [(i, v) for i, v in rows if i % 20 == 0]:
+        scores = sorted(((-float((np.array(x) * np.array(v)).sum()), i) for i, v in rows if len(v) == len(x) and i != q))[:5]
+        assert len(got.get(q, [])) == len(scores)
+        score = {i: -s for s, i in scores}
+        right, total = right + sum(i in score for i, _ in got.get(q, [])), total + len(scores)
+        assert all(s == pytest.approx(score[i], rel=1e-12) for i, s in got.get(q, []) if i in score)
+    assert right / total >= 0.9 and 600 not in got and got[620] == [(7, pytest.approx(1.0))]
+
+
+def test_worst_queries_of_clusters(spark):
+    """Forty clusters: on the whole, and for nearly every query, the true neighbours are found."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 16)) * 3
+    x = (centres[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 16)) * 0.5).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in ann.search(df, df["vec_id"] % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    x, share = x.astype(np.float64), []
+    for q in range(0, 4000, 20):
+        score = x @ x[q]
+        score[q] = -np.inf
+        share.append(len(got[q] & set(np.argsort(-score)[:20].tolist())) / 20)
+    assert np.mean(share) >= 0.95 and (np.array(share) >= 0.5).mean() >= 0.97
+
+
 def test_shards_fit(spark):
     rows = [(i % 3, "x" * (i % 50), "keep") for i in range(2000)] + [(None, None, "keep"), (9, "y" * 5000, "keep")] + [(1, "same", "keep")] * 700
     df = spark.createDataFrame(rows, "doc_id long, text string, shard string")

@@ -188,6 +188,51 @@ def test_pages_follow_their_host(spark):
     assert got.text == "T " + ("word " * 20).strip()
 
 
+def words(n, stem):
+    return " ".join(f"{stem}{k}" for k in range(n))
+
+
+def extracted(spark, bodies):
+    rows = [(n, "http://h/", f"<html><body>{body}</body></html>") for n, body in enumerate(bodies)]
+    return [r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+
+
+def test_siblings_of_one_article_stay(spark):
+    nav = "<nav><a href='/'>home</a></nav>"
+    two = f"{nav}<div class='x'><div class='a'><p>{words(40, 'a')}</p></div><div class='b'><p>{words(100, 'b')}</p></div></div>"
+    assert extracted(spark, [two]) == [f"{words(40, 'a')} {words(100, 'b')}"]
+    own = f"{nav}<div class='x'><p>{words(40, 'p')}</p><div class='b'><p>{words(100, 'b')}</p></div></div><div class='by'>By A. Writer</div>"
+    assert extracted(spark, [own]) == [f"{words(40, 'p')} {words(100, 'b')}"]
+
+
+def test_a_voted_container_that_holds_little_of_a_page_is_not_followed(spark):
+    short = f"<div class='lead'><p>{words(30, 'l')}</p></div>"
+    got = extracted(spark, [short] * 8 + [f"{short}<div class='more'><p>{words(100, 'm')}</p></div>"])
+    assert got == [words(30, "l")] * 8 + [f"{words(30, 'l')} {words(100, 'm')}"]
+
+
+def test_two_templates_of_one_host(spark):
+    old, new = (f"<div class='{c}'><h1>T</h1><p>{words(60, c)}</p></div><div class='foot-note'><a href='/'>about us</a></div>" for c in ("old", "new"))
+    assert extracted(spark, [old] * 5 + [new] * 3) == [f"T {words(60, 'old')}"] * 5 + [f"T {words(60, 'new')}"] * 3
+
+
+def test_names_with_other_words_do_not_drop_prose(spark):
+    body = (f"<article><h1>T</h1><div class='form-of-government'><p>{words(30, 'g')}</p></div><div class='header-text'>{words(20, 'h')}</div>"
+            f"<div class='promo-box'>{words(9, 'x')}</div><div class='ad-slot-3'>{words(9, 'x')}</div><div class='comments-section'>{words(50, 'x')}</div>"
+            "<div class='header-links-x'><a href='/'>one link of words</a> <a href='/'>another link of words</a></div></article>"
+            f"<div class='cookie-tale'>{words(9, 'x')}</div><div class='sidebar'>{words(30, 'x')}</div>")
+    assert extracted(spark, [body]) == [f"T {words(30, 'g')} {words(20, 'h')}"]
+
+
+def test_a_host_of_many_generated_paths(spark):
+    """Each task passes on a bounded number of a host's paths."""
+    cast = spark.range(5000).selectExpr("IF(id < 0, 'g', 'h') AS host", "concat('/html/body/div.c', id) AS path", "IF(id = 7, 400L, 1L) AS votes", "IF(id = 9, 900L, 0L) AS downs")
+    got = pages._ranked(cast).first()
+    assert got.paths == ["/html/body/div.c7"] and got.down == ["/html/body/div.c9"]
+    plan = pages._ranked(cast)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 4
+
+
 def test_pages_survive_broken_markup():
     for source in ("<", "<a href='x", "<script>never closed", "<!-- ", "<div " * 3000, "<p>" * 5000 + "x", "</div></div>x", "<div class=>y"):
         pages.Page(source).extract([])
