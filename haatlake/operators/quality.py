@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ..functions import vocabulary as vocab
 from ..functions.numbers import percent
 
+# Values listed of a column.
+SAMPLED = 15
 FLAGS = ("is_bulk_order", "price_was_corrected")
 PRIMARY_KEYS = {
     "dim_products": "product_id", "dim_customers": "customer_id",
@@ -51,7 +53,7 @@ def type_comparison(before: DataFrame, after: DataFrame) -> DataFrame:
     return before.sparkSession.createDataFrame(rows, schema)
 
 
-def value_samples(df: DataFrame, columns: list[str] | None = None, k: int = 15) -> DataFrame:
+def value_samples(df: DataFrame, columns: list[str] | None = None, k: int = SAMPLED) -> DataFrame:
     """The k most frequent values, nulls included, of each profiled column."""
     present = [c for c in (columns or vocab.PROFILED_COLUMNS) if c in df.columns]
     pairs = F.array(*[
@@ -114,31 +116,41 @@ def key_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def _profile(df: DataFrame, stage: str) -> DataFrame:
+    """Shape and missing values of one frame as report rows, from one aggregate."""
+    counted = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)],
+    )
+    n = F.col("_rows")
+    cells = [("shape", stage, "row_count", n), ("shape", stage, "column_count", F.lit(len(df.columns)))]
+    for i, c in enumerate(df.columns):
+        missing = n - F.col(f"c{i}")
+        cells += [(f"missing_{stage}", c, "missing", missing), (f"missing_{stage}", c, "missing_pct", percent(missing, n))]
+    rows = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(c).alias("column"), F.lit(m).alias("metric"), v.cast("string").alias("value"))
+                     for s, c, m, v in cells])
+    return counted.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def quality_report(before: DataFrame, after: DataFrame) -> DataFrame:
-    """The whole report in long form: section, column, metric, value (text)."""
-    def long(df: DataFrame, section: str, column: str, metrics: list[str]) -> DataFrame:
-        cells = F.array(*[
-            F.struct(F.lit(m).alias("metric"), F.col(m).cast("string").alias("value"))
-            for m in metrics
-        ])
-        return df.select(F.lit(section).alias("section"), F.col(column).alias("column"),
-                         F.explode(cells).alias("m")).select("section", "column", "m.*")
-
-    def listed(df: DataFrame, section: str, column: str, value: str) -> DataFrame:
-        return df.select(
-            F.lit(section).alias("section"), F.col(column).alias("column"),
-            F.coalesce(value, F.lit("(null)")).alias("metric"),
-            F.col("n").cast("string").alias("value"),
-        )
+    """The whole report in long form: section, column, metric, value (text).
 
-    parts = [
-        long(shape_comparison(before, after), "shape", "stage", ["row_count", "column_count"]),
-        long(null_profile(before), "missing_before", "column", ["missing", "missing_pct"]),
-        long(null_profile(after), "missing_after", "column", ["missing", "missing_pct"]),
-        long(type_comparison(before, after), "types", "column", ["before", "after"]),
-        listed(value_samples(after), "values", "column", "value"),
-        listed(flag_tallies(after), "flags", "flag", "value"),
-    ]
+    `before` is read once. `after` is read once for shape and missing values, and once for what values its columns have:
+    samples and flags are counted together.
+    """
+    listed = [("values", c) for c in vocab.PROFILED_COLUMNS if c in after.columns] + [("flags", c) for c in FLAGS if c in after.columns]
+    parts = [_profile(before, "before"), _profile(after, "after")]
+    types = type_comparison(before, after)
+    cells = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ("before", "after")])
+    parts.append(types.select(F.lit("types").alias("section"), "column", F.explode(cells).alias("m")).select("section", "column", "m.*"))
+    if listed:
+        pairs = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for s, c in listed])
+        counted = after.select(F.explode(pairs).alias("p")).select("p.*").groupBy("section", "column", "value").agg(F.count(F.lit(1)).alias("n"))
+        best = W.partitionBy("section", "column").orderBy(F.desc("n"), F.asc_nulls_first("value"))
+        flags = counted.where("section = 'flags'")
+        samples = counted.where("section = 'values'").withColumn("_at", F.row_number().over(best)).where(f"_at <= {SAMPLED}").drop("_at")
+        parts += [x.select("section", "column", F.coalesce("value", F.lit("(null)")).alias("metric"), F.col("n").cast("string").alias("value"))
+                  for x in (samples, flags)]
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)
@@ -148,6 +160,7 @@ def quality_report(before: DataFrame, after: DataFrame) -> DataFrame:
 REPORT = "section string, column string, metric string, value string"
 
 
-def write_report(before: DataFrame, after: DataFrame, path: str) -> None:
-    """The report as JSON lines. It is small: a few rows for each column."""
-    quality_report(before, after).coalesce(1).write.mode("overwrite").json(path)
+def write_report(before: DataFrame, after: DataFrame, path: str, more: DataFrame | None = None) -> None:
+    """The report, and more rows of its kind, as JSON lines. It is small: a few rows for each column."""
+    report = quality_report(before, after)
+    (report if more is None else report.unionByName(more)).coalesce(1).write.mode("overwrite").json(path)

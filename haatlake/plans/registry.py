@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -364,10 +363,11 @@ def _(ws):
 
 @query("e21_run_all")
 def _(ws):
-    """Row counts of every panel from one run over all analyses."""
+    """Row counts of every panel from one run over all analyses, and the name of one that fails when it is computed."""
     counts = []
-    _, failed = explore.run_all(ws.cleaned, sink=lambda analysis, panel, frame: counts.append(
-        frame.agg(rows().alias("n")).select(F.lit(analysis).alias("analysis"), F.lit(panel).alias("panel"), "n")))
-    if failed:
+    broken = lambda df: explore.Panels({"never": df.select(F.raise_error(F.lit("on purpose")).alias("x"))})
+    analyses = {**explore.ANALYSES, "broken": broken}
+    _, failed = explore.run_all(ws.cleaned, analyses, sink=lambda analysis, panel, frame: counts.append((analysis, panel, frame.agg(rows()).first()[0])) if analysis != "broken" else frame.collect())
+    if set(failed) != {"broken"}:
         raise RuntimeError(f"failed analyses: {failed}")
-    return reduce(DataFrame.unionByName, counts)
+    return ws.spark.createDataFrame(counts, "analysis string, panel string, n bigint")

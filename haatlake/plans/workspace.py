@@ -26,6 +26,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, raw: DataFrame, catalog: DataFrame, out_dir: str | None = None):
         self.spark = tune(spark, raw)
         self._raw, self.catalog, self.out_dir = raw, catalog, out_dir and out_dir.rstrip("/")
+        self._anew: set[str] = set()
 
     def _path(self, name: str) -> str:
         return f"{self.out_dir}/{name}" if self.out_dir else new_path(self.spark, name)
@@ -46,7 +47,7 @@ class Workspace:
     @cached_property
     def cleaned(self) -> DataFrame:
         path = self._path("cleaned")
-        if self.out_dir and is_complete(self.spark, path):
+        if self.out_dir and "cleaned" not in self._anew and is_complete(self.spark, path):
             return read_clean(self.spark, path)
         # Raw input is read once either way; it is staged only if someone asked for it.
         source = self.raw if "raw" in vars(self) else self._raw
@@ -58,14 +59,29 @@ class Workspace:
     def warehouse(self) -> Warehouse:
         path = self._path("warehouse")
         warehouse = Warehouse(self.spark, path)
-        if not warehouse.version:
+        if not warehouse.version or "warehouse" in self._anew:
             warehouse.load(self.cleaned)
         return warehouse
 
+    def rebuild(self, names: tuple[str, ...]) -> None:
+        """Build the named results ("cleaned", "warehouse") from the raw input when next asked for, whatever is there."""
+        self._anew |= set(names)
+        for name in names:
+            vars(self).pop(name, None)
+
+    def append(self, raw: DataFrame) -> DataFrame:
+        """Clean further raw rows and add them to the warehouse, as a joint load would; returns its row counts.
+
+        The cleaned dataset keeps only the rows it was built of; the warehouse has all.
+        """
+        with Scratch(self.spark) as stage:
+            cleaned = stage(enrich_from_catalog(clean_all(raw, stage), self.catalog))
+            return self.warehouse.load(cleaned, truncate=False)
+
     def report(self) -> DataFrame:
-        """The quality report before and after cleaning, written as JSON lines and read again."""
+        """The quality report before and after cleaning, and what the last load couldn't store, written as JSON lines and read again."""
         path = self._path("report")
-        write_report(self.raw, self.cleaned.drop("order_year_dt"), path)
+        write_report(self.raw, self.cleaned.drop("order_year_dt"), path, more=self.warehouse.load_report())
         return self.spark.read.schema(REPORT).json(path)
 
     def star(self, years: tuple[int, int] | None = None) -> Star:

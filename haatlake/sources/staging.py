@@ -33,9 +33,11 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write df once to the shared folder and return a scan of it."""
+    """Write df once to the shared folder and return a scan of it. The application owns it: it is removed at its end."""
     path = new_path(df.sparkSession, name)
+    folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
     df.write.parquet(path)
+    folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

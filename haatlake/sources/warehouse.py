@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import star
-from ..operators.quality import PRIMARY_KEYS
+from ..operators.quality import PRIMARY_KEYS, REPORT
 from .staging import Scratch
 
 log = logging.getLogger(__name__)
@@ -152,7 +152,9 @@ class Warehouse:
                 found = gained.agg(*counts).first().asDict()
             else:
                 fact = fact.observe(seen, *counts)
-            fact.drop(star.MISFITS).withColumn("load", F.lit(load)).hint("rebalance", "order_year").write.mode("append") \
+            laid = fact.drop(star.MISFITS).withColumn("load", F.lit(load)).hint("rebalance", "order_year")
+            # By day and customer within a file: statistics of row groups and pages prune by either.
+            laid.sortWithinPartitions("order_year", "load", "order_date", "customer_id").write.mode("append") \
                 .partitionBy("order_year", "load").parquet(f"{self.path}/{FACT}")
         fs, written = self._hadoop(f"{FACT}/order_year=*/load={load}")
         names = sorted(s.getPath().getParent().getName() for s in fs.globStatus(written) or ())
@@ -198,6 +200,11 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {t: self.table(t) for t in TABLES}
 
+    def load_report(self) -> DataFrame:
+        """Of the last load of this object: for each fact column the values that its type couldn't hold, as rows of a quality report."""
+        rows = [("misfits", c, "values", str(n)) for c, n in sorted(self.misfits.items())]
+        return self.spark.createDataFrame(rows, REPORT)
+
     def row_counts(self) -> DataFrame:
         counts = [
             self.table(t).agg(F.count(F.lit(1)).alias("row_count"))
