@@ -136,7 +136,7 @@ def _range_count(df: DataFrame) -> int:
     from haatlake.plans.session import input_bytes
 
     size, cores = input_bytes(df), df.sparkSession.sparkContext.defaultParallelism
-    return max(1, -(-size // RANGE_BYTES), min(-(-size // LEAST_BYTES), 4 * cores))
+    return max(1, -(-size // RANGE_BYTES), min(-(-size // LEAST_BYTES), 16 * cores))
 
 
 def compare_edited(df: DataFrame, doc_id: str = "doc_id", text: str = "text", ranges: int | None = None) -> DataFrame:
