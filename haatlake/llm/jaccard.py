@@ -458,9 +458,9 @@ def sum_or(groups: list[list[int]]) -> int:
 def _link_parts(docs: DataFrame, points: DataFrame, owners: DataFrame, level: np.ndarray, words: int, hundredths: int) -> DataFrame:
     """node, root of the points that links connect, by stages that are all written."""
     groups = components(_groups(stage(_regions(points), "regions"), points, hundredths))
-    counts = groups.groupBy("root").agg(F.count(F.lit(1)).alias("points"))
+    counts = groups.groupBy("root").agg(F.count(F.lit(1)).alias("points"), F.count(F.lit(1)).alias("_n"))
     number = lambda at: F.conv(F.substring("node", at, 16), 16, -10).cast("long")
-    named = groups.join(counts, "root").select(number(1).alias("a"), number(17).alias("b"), F.xxhash64("root").alias("cell"), "points")
+    named = _of_root(groups, counts).select(number(1).alias("a"), number(17).alias("b"), F.xxhash64("root").alias("cell"), "points")
     wanted = stage(named.join(owners.select("a", "b", F.col("least").alias("doc_id")), ["a", "b"]), "wanted")
     held = docs.sparkSession.sparkContext.broadcast((level, bit_filter(wanted.select(_owned("a", "doc_id").alias("owned")), "owned")))
     rows = _sets(docs, wanted, held, words, least_set(hundredths))
