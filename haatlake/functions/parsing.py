@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import vocabulary as vocab
 from .numbers import halfup
 from .text import folded
 from .vocabulary import FALSE_WORDS, FIRST_DATE, LAST_DATE, TRUE_WORDS
@@ -17,39 +18,37 @@ def date_of(c: Column, first: str = FIRST_DATE, last: str = LAST_DATE) -> Column
     three, so a row is parsed once and no failed attempt raises internally.
     """
     t = F.trim(c)
-    t = F.regexp_replace(t, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1")
-    t = F.regexp_replace(t, r"^(\d{1,2})-(\d{1,2})-(\d{2})$", "20$3-$2-$1")
-    day = F.when(t.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), t.try_cast("date"))
+    t = F.regexp_replace(t, vocab.DAY_FIRST_SLASH, "$3-$2-$1")
+    t = F.regexp_replace(t, vocab.DAY_FIRST_DASH, "20$3-$2-$1")
+    day = F.when(t.rlike(vocab.ISO_DATE), t.try_cast("date"))
     return F.when(day.between(F.lit(first).cast("date"), F.lit(last).cast("date")), day)
 
 
 def price_of(c: Column) -> Column:
     """Rupee text to double. Any ASCII letter voids the value ('Rs. 500' too)."""
-    digits = F.trim(F.regexp_replace(F.trim(c), "[₹,]", ""))
-    return F.when(~c.rlike("[A-Za-z]"), digits.try_cast("double"))
+    digits = F.trim(F.regexp_replace(F.trim(c), vocab.PRICE_MARKS, ""))
+    return F.when(~c.rlike(vocab.LETTERS), digits.try_cast("double"))
 
 
 def rating_of(c: Column) -> Column:
     """'4.5', '4 stars' or a fraction 'a/b' scaled to five; outside [1, 5] is NULL."""
     t = folded(c)
-    fraction = r"^([\d.]+)\s*/\s*([\d.]+)$"
-    num = F.regexp_extract(t, fraction, 1).try_cast("double")
-    den = F.regexp_extract(t, fraction, 2).try_cast("double")
+    num = F.regexp_extract(t, vocab.FRACTION, 1).try_cast("double")
+    den = F.regexp_extract(t, vocab.FRACTION, 2).try_cast("double")
     scaled = F.when(den == 5, num).when(den == 10, num / 2).otherwise(F.try_divide(num, den) * 5)
-    leading = F.regexp_extract(t, r"^([\d.]+)", 1).try_cast("double")
-    return within(F.when(t.rlike(fraction), halfup(scaled, 2)).otherwise(leading), 1, 5)
+    leading = F.regexp_extract(t, vocab.LEADING_NUMBER, 1).try_cast("double")
+    return within(F.when(t.rlike(vocab.FRACTION), halfup(scaled, 2)).otherwise(leading), 1, 5)
 
 
 def delivery_days_of(c: Column) -> Column:
     """'Same Day' -> 0, 'a-b' -> midpoint, leading number otherwise; outside [0, 30] is NULL."""
     t = folded(c)
-    span = r"^(\d+)\s*-\s*(\d+)"
-    lo = F.regexp_extract(t, span, 1).try_cast("double")
-    hi = F.regexp_extract(t, span, 2).try_cast("double")
-    number = F.regexp_extract(t, r"^(-?\d+(?:\.\d+)?)", 1).try_cast("double")
+    lo = F.regexp_extract(t, vocab.DAY_SPAN, 1).try_cast("double")
+    hi = F.regexp_extract(t, vocab.DAY_SPAN, 2).try_cast("double")
+    number = F.regexp_extract(t, vocab.SIGNED_NUMBER, 1).try_cast("double")
     days = (
         F.when(t.contains("same day"), F.lit(0.0))
-        .when(t.rlike(span), (lo + hi) / 2)
+        .when(t.rlike(vocab.DAY_SPAN), (lo + hi) / 2)
         .otherwise(number)
     )
     return within(days, 0, 30)

@@ -184,3 +184,15 @@ def city_tiers(tier1: list[str]) -> dict[str, str]:
 
 # Dates outside are typing errors: the days that 64-bit nanoseconds hold. A calendar thus has at most 213,503 days.
 FIRST_DATE, LAST_DATE = "1677-09-22", "2262-04-10"
+
+# The text forms that are accepted, as regular expressions.
+DAY_FIRST_SLASH, DAY_FIRST_DASH, ISO_DATE = r"^(\d{1,2})/(\d{1,2})/(\d{4})$", r"^(\d{1,2})-(\d{1,2})-(\d{2})$", r"^\d{4}-\d{1,2}-\d{1,2}$"
+PRICE_MARKS, LETTERS = "[₹,]", "[A-Za-z]"
+FRACTION, LEADING_NUMBER = r"^([\d.]+)\s*/\s*([\d.]+)$", r"^([\d.]+)"
+DAY_SPAN, SIGNED_NUMBER = r"^(\d+)\s*-\s*(\d+)", r"^(-?\d+(?:\.\d+)?)"
+
+# Least score of each customer segment, best first, and the segment below them all.
+SEGMENTS, LOWEST_SEGMENT = [(13, "Champions"), (10, "Loyal"), (7, "Potential"), (5, "At Risk")], "Lost"
+# Ends of the discount bands, of the warehouse view (both included) and of the analysis (the upper one included).
+DISCOUNT_BANDS = [(0, 0), (1, 10), (11, 20), (21, 30), (31, 50)]
+DISCOUNT_EDGES = [-0.1, 0, 10, 20, 30, 50, 100]

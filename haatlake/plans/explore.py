@@ -126,10 +126,10 @@ def customer_values(df: DataFrame) -> DataFrame:
 
 
 def segment_of(score: Column) -> Column:
-    return (
-        F.when(score >= 13, "Champions").when(score >= 10, "Loyal").when(score >= 7, "Potential")
-        .when(score >= 5, "At Risk").otherwise("Lost")
-    )
+    chain = F.when(F.lit(False), F.lit(""))
+    for least, name in vocab.SEGMENTS:
+        chain = chain.when(score >= least, name)
+    return chain.otherwise(vocab.LOWEST_SEGMENT)
 
 
 def rfm_segmentation(df: DataFrame) -> Panels:
@@ -383,7 +383,7 @@ def discount_effectiveness(df: DataFrame) -> Panels:
     if "discount_percent" not in df.columns:
         return Panels()
     amt, d = amount_column(df), F.col("discount_percent").cast("double")
-    edges = [-0.1, 0, 10, 20, 30, 50, 100]
+    edges = vocab.DISCOUNT_EDGES
     chain = F.when(F.lit(False), F.lit(""))
     for label, lo, hi in zip(vocab.DISCOUNT_LABELS, edges, edges[1:]):
         chain = chain.when((d > lo) & (d <= hi), label)

@@ -236,9 +236,8 @@ def delivery_performance(s: Star) -> DataFrame:
 
 def discount_bucket(d: Column) -> Column:
     """Whole-number bands. Values between two bands and NULL belong to the last label."""
-    bands = [(0, 0), (1, 10), (11, 20), (21, 30), (31, 50)]
     chain = F.when(F.lit(False), F.lit(""))
-    for label, (lo, hi) in zip(vocab.DISCOUNT_LABELS, bands):
+    for label, (lo, hi) in zip(vocab.DISCOUNT_LABELS, vocab.DISCOUNT_BANDS):
         chain = chain.when(d.between(lo, hi), label)
     return chain.otherwise(vocab.DISCOUNT_LABELS[-1])
 
