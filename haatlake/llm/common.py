@@ -70,6 +70,8 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
                 start = i
     if held:
         yield pa.Table.from_batches(held)
+        held = []
+    _release()
 
 
 def spare(df: DataFrame, name: str) -> str:
