@@ -15,7 +15,8 @@ Candidates inside a longer candidate of equal frequency are left out.
 2. Text. Tasks materialise a frequent phrase at pointers only: at one in POINTERS of its occurrences, once a task, so
    that a phrase doesn't come from every task. A fingerprint has 64 bits, and 16 further ones of another polynomial travel with it:
    where these differ, where pointers lead to unequal texts, and where no pointer was drawn, the text decides. The occurrences
-   of these fingerprints are compared word by word, and counted by phrase instead.
+   of these fingerprints are compared word by word, and counted by phrase instead. Phrases that agree in all 80 bits, and whose
+   pointers all lead to one of them, would count as one.
 3. Cuts and parts are joined with the table of frequent phrases; products are decimals of 38 digits.
 
 Nothing is broadcast but the filters, and the number of words by language while it is small. Edge cases: a null text has no words; a null language counts as `und`; words of
