@@ -147,10 +147,9 @@ def quality_report(before: DataFrame, after: DataFrame) -> DataFrame:
         pairs = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for s, c in listed])
         counted = after.select(F.explode(pairs).alias("p")).select("p.*").groupBy("section", "column", "value").agg(F.count(F.lit(1)).alias("n"))
         best = W.partitionBy("section", "column").orderBy(F.desc("n"), F.asc_nulls_first("value"))
-        flags = counted.where("section = 'flags'")
-        samples = counted.where("section = 'values'").withColumn("_at", F.row_number().over(best)).where(f"_at <= {SAMPLED}").drop("_at")
-        parts += [x.select("section", "column", F.coalesce("value", F.lit("(null)")).alias("metric"), F.col("n").cast("string").alias("value"))
-                  for x in (samples, flags)]
+        # A flag has three values at most, so the same limit serves both kinds and one pass counts them.
+        listed_values = counted.withColumn("_at", F.row_number().over(best)).where(f"_at <= {SAMPLED}")
+        parts.append(listed_values.select("section", "column", F.coalesce("value", F.lit("(null)")).alias("metric"), F.col("n").cast("string").alias("value")))
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)

@@ -268,13 +268,13 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
 
     Rows are summed by which of the columns they lack, at most one group for each set of missing columns; a pair's
     sums are those of the groups that have both. Values are taken as differences from a
-    row's of each column, so that a large common offset doesn't drown what differs; differences from the
+    few rows' mean of each column, so that a large common offset doesn't drown what differs; differences from the
     column's mean follow from the sums. Sums are plain ones that combine on the map side.
     """
     k = len(columns)
     values = [F.col(c).cast("double") for c in columns]
     numbers = df.select(*[F.when(~F.isnan(v), v).alias(f"x{i}") for i, v in enumerate(values)])
-    near = numbers.agg(F.struct(*[F.avg(f"x{i}").alias(f"x{i}") for i in range(k)])).scalar()
+    near = numbers.limit(100).agg(F.struct(*[F.coalesce(F.avg(f"x{i}"), F.lit(0.0)).alias(f"x{i}") for i in range(k)])).scalar()
     moved = numbers.select(*[(F.col(f"x{i}") - near[f"x{i}"]).alias(f"d{i}") for i in range(k)])
     lacks = sum((F.when(F.col(f"d{i}").isNull(), 1 << i).otherwise(0) for i in range(k)), F.lit(0)).alias("lacks")
     sums = moved.groupBy(lacks).agg(
