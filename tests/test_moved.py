@@ -67,3 +67,21 @@ def test_lines_do_not_move_for_customers(spark, tmp_path):
     at = next(i for i, line in enumerate(plan) if "Exchange hashpartitioning(o_custkey" in line)
     below = plan[at + 1:next((i for i in range(at + 1, len(plan)) if depth(plan[i]) <= depth(plan[at])), len(plan))]
     assert any("orders.parquet" in line for line in below) and not any("lineitem.parquet" in line for line in below)
+
+
+def test_winners_of_many_keys_move_alone(spark, monkeypatch):
+    """With more keys than a broadcast may have, rows of other days than the deciding one aren't joined; the result is the same."""
+    from haatlake.operators import winners
+
+    df = materialise(spark.range(0, 4000, 1, 4).selectExpr(
+        "IF(id % 100 = 7, NULL, id % 100) AS k", "IF(id % 13 = 0, NULL, date_add(date'2020-01-01', cast(id % 371 AS int))) AS d", "concat('T', id) AS t",
+        "IF(id % 3 = 0, NULL, concat('v', id % 17)) AS v", "IF(id % 100 = 9, NULL, 'w') AS w"))
+    rows = lambda frame: sorted(map(str, frame.collect()))
+    last = lambda: winners.deciding_rows(df, "k", F.col("d"), [F.desc("t")], last=True)
+    known = lambda: winners.last_known(df, "k", F.col("d"), F.col("t"), ["v", "w"], {"n": F.count("t")})
+    few = rows(last()), rows(known())
+    joined, meet = [], winners.met
+    monkeypatch.setattr(winners, "fits", lambda frame, *a: False)
+    monkeypatch.setattr(winners, "met", lambda left, *a, **k: joined.append(left.count()) or meet(left, *a, **k))
+    assert (rows(last()), rows(known())) == few
+    assert len(few[0]) == 100 and all(n < 1000 for n in joined) and len(joined) == 2
