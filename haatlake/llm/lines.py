@@ -13,6 +13,9 @@ that holds it, and loses all others. All of it is DataFrame and SQL functions.
    64-bit words, and words without a set bit are left out. This is the result: bits of lines to drop, the
    rest is kept. `dedup_lines` applies it to the texts.
 
+Lines of the `HOT_KEYS` most frequent keys meet them in a broadcast, so that no key gathers its lines in one task. All other
+lines, and the texts and their bitmaps, meet by a shuffle whatever their size, so what moves grows as the table does.
+
 Keys count as equal if both hashes are (128 bits).
 
 Edge cases: a null or empty text is one empty line. Rows without an id count as one document, less than
@@ -32,6 +35,8 @@ from haatlake.llm.common import stage
 from haatlake.sources.staging import Scratch
 
 LEAST_CHARS, LEAST_DOCS = 20, 3
+# The most frequent keys, of which a broadcast tells the lines.
+HOT_KEYS = 200
 WHITE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -53,10 +58,23 @@ def _of(text: Column) -> Column:
 
 def frequent_keys(lines: DataFrame, least_docs: int) -> DataFrame:
     """h1, h2 and the greatest document of each key in enough documents. lines: h1, h2, doc, pos."""
+    return _counted_keys(lines, least_docs).drop("docs")
+
+
+def _counted_keys(lines: DataFrame, least_docs: int) -> DataFrame:
     ranged = lines.select("h1", "h2", "doc", "pos").repartitionByRange("h1", "h2", "doc").sortWithinPartitions("h1", "h2", "doc", "pos")
     nth = F.row_number().over(W.partitionBy("h1", "h2", "doc").orderBy("pos"))
     first = ranged.withColumn("nth", nth).where("nth = 1")
-    return first.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("keeper")).where(F.col("docs") >= least_docs).drop("docs")
+    return first.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("keeper")).where(F.col("docs") >= least_docs)
+
+
+def lines_of(lines: DataFrame, keys: DataFrame, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """lines with the keeper of their key, without lines whose key is none of the keys. keys: h1, h2, docs, keeper; both are staged."""
+    key = ["h1", "h2"]
+    hot = F.broadcast(keys.orderBy(F.desc("docs"), *key).limit(hot_keys).select(*key, "keeper", F.lit(True).alias("hot")))
+    cold = keys.join(hot.drop("keeper"), key, "left_anti").select(*key, "keeper")
+    met = lines.join(hot, key, "left")
+    return met.where("hot").drop("hot").unionByName(met.where("hot IS NULL").drop("hot", "keeper").join(cold.hint("merge"), key))
 
 
 def drop_bitmaps(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:
@@ -67,8 +85,8 @@ def drop_bitmaps(df: DataFrame, doc_id: str = "doc_id", text: str = "text", leas
     hashes = F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(13), "key").alias("h2")
     with Scratch(spark) as scratch:
         lines = scratch(keyed.select("doc", "of", "pos", *hashes))
-        frequent = scratch(frequent_keys(lines, least_docs))
-        lost = lines.join(frequent, ["h1", "h2"]).where(~F.col("doc").eqNullSafe(F.col("keeper")))
+        frequent = scratch(_counted_keys(lines, least_docs))
+        lost = lines_of(lines, frequent).where(~F.col("doc").eqNullSafe(F.col("keeper")))
         word, bit = F.expr("pos div 64").cast("int").alias("word"), F.expr("shiftleft(1L, cast(pos % 64 as int))")
         bits = lost.groupBy("doc", "of", word).agg(F.bit_or(bit).alias("bits"))
         lists = bits.groupBy("doc", "of").agg(F.sum(F.bit_count("bits")).alias("n_dropped"),
@@ -80,7 +98,7 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least
     """doc_id, n_lines, n_dropped, bits (null: all lines stay) and the text of the lines kept, of every row."""
     found = drop_bitmaps(df, doc_id, text, least_chars, least_docs)
     rows = df.select(df[doc_id].alias("id"), df[text].alias("text"), _of(df[text]).alias("row_of"))
-    met = rows.join(found, F.col("id").eqNullSafe(F.col("doc")) & (F.col("row_of") == F.col("of")), "left")
+    met = rows.join(found.hint("merge"), F.col("id").eqNullSafe(F.col("doc")) & (F.col("row_of") == F.col("of")), "left")
     # Each step is a projection of its own, so that no array is made twice.
     split = met.select("id", "n_dropped", "bits", _lines(F.col("text")).alias("lines"), dropped_lines(F.col("bits")).alias("dropped"))
     return split.select(F.col("id").alias(doc_id), F.size("lines").cast("long").alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),

@@ -75,3 +75,23 @@ def test_one_hot_line_spreads(spark):
     ranged = df.repartitionByRange(8, "h1", "h2", "doc").withColumn("part", F.spark_partition_id())
     assert ranged.where("h2 = 5").select("part").distinct().count() >= 2
     assert [tuple(r) for r in lines.frequent_keys(df, 3).collect()] == [(1, 5, 8997)]
+
+
+def test_joins_do_not_change_with_the_size(spark):
+    """Small tables meet by shuffles too, but for lines of the most frequent keys: what moves grows in proportion."""
+    df = spark.createDataFrame(odd_rows(), "doc_id long, text string")
+    plan = lines.dedup_lines(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+@pytest.mark.parametrize("hot_keys", [1, 3, 100])
+def test_hot_keys_do_not_move(spark, hot_keys):
+    rows = [(1, k, d, 0) for k, n in ((5, 900), (6, 500), (7, 30), (8, 2)) for d in range(n)] + [(1, 5, None, 3)]
+    df = spark.createDataFrame(rows, "h1 long, h2 long, doc long, pos int")
+    keys = spark.createDataFrame([(1, 5, 901, 899), (1, 6, 500, 499), (1, 7, 30, None)], "h1 long, h2 long, docs long, keeper long")
+    got = lines.lines_of(df, keys, hot_keys)
+    want = [(*r, {5: 899, 6: 499, 7: None}[r[1]]) for r in rows if r[1] != 8]
+    assert sorted(map(str, got.select("h1", "h2", "doc", "pos", "keeper").collect())) == sorted(str(spark_row) for spark_row in spark.createDataFrame(
+        want, "h1 long, h2 long, doc long, pos int, keeper long").collect())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
