@@ -186,7 +186,7 @@ def _(ws):
 # --- cleaning ----------------------------------------------------------------
 
 def _cleaned_column(name: str, clean: Callable[[DataFrame], DataFrame], *columns: str) -> None:
-    query(name)(lambda ws: clean(ws.raw).select("transaction_id", *columns))
+    query(name)(lambda ws: clean(ws.raw_once()).select("transaction_id", *columns))
 
 
 _cleaned_column("c01_dates", cleaning.fix_dates, "order_date", "order_date_dt")
@@ -201,13 +201,13 @@ _cleaned_column("c10_payment_methods", cleaning.fix_payment_methods, "payment_me
 
 @query("c08_duplicates")
 def _(ws):
-    return cleaning.handle_duplicates(materialise(cleaning.clean_rows(ws.raw), "rows")).select(
+    return cleaning.handle_duplicates(materialise(cleaning.clean_rows(ws.raw_once()), "rows")).select(
         "transaction_id", *cleaning.DUPLICATE_KEY, "is_bulk_order", "bulk_qty")
 
 
 @query("c09_price_repair")
 def _(ws):
-    rows_ = cleaning.handle_duplicates(materialise(cleaning.clean_rows(ws.raw), "rows"), stage=materialise)
+    rows_ = cleaning.handle_duplicates(materialise(cleaning.clean_rows(ws.raw_once()), "rows"), stage=materialise)
     return cleaning.fix_price_outliers(rows_).select(
         "transaction_id", "category", explore.halfup(F.col("original_price_inr"), 4)
         .alias("original_price_inr"), "price_was_corrected")
@@ -257,7 +257,7 @@ def _(ws):
 
 @query("w06_stored_flags")
 def _(ws):
-    return ws.raw.groupBy("is_prime_member").agg(rows().alias("n")).withColumn(
+    return ws.raw_once().groupBy("is_prime_member").agg(rows().alias("n")).withColumn(
         "stored", stored_flag_of(F.col("is_prime_member")))
 
 
@@ -265,19 +265,19 @@ def _(ws):
 
 @query("x01_share_of")
 def _(ws):
-    counted = ws.raw.groupBy("brand", "subcategory").agg(rows().alias("n"))
+    counted = ws.raw_once().groupBy("brand", "subcategory").agg(rows().alias("n"))
     return shaping.share_of(counted, ["brand"], "n", "share_pct")
 
 
 @query("x02_top_k")
 def _(ws):
-    spent = ws.raw.groupBy("product_id").agg(explore.revenue("final_amount_inr"))
+    spent = ws.raw_once().groupBy("product_id").agg(explore.revenue("final_amount_inr"))
     return shaping.top_k(spent, "revenue", 25, "product_id")
 
 
 @query("x06_pct_change")
 def _(ws):
-    monthly = ws.raw.groupBy((F.col("order_year") * 12 + F.col("order_month")).alias("month_no")).agg(
+    monthly = ws.raw_once().groupBy((F.col("order_year") * 12 + F.col("order_month")).alias("month_no")).agg(
         explore.revenue("final_amount_inr"))
     return shaping.pct_change(monthly, "month_no", "revenue", "change_pct")
 
@@ -285,7 +285,7 @@ def _(ws):
 @query("x07_alias_lookup")
 def _(ws):
     key = text.first_alternative(text.folded(F.col("payment_method")))
-    return ws.raw.groupBy("payment_method").agg(rows().alias("n")).withColumn(
+    return ws.raw_once().groupBy("payment_method").agg(rows().alias("n")).withColumn(
         "method", text.lookup(key, vocab.PAYMENT_ALIASES))
 
 
@@ -296,19 +296,19 @@ def _(ws):
 
 @query("x04_box_stats")
 def _(ws):
-    return shaping.box_stats(ws.raw, "brand", "final_amount_inr")
+    return shaping.box_stats(ws.raw_once(), "brand", "final_amount_inr")
 
 
 @query("x05_qcut")
 def _(ws):
-    spent = ws.raw.dropna(subset=["customer_id"]).groupBy("customer_id").agg(
+    spent = ws.raw_once().dropna(subset=["customer_id"]).groupBy("customer_id").agg(
         explore.revenue("final_amount_inr"))
-    return shaping.qcut(spent, {"revenue": "bucket"}, 5)
+    return shaping.qcut(materialise(spent), {"revenue": "bucket"}, 5)
 
 
 @query("x08_global_rank")
 def _(ws):
-    spent = ws.raw.dropna(subset=["customer_id"]).groupBy("customer_id").agg(
+    spent = ws.raw_once().dropna(subset=["customer_id"]).groupBy("customer_id").agg(
         F.count("transaction_id").alias("orders"))
     return shaping.global_rank(materialise(spent), ["orders", "customer_id"], "position")
 

@@ -44,15 +44,17 @@ class Workspace:
     def raw(self) -> DataFrame:
         return materialise(self._raw, "raw")
 
+    def raw_once(self) -> DataFrame:
+        """Raw rows for who reads them, or some of their columns, in one pass: what is staged, else straight from the input."""
+        return self.raw if "raw" in vars(self) else self._raw
+
     @cached_property
     def cleaned(self) -> DataFrame:
         path = self._path("cleaned")
         if self.out_dir and "cleaned" not in self._anew and is_complete(self.spark, path):
             return read_clean(self.spark, path)
-        # Raw input is read once either way; it is staged only if someone asked for it.
-        source = self.raw if "raw" in vars(self) else self._raw
         with Scratch(self.spark) as stage:
-            rows = stage(clean_rows(source))
+            rows = stage(clean_rows(self.raw_once()))
             write_clean(enrich_from_catalog(clean_groups(rows, stage), self.catalog), path, counted=rows)
         return read_clean(self.spark, path)
 

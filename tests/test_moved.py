@@ -85,3 +85,20 @@ def test_winners_of_many_keys_move_alone(spark, monkeypatch):
     monkeypatch.setattr(winners, "met", lambda left, *a, **k: joined.append(left.count()) or meet(left, *a, **k))
     assert (rows(last()), rows(known())) == few
     assert len(few[0]) == 100 and all(n < 1000 for n in joined) and len(joined) == 2
+
+
+@pytest.mark.parametrize("name", ["x05_qcut", "c09_price_repair", "c08_duplicates"])
+def test_raw_rows_are_not_written_for_one_pass(spark, monkeypatch, name):
+    """Who reads raw rows once takes them from the input, with the columns that are needed; if they are staged, from there."""
+    from conftest import SF_DIR
+
+    from haatlake.plans import registry
+    from haatlake.plans.workspace import Workspace
+
+    fresh = Workspace.from_tables(spark, SF_DIR)
+    monkeypatch.setattr(registry, "workspace", lambda *a: fresh)
+    rows = lambda: sorted(map(str, registry.QUERIES[name](spark, SF_DIR).collect()))
+    straight = rows()
+    assert straight and "raw" not in vars(fresh)
+    fresh.raw
+    assert rows() == straight
