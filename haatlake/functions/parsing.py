@@ -18,9 +18,11 @@ def date_of(c: Column, first: str = FIRST_DATE, last: str = LAST_DATE) -> Column
     three, so a row is parsed once and no failed attempt raises internally.
     """
     t = F.trim(c)
-    t = F.regexp_replace(t, vocab.DAY_FIRST_SLASH, "$3-$2-$1")
-    t = F.regexp_replace(t, vocab.DAY_FIRST_DASH, "20$3-$2-$1")
-    day = F.when(t.rlike(vocab.ISO_DATE), t.try_cast("date"))
+    iso = F.regexp_replace(t, vocab.DAY_FIRST_SLASH, "$3-$2-$1")
+    iso = F.regexp_replace(iso, vocab.DAY_FIRST_DASH, "20$3-$2-$1")
+    # Most rows are ISO as they are.
+    iso = F.when(t.rlike(vocab.ISO_DATE), t).otherwise(F.when(iso.rlike(vocab.ISO_DATE), iso))
+    day = iso.try_cast("date")
     return F.when(day.between(F.lit(first).cast("date"), F.lit(last).cast("date")), day)
 
 

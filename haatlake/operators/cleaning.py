@@ -40,9 +40,9 @@ def fix_dates(df: DataFrame, col: str = "order_date") -> DataFrame:
         return df
     dated = _is(df, col, "date", "timestamp", "timestamp_ntz")
     parsed = F.col(col).cast("date") if dated else parsing.date_of(F.col(col))
-    return df.withColumn(f"{col}_dt", parsed).withColumn(
-        col, F.date_format(f"{col}_dt", "yyyy-MM-dd")
-    )
+    # A parsed date has a year of four digits, whose text a cast makes at a fraction of the time.
+    text = F.date_format(f"{col}_dt", "yyyy-MM-dd") if dated else F.col(f"{col}_dt").cast("string")
+    return df.withColumn(f"{col}_dt", parsed).withColumn(col, text)
 
 
 def fix_prices(df: DataFrame, col: str = "original_price_inr") -> DataFrame:

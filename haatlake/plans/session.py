@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 # Bytes of files that a task scans, at most.
-SCAN_BYTES = 64 << 20
+SCAN_BYTES = 32 << 20
 
 RUNTIME = {
     # Re-plan at run time: coalesce small partitions, split skewed ones.
@@ -17,6 +17,7 @@ RUNTIME = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Columns expand about tenfold in memory: what a task scans of them must still sort without a spill.
     "spark.sql.files.maxPartitionBytes": str(SCAN_BYTES),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SCAN_BYTES),
 }
 
 

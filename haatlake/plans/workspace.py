@@ -23,9 +23,11 @@ class Workspace:
     names, and a later workspace opens what is complete. Without, they go to the shared folder.
     """
 
-    def __init__(self, spark: SparkSession, raw: DataFrame, catalog: DataFrame, out_dir: str | None = None):
+    def __init__(self, spark: SparkSession, raw: DataFrame, catalog: DataFrame, out_dir: str | None = None, laid: DataFrame | None = None):
         self.spark = tune(spark, raw)
         self._raw, self.catalog, self.out_dir = raw, catalog, out_dir and out_dir.rstrip("/")
+        # Raw rows by year, for what is written: later writes by year then need not move whole rows.
+        self._laid = raw if laid is None else laid
         self._anew: set[str] = set()
 
     def _path(self, name: str) -> str:
@@ -33,7 +35,7 @@ class Workspace:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str) -> Workspace:
-        return cls(spark, sales_raw(spark, sf_dir), catalog_raw(spark, sf_dir))
+        return cls(spark, sales_raw(spark, sf_dir), catalog_raw(spark, sf_dir), laid=sales_raw(spark, sf_dir, yearly=True))
 
     @classmethod
     def from_files(cls, spark: SparkSession, raw_dir: str, out_dir: str | None = None, **options) -> Workspace:
@@ -42,7 +44,7 @@ class Workspace:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return materialise(self._raw, "raw")
+        return materialise(self._laid, "raw")
 
     def raw_once(self) -> DataFrame:
         """Raw rows for who reads them, or some of their columns, in one pass: what is staged, else straight from the input."""
@@ -54,7 +56,7 @@ class Workspace:
         if self.out_dir and "cleaned" not in self._anew and is_complete(self.spark, path):
             return read_clean(self.spark, path)
         with Scratch(self.spark) as stage:
-            rows = stage(clean_rows(self.raw_once()))
+            rows = stage(clean_rows(vars(self).get("raw", self._laid)))
             write_clean(enrich_from_catalog(clean_groups(rows, stage), self.catalog), path, counted=rows)
         return read_clean(self.spark, path)
 

@@ -120,8 +120,11 @@ RAW_COLUMNS = {
 }
 
 
-def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dirty transaction lines, 35 columns; about 3 % of lines occur as 3 or 7 copies."""
+def sales_raw(spark: SparkSession, sf_dir: str, yearly: bool = False) -> DataFrame:
+    """Dirty transaction lines, 35 columns; about 3 % of lines occur as 3 or 7 copies.
+
+    `yearly` rows lie by order year, as those of yearly files do; they move while they are few columns yet.
+    """
     table = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
     # Orders meet their customers first, so that the many lines move for an order and a part only.
     buyers = table("orders").join(table("customer"), F.col("o_custkey") == F.col("c_custkey")).select(
@@ -131,6 +134,8 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
     )
+    if yearly:
+        lines = lines.withColumn("_year", F.year("o_orderdate")).hint("rebalance", "_year")
     based = lines.selectExpr(
         "*",
         "l_orderkey + 7 * l_linenumber + l_partkey AS k",

@@ -155,7 +155,7 @@ class Warehouse:
                 found = gained.agg(*counts).first().asDict()
             else:
                 fact = fact.observe(seen, *counts)
-            laid = by_year(fact.drop(star.MISFITS).withColumn("load", F.lit(load)), "order_year", present.where("order_year IS NOT NULL"))
+            laid = by_year(fact.drop(star.MISFITS).withColumn("load", F.lit(load)), "order_year", present.where("order_year IS NOT NULL"), moved=merge)
             # By day and customer within a file: statistics of row groups and pages prune by either.
             laid.sortWithinPartitions("order_year", "load", "order_date", "customer_id").write.mode("append") \
                 .option("compression", CODEC).partitionBy("order_year", "load").parquet(f"{self.path}/{FACT}")

@@ -102,3 +102,36 @@ def test_raw_rows_are_not_written_for_one_pass(spark, monkeypatch, name):
     assert straight and "raw" not in vars(fresh)
     fresh.raw
     assert rows() == straight
+
+
+@pytest.mark.parametrize("moved", [False, True])
+def test_years_that_lie_together_are_written_where_they_lie(spark, tmp_path, moved):
+    """A task that holds one year writes it, however many tasks there are; a few rows elsewhere don't change that."""
+    ids = materialise(spark.range(0, 2400, 1, 8).selectExpr("id", "IF(id % 100 = 0, 2020, 2020 + id div 300) AS y"))
+    out = files.by_year(ids, "y", ids.select("y"), 150, moved=moved)
+    assert ("RebalancePartitions" in out._jdf.queryExecution().analyzed().toString()) == moved
+    out.write.partitionBy("y").parquet(f"{tmp_path}/out")
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert sorted(map(tuple, back.select("id", "y").collect())) == sorted(map(tuple, ids.collect()))
+
+
+def test_yearly_raw_rows_lie_by_year_and_are_the_same(spark):
+    from conftest import SF_DIR
+
+    from haatlake.plans.workspace import Workspace
+
+    plain, yearly = sales_raw(spark, SF_DIR), sales_raw(spark, SF_DIR, yearly=True)
+    assert yearly.columns == plain.columns
+    content = lambda df: df.groupBy(F.xxhash64(*df.columns).alias("h")).count()
+    assert content(plain).exceptAll(content(yearly)).isEmpty() and content(yearly).exceptAll(content(plain)).isEmpty()
+    ws = Workspace.from_tables(spark, SF_DIR)
+    plans = [df._jdf.queryExecution().analyzed().toString() for df in (ws.raw_once(), ws._laid)]
+    assert [("RebalancePartitions" in p) for p in plans] == [False, True]  # one pass over some columns doesn't pay for it
+
+
+def test_dates_are_parsed_once_and_printed_by_a_cast(spark):
+    df = spark.createDataFrame([(x,) for x in ("1677-9-22", " 2262-04-10 ", "1677-9-21", "5/6/2021", "05-06-21", "32/13/2020", "2020-2-30", "", None, "x")], "order_date string")
+    out = cleaning.fix_dates(df)
+    assert [r.order_date for r in out.collect()] == ["1677-09-22", "2262-04-10", None, "2021-06-05", "2021-06-05", None, None, None, None, None]
+    assert "date_format" not in out._jdf.queryExecution().analyzed().toString()
+    assert [r.order_date_dt and r.order_date_dt.isoformat() for r in out.collect()] == [r.order_date for r in out.collect()]
