@@ -92,6 +92,31 @@ def test_clean_dataset_round_trip(spark, ws):
         assert from_csv.agg(agg).first() == cleaned.agg(agg).first()
 
 
+def test_header_of_the_cleaned_csv_costs_one_task(spark, tmp_path):
+    """Its encoding is known, so no text is read but a first line."""
+    folder = tmp_path / "clean-csv"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text("")
+    for part in (1, 2):
+        (folder / f"part-{part}.csv").write_text("transaction_id,bulk_qty,order_date_dt\n" + "".join(f"T{i},{part},2020-01-02\n" for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20001")
+    spark.sparkContext.setJobGroup("csv-header", "")
+    try:
+        df = files.read_clean(spark, str(tmp_path / "none"), str(folder))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    status = spark.sparkContext.statusTracker()
+    stages = [s for j in status.getJobIdsForGroup("csv-header") for s in status.getJobInfo(j).stageIds]
+    assert sum(status.getStageInfo(s).numTasks for s in stages) == 1
+    assert df.columns == ["transaction_id", "bulk_qty", "order_date_dt"]
+    assert df.groupBy("bulk_qty").count().orderBy("bulk_qty").collect() == [(1, 20_000), (2, 20_000)]
+    with pytest.raises(ValueError, match="is empty"):
+        (tmp_path / "empty.csv").write_text("")
+        files.read_clean(spark, str(tmp_path / "none"), str(tmp_path / "empty.csv"))
+
+
 def test_year_filter_prunes_partitions(ws):
     plan = ws.star((2017, 2018)).fact._jdf.queryExecution().executedPlan().toString()
     assert "order_year" in plan.split("PartitionFilters:")[1].split("]")[0]
