@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocabulary as vocab
 from ..functions.numbers import percent
+from .cleaning import routed
 
 # Values listed of a column.
 SAMPLED = 15
@@ -82,9 +83,14 @@ def flag_tallies(df: DataFrame, flags: tuple[str, ...] = FLAGS) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
-    """Key values that occur more than once."""
+    """Key values that occur more than once.
+
+    Most occur once: hashes are counted, and only values whose hash occurs again are shuffled and compared themselves.
+    """
+    hashed = df.select(key, F.xxhash64(key).alias("_h"))
+    again = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     return (
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("occurrences"))
+        routed(hashed, again, "_h").where("_again").groupBy(key).agg(F.count(F.lit(1)).alias("occurrences"))
         .where(F.col("occurrences") > 1)
     )
 

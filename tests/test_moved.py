@@ -1,9 +1,11 @@
 """What moves: only rows that need another row leave the task that scans them."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
-from haatlake.operators import cleaning, star
+from haatlake.operators import cleaning, quality, star
 from haatlake.sources import files
 from haatlake.sources.sample_sales import sales_raw
 from haatlake.sources.staging import materialise
@@ -40,6 +42,18 @@ def test_facts_with_an_id_of_their_own_do_not_move(spark, sales, monkeypatch):
     assert len(routes) == 1 and routes[0].where("_again").count() < 40
 
 
+def test_key_values_that_occur_once_are_not_shuffled(spark, sales, monkeypatch):
+    routes, route = [], cleaning.routed
+    monkeypatch.setattr(quality, "routed", lambda *a: routes.append(route(*a)) or routes[-1], raising=False)
+    found = {r[0]: r[1] for r in quality.duplicate_keys(sales, "transaction_id").collect()}
+    assert found == {f"T{i}": 2 for i in range(2980, 2990)}
+    assert len(routes) == 1 and routes[0].where("_again").count() < 40
+    # A missing key is a value that may repeat, too.
+    plain = Counter(r[0] for r in sales.select("customer_id").collect())
+    repeated = {r[0]: r[1] for r in quality.duplicate_keys(sales, "customer_id").collect()}
+    assert repeated == {k: n for k, n in plain.items() if n > 1} and repeated[None] > 1
+
+
 @pytest.mark.parametrize("file_rows, gathered", [(1, False), (100, True), (10 ** 9, True)])
 def test_years_with_many_rows_are_written_where_they_lie(spark, tmp_path, file_rows, gathered):
     df = materialise(spark.range(0, 12_000, 1, 6).selectExpr(
