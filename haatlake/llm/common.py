@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haatlake.sources.staging import materialise
+from haatlake.sources.staging import FREED, materialise
 
 # Characters handled at a time inside a task, so that memory doesn't follow the batch size.
 BLOCK_CHARS = 700_000
@@ -23,7 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write once to the shared checkpoint folder and read back; cuts lineage, survives lost executors."""
+    """Write once to the shared checkpoint folder and read back; cuts lineage, survives lost executors. What it shuffled is freed."""
+    for key, value in FREED.items():
+        df.sparkSession.conf.set(key, value)
     return materialise(df, name)
 
 

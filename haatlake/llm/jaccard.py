@@ -15,7 +15,8 @@ are told for 90, their figures follow from the threshold for any other.
 2. Windows by prefix. With MEET - 1 further shingles linked points meet at least MEET times.
    Points of a region that meet so often, at a size within the tenth, are connected, across
    all regions a point lies in. Every link is within such a group, most points are in none, and
-   a group is the region of the exact join: each point lies in one.
+   a group is the region of the exact join: each point lies in one. A shingle of many points
+   says nothing of them: such a region's points are compared block by block, as any others.
 3. Joins. In a region, a pivot's distances to the others give its links, and by the triangle
    inequality points whose distances to a pivot differ by more than 0.1 aren't linked. Points
    found to hang together need no further comparison with each other, so the region left
@@ -57,7 +58,7 @@ HUNDREDTHS = 90
 # Shingles that linked points have in common among their first ones, or all they must share if that is less.
 MEET = 8
 CLASSES = 1 << 18
-# Points that one task compares by their first shingles, and by whole sets; pivots of a larger region.
+# Points that one task compares at a time by their first shingles, and by whole sets; pivots of a larger region.
 MEETING, REGION, PIVOTS = 5_000, 1_000, 16
 
 
@@ -245,12 +246,16 @@ def connect(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple
                 part[part == part[j]] = part[pivot]
 
 
-def meeting(keys: list[np.ndarray], n: np.ndarray, hundredths: int = HUNDREDTHS) -> list[tuple[int, int]]:
-    """Pairs that connect the points which meet as often as links must, at a size within reach."""
+def meeting(keys: list[np.ndarray], n: np.ndarray, hundredths: int = HUNDREDTHS, side: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Pairs that connect the points which meet as often as links must, at a size within reach.
+
+    With a side for each point only points of different sides are compared.
+    """
     members = Members(keys)
 
     def near(i: int, window: np.ndarray) -> np.ndarray:
-        others = np.flatnonzero(window & (100 * np.minimum(n, n[i]) >= hundredths * np.maximum(n, n[i])))
+        window = window & (100 * np.minimum(n, n[i]) >= hundredths * np.maximum(n, n[i]))
+        others = np.flatnonzero(window if side is None else window & (side != side[i]))
         return others[members.overlap(i, others) >= _common(np.minimum(n[others], n[i]), hundredths)] if others.size else others
 
     return connect(len(keys), near)
@@ -284,26 +289,29 @@ def _name(a: int, b: int) -> str:
 
 
 def _groups(regions: DataFrame, points: DataFrame, hundredths: int) -> DataFrame:
-    """u, v: points that meet, so that every link lies within a group of connected points."""
+    """u, v: points that meet, so that every link lies within a group of connected points.
+
+    A region of more points than one task compares is dealt to blocks of half as many; every two blocks meet in a task,
+    and so do the points of one block.
+    """
     sized = regions.join(regions.groupBy("cell").count().withColumnRenamed("count", "points"), "cell")
     keys = points.select("a", "b", F.col("meet").alias("keys"), "n_shingles")
+    blocks = F.when(F.col("points") <= MEETING, 1).otherwise(F.ceil(2 * F.col("points") / MEETING)).cast("int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for region in runs(batches, "cell"):
-            a, b = region.column("a").to_pylist(), region.column("b").to_pylist()
+        for block in runs(batches, "block"):
+            a, b = block.column("a").to_pylist(), block.column("b").to_pylist()
             keep = sorted({p: i for i, p in reversed(list(enumerate(zip(a, b))))}.values())  # rows of one id may repeat a point
-            keys, n = _arrays(region.column("keys")), region.column("n_shingles").to_numpy()
-            found = meeting([keys[i] for i in keep], n[keep], hundredths)
+            keys, n = _arrays(block.column("keys")), block.column("n_shingles").to_numpy()
+            mine, other = block.column("mine").to_numpy()[keep], block.column("other").to_numpy()[keep]
+            found = meeting([keys[i] for i in keep], n[keep], hundredths, None if mine[0] == other[0] else mine)
             if found:
                 yield _pairs([(_name(a[keep[i]], b[keep[i]]), _name(a[keep[j]], b[keep[j]])) for i, j in found])
 
-    small = (sized.where(f"points <= {MEETING}").join(keys, ["a", "b"]).select("cell", "a", "b", "keys", "n_shingles")
-             .repartition("cell").sortWithinPartitions("cell").mapInArrow(run, LINKS))
-    # What shares a shingle with more points than one task compares hangs together without a look at it.
-    pivot = F.struct(F.col("a"), F.col("b"))
-    large = sized.where(f"points > {MEETING}")
-    first = large.groupBy("cell").agg(F.min(pivot).alias("p")).select("cell", _named("p.a", "p.b").alias("u"))
-    return small.unionByName(large.join(first, "cell").select("u", _named("a", "b").alias("v")))
+    dealt = (sized.join(keys, ["a", "b"]).withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("a", "b"), "blocks").cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select(F.xxhash64("cell", F.least("mine", "other"), F.greatest("mine", "other")).alias("block"), "mine", "other", "a", "b", "keys", "n_shingles"))
+    return dealt.repartition("block").sortWithinPartitions("block").mapInArrow(run, LINKS)
 
 
 def _named(a: str, b: str) -> F.Column:

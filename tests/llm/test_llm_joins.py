@@ -333,3 +333,36 @@ def test_rollups(spark):
     assert len(totals()) == 3
     with pytest.raises(ValueError):
         store.commit("no/name", rollups.inserts(df, "v1", count))
+
+
+def test_points_of_a_large_region_are_compared(spark, monkeypatch):
+    """Sixty texts that share their rarest shingles, and nothing else but two that are linked, don't hang together."""
+    monkeypatch.setattr(jaccard, "MEETING", 8)
+    rows = [(i, " ".join(["a b c"] + [f"w{i}x{k}" for k in range(60)])) for i in range(60)]
+    rows.append((60, rows[59][1] + " z"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    level = jaccard._levels(docs)
+    points = jaccard._points(jaccard._signatures(docs, level, 3, 90))
+    # All points in one region, whatever shingles they share.
+    regions = points.select(F.lit(1).cast("long").alias("cell"), "a", "b")
+    found = {r.u for r in components(jaccard._groups(regions, points, 90)).select(F.col("node").alias("u")).collect()}
+    linked = points.join(jaccard._signatures(docs, level, 3, 90).where("doc_id >= 59").select("a", "b"), ["a", "b"])
+    assert found == {r.u for r in linked.select(jaccard._named("a", "b").alias("u")).collect()} and len(found) == 2
+    got = sorted(map(tuple, jaccard.jaccard_components(docs).collect()))
+    assert got == sorted(brute_components(rows))
+
+
+def test_sides_are_compared_with_each_other_alone():
+    rng = np.random.default_rng(3)
+    sets = [np.sort(rng.choice(60, 20, replace=False)).astype(np.int64) for _ in range(12)]
+    keys = [sets[i % 12] for i in range(48)]
+    n = np.full(48, 20)
+    side = np.arange(48) % 5 == 0
+    part = list(range(48))
+    for i, j in jaccard.meeting(keys, n, 90, side):
+        assert side[i] != side[j] and np.intersect1d(keys[i], keys[j]).size >= 8
+        part = [part[i] if p == part[j] else p for p in part]
+    for i in range(48):
+        for j in range(i):
+            if side[i] != side[j] and np.intersect1d(keys[i], keys[j]).size >= 8:
+                assert part[i] == part[j]
