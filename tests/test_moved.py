@@ -1,13 +1,14 @@
 """What moves: only rows that need another row leave the task that scans them."""
 
+import time
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from haatlake.operators import cleaning, quality, star
-from haatlake.sources import files
-from haatlake.sources.sample_sales import sales_raw
+from haatlake.sources import files, staging
+from haatlake.sources.sample_sales import catalog_raw, sales_raw
 from haatlake.sources.staging import materialise
 
 N = 3000
@@ -135,3 +136,63 @@ def test_dates_are_parsed_once_and_printed_by_a_cast(spark):
     assert [r.order_date for r in out.collect()] == ["1677-09-22", "2262-04-10", None, "2021-06-05", "2021-06-05", None, None, None, None, None]
     assert "date_format" not in out._jdf.queryExecution().analyzed().toString()
     assert [r.order_date_dt and r.order_date_dt.isoformat() for r in out.collect()] == [r.order_date for r in out.collect()]
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    """What a query shuffled is gone after it, and the same frame still gives its rows, twice."""
+    from haatlake.plans.session import tune
+
+    tune(spark)
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {f for f in manager.getAllFiles().mkString(" ").split() if "shuffle_" in f and f.endswith(".data")}
+    df = spark.range(0, 5000, 1, 4).repartition(7, "id").groupBy((F.col("id") % 10).alias("k")).count()
+    before = held()
+    df.write.parquet(f"{tmp_path}/out")
+    rows = [sorted(map(tuple, df.collect())) for _ in range(2)]
+    assert rows == [[(k, 500) for k in range(10)]] * 2
+    for _ in range(50):  # files are removed in the background
+        if held() <= before:
+            break
+        time.sleep(0.1)
+    assert held() <= before
+
+
+def test_parts_read_their_own_files(spark):
+    """A filter by part leaves the scan of its files; the parts have all rows once."""
+    staged = materialise(spark.range(0, 4000, 1, 8).selectExpr("id", "id % 3 AS y"))
+    whole, one = staging.in_parts(staged)
+    assert one == 1 and whole.columns == staged.columns
+    dealt, parts = staging.in_parts(staged, 3000)
+    assert 1 < parts <= 8
+    seen = [dealt.where(F.col(staging.PART) == k) for k in range(parts)]
+    assert sorted(r.id for f in seen for r in f.collect()) == list(range(4000))
+    assert sorted(p for f in seen for p in f.inputFiles()) == sorted(staged.inputFiles())
+    assert all(len(f.inputFiles()) < 8 for f in seen)
+
+
+def test_cleaned_dataset_is_the_same_in_parts(spark, monkeypatch):
+    """Part by part, and complete only with the last one: the rows that one write gives."""
+    from conftest import SF_DIR
+    from haatlake.plans import workspace
+
+    def cleaned(part_bytes):
+        written = []
+        write = files.by_year
+        with monkeypatch.context() as m:
+            m.setattr(workspace, "in_parts", lambda df: staging.in_parts(df, part_bytes))
+            m.setattr(files, "by_year", lambda *a: written.append(a) or write(*a))
+            out = workspace.Workspace(spark, sales_raw(spark, SF_DIR).repartition(6), catalog_raw(spark, SF_DIR)).cleaned
+        rows = Counter(map(str, out.select(sorted(out.columns)).collect()))
+        return out.columns, rows, len(written)
+
+    columns, rows, writes = cleaned(1 << 40)
+    again, same, several = cleaned(60_000)
+    assert writes == 1 and several > 1
+    assert again == columns and same == rows and staging.PART not in columns
+    # The mark of a whole dataset comes last.
+    part, parts = staging.in_parts(materialise(sales_raw(spark, SF_DIR).select("transaction_id", "customer_id", F.to_date(F.lit("2020-01-02")).alias("order_date_dt")).repartition(6)), 20_000)
+    path = staging.new_path(spark, "parts")
+    with monkeypatch.context() as m:
+        m.setattr(files, "by_year", lambda df, year, years: df if not files.is_complete(spark, path) else pytest.fail("complete before the last part"))
+        files.write_clean(part, path, parts=parts)
+    assert parts > 1 and files.is_complete(spark, path) and spark.read.parquet(path).count() == part.count()
